@@ -28,10 +28,13 @@ def compare_schemas(
 
 
 def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Drift over all the files given; Spark merges their footers in parallel."""
+    """Drift over all the files given; Spark merges their footers in parallel.
+
+    The day in a folder's name is not a column of its files.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
-    return compare_schemas(spark, merged)
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    return compare_schemas(spark, reader.parquet(*paths).schema)
 
 
 def column_coverage(raw: DataFrame, columns: Sequence[str] = tuple(RAW.names)) -> DataFrame:

@@ -10,9 +10,9 @@ from tidemark.operators.registry import DynamicColumn
 from tidemark.schema.flat import BASE, SOURCES
 
 
-def base_columns(raw: DataFrame) -> DataFrame:
-    """The fixed flat columns and ``_dt``."""
-    return raw.select(*[column.expression() for column in BASE], "_dt")
+def base_columns(raw: DataFrame, *others: str) -> DataFrame:
+    """The fixed flat columns, ``_dt`` and any other raw columns asked for."""
+    return raw.selectExpr(*[column.sql() for column in BASE], "_dt", *others)
 
 
 def flatten(raw: DataFrame, dynamic: list[DynamicColumn], run_id: str) -> DataFrame:
@@ -22,13 +22,14 @@ def flatten(raw: DataFrame, dynamic: list[DynamicColumn], run_id: str) -> DataFr
     discovered column is a lookup in it.
     """
     maps = {source: f"_{prefix}" for source, prefix in SOURCES.items()}
-    used = {column.source for column in dynamic}
-    keyed = raw.select(
-        "*", *[params.as_map(F.col(s)).alias(m) for s, m in maps.items() if s in used]
+    keyed = base_columns(raw, *maps).select(
+        "*", *[params.as_map(F.col(source)).alias(name) for source, name in maps.items()]
     )
+    values = {source: F.col(name) for source, name in maps.items()}
     return keyed.select(
-        *[column.expression() for column in BASE],
-        *[F.col(maps[c.source])[c.key][c.sub_field].alias(c.name) for c in dynamic],
+        "*", *[values[c.source][c.key][c.sub_field].alias(c.name) for c in dynamic]
+    ).select(
+        *[column.name for column in (*BASE, *dynamic)],
         "_dt",
         F.current_timestamp().alias("_ingested_at"),
         F.lit(run_id).alias("_run_id"),

@@ -27,7 +27,10 @@ def retention(user_daily: DataFrame) -> DataFrame:
 
 
 def retention_percent(retained: DataFrame, days: tuple[int, ...] = (1, 7)) -> DataFrame:
-    """Cohort size, and the share of it still active on the given days, in percent."""
+    """Cohort size, and the share of it still active on the given days, in percent.
+
+    A tie at the last digit rounds to the even neighbour.
+    """
 
     def on(day: int) -> Column:
         return F.max(F.when(F.col("day_n") == day, F.col("retained_users")))
@@ -38,7 +41,7 @@ def retention_percent(retained: DataFrame, days: tuple[int, ...] = (1, 7)) -> Da
         .agg(
             size.alias("cohort_size"),
             *[
-                F.round(F.try_divide(on(d), size) * 100, 1).alias(f"d{d}_pct")
+                F.bround(F.try_divide(on(d), size) * 100, 1).alias(f"d{d}_pct")
                 for d in days
             ],
         )

@@ -10,11 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import days
 from tidemark.schema.raw import RAW
 
 # Flat column prefix of each raw struct, by path.
@@ -52,12 +49,16 @@ class FlatColumn:
     type: T.DataType
     path: str
 
-    def expression(self) -> Column:
-        if self.name == "event_date":
-            return days.event_day(F.col("event_date"), F.col("_dt")).alias(self.name)
-        if self.name == "event_ts":
-            return F.timestamp_micros(self.path).alias(self.name)
-        return F.col(self.path).alias(self.name)
+    def sql(self) -> str:
+        """The column as a select expression over raw rows."""
+        return f"{_COMPUTED.get(self.name, self.path)} AS {self.name}"
+
+
+# Day of ``event_date`` or, when that is malformed, of the partition; UTC moment.
+_COMPUTED = {
+    "event_date": "coalesce(try_to_date(event_date, 'yyyyMMdd'), _dt)",
+    "event_ts": "timestamp_micros(event_timestamp)",
+}
 
 
 def _leaves(struct: T.StructType, path: str) -> Iterator[FlatColumn]:

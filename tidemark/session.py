@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources import folders
+
 
 def local(cpus: int | str = "*", **settings: str) -> SparkSession:
     """A local session for tests and the bench."""
@@ -49,19 +51,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """The rows of ``df`` as a table in the scratch folder, deleted afterwards.
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df`` written to a scratch path and read back.
 
-    Several results read it instead of each recomputing ``df``, and a lost
-    executor costs a re-read, not the lineage behind it.
+    Whoever reads them several times does not recompute ``df``, and a lost executor
+    costs a re-read, not the lineage behind it.
     """
-    from tidemark.sources import folders
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As ``stored``, for the length of a block; the files are deleted at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield stored(df, path)
     finally:
         folders.delete(spark, path)

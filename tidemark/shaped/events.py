@@ -8,7 +8,9 @@ occurs in both bags.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import itertools
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +64,12 @@ PROPERTY_ENTRIES = (
     ("k", "int_value", "k", "event_id % 3 > 0"),
     ("_ltv_COP", "double_value", "value", "event_type = 'purchase'"),
 )
-# When a bag as a whole is empty or NULL.
+# Filled fields of an item; only purchases have one.
+ITEM_VALUES = {
+    "item_id": "concat('item-', CAST(k AS STRING))", "price": "value", "quantity": "k % 3 + 1",
+}
+# When a bag has a NULL entry at its end, is empty, or is NULL as a whole.
+NULL_ENTRY = "event_id % 37 = 0"
 EMPTY_BAG = "event_id % 29 = 0"
 NULL_BAG = "event_id % 59 = 0"
 
@@ -93,22 +100,34 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bag(entries, value_type: T.StructType) -> Column:
+def _cast(text: str, kind: T.DataType) -> str:
+    return f"CAST({text} AS {kind.simpleString()})"
+
+
+def _struct(parts: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f"'{name}', {text}" for name, text in parts.items())})"
+
+
+def _bag(entries, value_type: T.StructType) -> str:
+    kind = full_type(value_type)
     made = []
     for key, sub_field, text, present in entries:
-        value = F.struct(*[
-            (F.expr(text) if f.name == sub_field
-             else F.col("micros") if f.name == "set_timestamp_micros" and key
-             else F.lit(None)).cast(f.dataType).alias(f.name)
+        value = {
+            f.name: _cast(
+                text if f.name == sub_field
+                else "micros" if f.name == "set_timestamp_micros" and key else "NULL",
+                f.dataType,
+            )
             for f in value_type.fields
-        ])
-        whole = F.struct(F.lit(key).cast("string").alias("key"), value.alias("value"))
-        made.append(F.when(F.expr(present), whole))
-    full = F.array_compact(F.array(*made))
+        }
+        name = "CAST(NULL AS STRING)" if key is None else f"'{key}'"
+        entry = _struct({"key": name, "value": _struct(value)})
+        made.append(f"CASE WHEN {present} THEN {entry} END")
+    full = f"array_compact(array({', '.join(made)}))"
     return (
-        F.when(F.expr(NULL_BAG), None)
-        .when(F.expr(EMPTY_BAG), F.array().cast(full_type(value_type)))
-        .otherwise(full)
+        f"CASE WHEN {NULL_BAG} THEN NULL WHEN {EMPTY_BAG} THEN {_cast('array()', kind)} "
+        f"WHEN {NULL_ENTRY} THEN array_append({full}, {_cast('NULL', kind.elementType)}) "
+        f"ELSE {full} END"
     )
 
 
@@ -118,50 +137,30 @@ def full_type(value_type: T.StructType) -> T.ArrayType:
     ]))
 
 
-def _filled(field: T.StructField, path: str, numbers) -> Column:
+def _filled(field: T.StructField, path: str, numbers) -> str:
     if path == "event_params":
-        return _bag(PARAM_ENTRIES, PARAM_VALUE).alias(field.name)
+        return _bag(PARAM_ENTRIES, PARAM_VALUE)
     if path == "user_properties":
-        return _bag(PROPERTY_ENTRIES, PROPERTY_VALUE).alias(field.name)
+        return _bag(PROPERTY_ENTRIES, PROPERTY_VALUE)
     if path == "items":
-        item = F.struct(*[
-            (F.expr("concat('item-', CAST(k AS STRING))") if f.name == "item_id"
-             else F.col("value") if f.name == "price"
-             else F.expr("k % 3 + 1") if f.name == "quantity"
-             else F.lit(None)).cast(f.dataType).alias(f.name)
+        item = _struct({
+            f.name: _cast(ITEM_VALUES.get(f.name, "NULL"), f.dataType)
             for f in field.dataType.elementType.fields
-        ])
-        return F.when(F.expr("event_type = 'purchase'"), F.array(item)).alias(field.name)
+        })
+        return f"CASE WHEN event_type = 'purchase' THEN array({item}) END"
     if isinstance(field.dataType, T.StructType):
-        return F.struct(*[
-            _filled(f, f"{path}.{f.name}", numbers) for f in field.dataType.fields
-        ]).alias(field.name)
+        return _struct({
+            f.name: _filled(f, f"{path}.{f.name}", numbers) for f in field.dataType.fields
+        })
     number = next(numbers) if "." in path else 0
-    text = leaf_expression(path, field.dataType, number)
-    return F.expr(text).cast(field.dataType).alias(field.name)
-
-
-def struct_leaves() -> list[tuple[str, T.DataType, int]]:
-    """Every leaf inside a raw struct with its number, in schema order."""
-    found = []
-
-    def walk(struct: T.StructType, path: str) -> None:
-        for f in struct.fields:
-            here = f"{path}.{f.name}" if path else f.name
-            if isinstance(f.dataType, T.StructType):
-                walk(f.dataType, here)
-            elif "." in here:
-                found.append((here, f.dataType, len(found)))
-
-    walk(RAW, "")
-    return found
+    return _cast(leaf_expression(path, field.dataType, number), field.dataType)
 
 
 def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as an export has them -- the declared source columns -- and ``_dt``."""
-    numbers = iter(range(10_000))
-    columns = [_filled(field, field.name, numbers) for field in RAW.fields]
-    return source(spark, sf_dir).select(*columns, "_dt")
+    numbers = itertools.count()
+    columns = [f"{_filled(f, f.name, numbers)} AS {f.name}" for f in RAW.fields]
+    return source(spark, sf_dir).selectExpr(*columns, "_dt")
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
