@@ -1,9 +1,9 @@
 """Lookups in a key-value bag (``event_params`` or ``user_properties``).
 
-Single lookups go through the array of keys (``bag.key``), not through a lambda
-over the entries: the position search is generated code, and a Parquet scan then
-reads only the key and the one sub-field asked for.  A key that occurs twice
-gives its first value; an absent key gives NULL.
+Lookups go through the arrays of keys and values (``bag.key``, ``bag.value``), not
+through a lambda over the entries: the position search is generated code, and a
+Parquet scan then reads only the key and the one sub-field asked for.  A key that
+occurs twice gives its first value; an absent key gives NULL.
 """
 
 from __future__ import annotations
@@ -17,14 +17,19 @@ def keys(bag: Column) -> Column:
     return bag["key"]
 
 
+def _place(bag: Column, key: str) -> Column:
+    """0-based place of the first entry with this key, -1 if none."""
+    return F.array_position(keys(bag), F.lit(key)) - 1
+
+
 def entry(bag: Column, key: str) -> Column:
-    """First entry with this key, NULL if none."""
-    return F.get(bag, F.array_position(keys(bag), F.lit(key)) - 1)
+    """First entry with this key, NULL if none; for when several sub-fields are needed."""
+    return F.get(bag, _place(bag, key))
 
 
 def value(bag: Column, key: str, sub_field: str) -> Column:
     """One sub-field of the first entry with this key."""
-    return entry(bag, key)["value"][sub_field]
+    return F.get(bag["value"][sub_field], _place(bag, key))
 
 
 def has_key(bag: Column, key: str) -> Column:
@@ -35,15 +40,3 @@ def has_key(bag: Column, key: str) -> Column:
 def count(bag: Column) -> Column:
     """Number of entries; 0 for a NULL bag."""
     return F.coalesce(F.size(keys(bag)), F.lit(0))
-
-
-def as_map(bag: Column) -> Column:
-    """The bag as a map key -> value struct, for many lookups on one row.
-
-    Duplicate keys are dropped before the map is built (the first one stays), so
-    the result does not hang on how the session treats duplicate map keys.
-    """
-    names = keys(bag)
-    first_only = F.filter(bag, lambda p, i: F.array_position(names, p["key"]) == i + 1)
-    unique = F.size(F.array_distinct(names)) == F.size(names)
-    return F.map_from_entries(F.when(unique, bag).otherwise(first_only))

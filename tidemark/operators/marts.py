@@ -11,7 +11,7 @@ up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,9 +38,6 @@ SESSION_COLUMNS = {
     "engagement_time_msec_int": "bigint",
 }
 
-# Attributes a mart can be cut by, in the rollup that serves all marts.
-DIMENSIONS = ("event_name", "country", "platform", "app_version")
-
 _KEYS = ("_dt", "user_pseudo_id", "session")
 _SUMS = (
     "events", "first_opens", "prompts", "prompt_results", "chat_starts", "paywalls",
@@ -55,9 +52,13 @@ def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
 
 
 def rollup(
-    flat: DataFrame, dimensions: Sequence[str] = DIMENSIONS, names: EventNames = EventNames()
+    flat: DataFrame, dimensions: Sequence[str], names: EventNames = EventNames()
 ) -> DataFrame:
-    """Events summed per day, user, session and the given dimensions."""
+    """Events summed per day, user, session and the given dimensions.
+
+    Sums that the caller does not use are pruned by the optimizer, and so are the flat
+    columns behind them.
+    """
     session, engaged, millis = (
         column_or_null(flat, name, kind) for name, kind in SESSION_COLUMNS.items()
     )
@@ -101,15 +102,9 @@ def _seconds(millis: Column) -> Column:
 
 
 def _summary(rolled: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """Every metric per day and the given dimensions, from a rollup at least as fine.
-
-    Metrics a mart does not select are pruned by the optimizer.
-    """
+    """Every metric per day and the given dimensions, from the rollup by these dimensions."""
     user = F.col("user_pseudo_id")
-    per_session = rolled.groupBy(*_KEYS, *dimensions).agg(
-        *[F.sum(c).alias(c) for c in _SUMS], F.max("is_engaged").alias("is_engaged")
-    )
-    per_user = per_session.groupBy("_dt", *dimensions, "user_pseudo_id").agg(
+    per_user = rolled.groupBy("_dt", *dimensions, "user_pseudo_id").agg(
         *[F.sum(c).alias(c) for c in _SUMS],
         F.count("session").alias("sessions"),
         F.count_if("is_engaged").alias("engaged_sessions"),
@@ -169,7 +164,8 @@ def user_daily(rolled: DataFrame) -> DataFrame:
 
     Platform, country and version are those of the user's latest event; among events
     of the same microsecond the largest value counts.  These maxima need the sort-based
-    aggregate, which is why they are taken over the rollup and not over events.
+    aggregate, which is why the three are dimensions of the rollup -- they seldom change
+    within a session -- and the maxima are taken over its rows and not over events.
     """
 
     def at_latest(column: str) -> Column:
@@ -197,15 +193,14 @@ def user_daily(rolled: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Mart:
-    """A mart table: how to build it, and the dimensions its own rollup needs."""
+    """A mart table: how to build it from the rollup by its dimensions, and its sort."""
 
     name: str
-    build: object
+    build: Callable[[DataFrame], DataFrame]
     dimensions: tuple[str, ...]
     sort: tuple[str, ...] = ()
 
     def from_flat(self, flat: DataFrame, names: EventNames = EventNames()) -> DataFrame:
-        """This mart alone, by the narrowest rollup that serves it."""
         return self.build(rollup(flat, self.dimensions, names))
 
 

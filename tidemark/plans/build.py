@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import session
 from tidemark.functions import days
 from tidemark.operators import discover, flatten, marts, quality, registry
 from tidemark.operators.marts import EventNames
@@ -81,9 +80,10 @@ def build_marts(
 ) -> dict[date, str]:
     """Build the four marts of the flat days first..last again.
 
-    The flat table is read once: its rollup is written to the scratch folder and every
-    mart is built from that.  A day without flat rows is skipped.  Raises at the end if
-    a day's per-event mart does not sum up to its flat rows.
+    Each mart reads the few flat columns it needs; they share no intermediate table,
+    because a rollup fine enough for all four would itself have to be shuffled again for
+    each.  A day without flat rows is skipped.  Raises at the end if a day's per-event
+    mart does not sum up to its flat rows.
     """
     first, last = days.check_range(first, last)
 
@@ -91,12 +91,11 @@ def build_marts(
         flat = app.flat(a, b)
         found = _days_with_rows(flat)
         built = {"_built_at": F.current_timestamp(), "_run_id": F.lit(run_id)}
-        with session.written(marts.rollup(flat, names=names), "rollup") as rolled:
-            for mart in marts.MARTS:
-                partitions.replace_days(
-                    mart.build(rolled).withColumns(built), app.path(mart.name), found,
-                    mart.sort, rebalance=True,
-                )
+        for mart in marts.MARTS:
+            partitions.replace_days(
+                mart.from_flat(flat, names).withColumns(built), app.path(mart.name), found,
+                mart.sort, rebalance=True,
+            )
         flat_counts = quality.day_counts(flat, "flat_rows")
         events = app.mart("mart_daily_events", a, b).join(flat_counts, "_dt", "left_semi")
         return _statuses(app, a, b, quality.reconcile_marts(flat_counts, events))

@@ -4,13 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources import folders
-
 
 def local(cpus: int | str = "*", **settings: str) -> SparkSession:
     """A local session for tests and the bench."""
@@ -59,14 +55,3 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """As ``stored``, for the length of a block; the files are deleted at its end."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    try:
-        yield stored(df, path)
-    finally:
-        folders.delete(spark, path)
