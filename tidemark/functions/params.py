@@ -22,11 +22,6 @@ def _place(bag: Column, key: str) -> Column:
     return F.array_position(keys(bag), F.lit(key)) - 1
 
 
-def entry(bag: Column, key: str) -> Column:
-    """First entry with this key, NULL if none; for when several sub-fields are needed."""
-    return F.get(bag, _place(bag, key))
-
-
 def value(bag: Column, key: str, sub_field: str) -> Column:
     """One sub-field of the first entry with this key."""
     return F.get(bag["value"][sub_field], _place(bag, key))

@@ -18,15 +18,14 @@ def base_columns(raw: DataFrame, *others: str) -> DataFrame:
 def flatten(raw: DataFrame, dynamic: list[DynamicColumn], run_id: str) -> DataFrame:
     """One flat row per raw row: a single projection, no shuffle.
 
-    The keys of a bag and the place of a key in it are common to all columns that ask
-    for them, and are worked out once per row.  A projection that first made a map of
-    each bag took twice as long: the wide row is then copied once more.
+    The keys of a bag, the values of a sub-field and the place of a key are common to
+    all columns that ask for them, and are worked out once per row.  A projection that
+    first made a map of each bag took longer: the wide row is then copied once more.
     """
     bags = {source: F.col(source) for source in SOURCES}
-    entries = {(c.source, c.key): params.entry(bags[c.source], c.key) for c in dynamic}
     return raw.select(
         *[F.expr(column.sql()) for column in BASE],
-        *[entries[c.source, c.key]["value"][c.sub_field].alias(c.name) for c in dynamic],
+        *[params.value(bags[c.source], c.key, c.sub_field).alias(c.name) for c in dynamic],
         "_dt",
         F.current_timestamp().alias("_ingested_at"),
         F.lit(run_id).alias("_run_id"),
