@@ -130,13 +130,16 @@ def name_columns(new: DataFrame, taken: DataFrame) -> DataFrame:
 
 def _with_names(seen: DataFrame, known: DataFrame) -> DataFrame:
     """Adds name and type to triples: the known name if any, else a new one."""
-    new = seen.join(known, TRIPLE, "left_anti")
+    kept = seen.join(known.select(*TRIPLE, "column_name"), TRIPLE, "left")
+    new = name_columns(kept.filter("column_name IS NULL"), known).withColumnRenamed(
+        "column_name", "new_name"
+    )
     types = {sub: kind.simpleString() for sub, (_, kind) in SUB_FIELDS.items()}
-    named = name_columns(new, known).withColumn(
-        "column_type", _literal_map(types, F.col("sub_field"))
+    return (
+        kept.join(new, TRIPLE, "left")
+        .withColumn("column_name", F.coalesce("column_name", "new_name"))
+        .withColumn("column_type", _literal_map(types, F.col("sub_field")))
     )
-    names = known.select(*TRIPLE, "column_name", "column_type").unionByName(named)
-    return seen.join(names, TRIPLE)
 
 
 def _seen(found: DataFrame) -> DataFrame:

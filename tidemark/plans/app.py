@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import registry
+from tidemark.operators import quality, registry
 from tidemark.operators.marts import MARTS
 from tidemark.operators.registry import DynamicColumn
 from tidemark.schema import tables
@@ -28,6 +28,11 @@ class App:
     def raw(self, first=None, last=None) -> DataFrame:
         return partitions.read_days(self.spark, self.path("events_raw"), STORED_RAW, first, last)
 
+    def day_counts(self, table: str, name: str, first=None, last=None) -> DataFrame:
+        """Stored rows per day, from file footers: no column but the day is read."""
+        rows = partitions.read_days(self.spark, self.path(table), "_dt date", first, last)
+        return quality.day_counts(rows, name)
+
     def registry(self) -> DataFrame:
         """All registry rows ever appended."""
         path = self.path("flat_schema_registry")

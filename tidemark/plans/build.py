@@ -25,9 +25,9 @@ class Flattened:
     new_columns: list[str] = field(default_factory=list)
 
 
-def _days_with_rows(df: DataFrame) -> set[date]:
-    """Days that hold rows; counted from file footers, one entry per calendar day."""
-    return {r["_dt"] for r in df.groupBy("_dt").count().collect()}
+def _days_with_rows(app: App, table: str, first: date, last: date) -> set[date]:
+    """Days of a stored table that hold rows, one entry per calendar day."""
+    return {r["_dt"] for r in app.day_counts(table, "n", first, last).collect()}
 
 
 def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> list[str]:
@@ -36,17 +36,19 @@ def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> li
     The counts are kept per day and replaced like any other day, so that a re-run
     adds nothing twice.  Returns the columns that are new to the flat table.
     """
-    before = {column.name for column in app.columns()}
     counts = discover.discover_keys(raw).withColumn("_run_id", F.lit(run_id))
     partitions.replace_days(counts, app.path("key_counts"), found, rebalance=True)
+    # As small as the flat table is wide; held as a local table, it is not worked out
+    # again for every join below.
     known = registry.latest(app.registry())
+    known = app.spark.createDataFrame(known.collect(), known.schema)
     rows = registry.from_counts(known, app.key_counts())
     (
         rows.withColumn("updated_at", F.current_timestamp())
         .coalesce(1).write.mode("append").parquet(app.path("flat_schema_registry"))
     )
-    after = [column.name for column in app.columns()]
-    return [name for name in after if name not in before]
+    before = {row["column_name"] for row in known.select("column_name").collect()}
+    return [column.name for column in app.columns() if column.name not in before]
 
 
 def flatten_days(app: App, first, last, run_id: str) -> Flattened:
@@ -60,14 +62,14 @@ def flatten_days(app: App, first, last, run_id: str) -> Flattened:
 
     def job(a: date, b: date) -> dict[date, str]:
         raw = app.raw(a, b)
-        found = _days_with_rows(raw)
+        found = _days_with_rows(app, "events_raw", a, b)
         new_columns.extend(sync_registry(app, raw, found, run_id))
         partitions.replace_days(
             flatten.flatten(raw, app.columns(), run_id), app.path("events_flat"), found, SORT_KEY
         )
         checked = quality.reconcile_flat(
-            quality.day_counts(raw, "raw_rows"),
-            quality.day_counts(app.flat(a, b), "flat_rows"),
+            app.day_counts("events_raw", "raw_rows", a, b),
+            app.day_counts("events_flat", "flat_rows", a, b),
         ).filter("raw_rows > 0")
         return _statuses(app, a, b, checked)
 
@@ -89,14 +91,14 @@ def build_marts(
 
     def job(a: date, b: date) -> dict[date, str]:
         flat = app.flat(a, b)
-        found = _days_with_rows(flat)
+        found = _days_with_rows(app, "events_flat", a, b)
         built = {"_built_at": F.current_timestamp(), "_run_id": F.lit(run_id)}
         for mart in marts.MARTS:
             partitions.replace_days(
                 mart.from_flat(flat, names).withColumns(built), app.path(mart.name), found,
                 mart.sort, rebalance=True,
             )
-        flat_counts = quality.day_counts(flat, "flat_rows")
+        flat_counts = app.day_counts("events_flat", "flat_rows", a, b)
         events = app.mart("mart_daily_events", a, b).join(flat_counts, "_dt", "left_semi")
         return _statuses(app, a, b, quality.reconcile_marts(flat_counts, events))
 

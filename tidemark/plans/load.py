@@ -105,7 +105,7 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
                 stored, app.path("events_raw"), {r["_dt"] for r in found}, SORT_KEY
             )
         listed = app.spark.createDataFrame(found, listed.schema)
-        loaded = quality.day_counts(app.raw(a, b), "rows_inserted")
+        loaded = app.day_counts("events_raw", "rows_inserted", a, b)
         empty = F.col("rows_inserted").isNull()
         done = listed.join(loaded, "_dt", "left").select(
             "_dt",
@@ -153,7 +153,7 @@ def load_tables(
             stored, app.path("events_raw"), {r["_dt"] for r in counted}, SORT_KEY
         )
         expected = app.spark.createDataFrame(counted, source.schema)
-        loaded = quality.day_counts(app.raw(a, b), "loaded_rows").join(expected, "_dt", "left_semi")
+        loaded = app.day_counts("events_raw", "loaded_rows", a, b).join(expected, "_dt", "left_semi")
         checked = quality.reconcile_source(expected, loaded, F.col("is_intraday") == 1)
         failed = F.col("verdict") == "fail"
         done = checked.select(

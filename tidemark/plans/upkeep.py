@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days
-from tidemark.operators import quality, reports
+from tidemark.operators import reports
 from tidemark.plans.app import App
 from tidemark.schema.raw import SORT_KEY
 from tidemark.sources import files, folders, partitions
@@ -42,7 +42,7 @@ def compact_days(app: App, first, last, target_bytes: int = TARGET_FILE_BYTES) -
         return set()
     listed = reports.storage(
         files.parquet_files(app.spark, app.path("events_raw")),
-        quality.day_counts(app.raw(first, last), "rows"),
+        app.day_counts("events_raw", "rows", first, last),
     )
     size = listed.filter(days.within(first, last)).agg(F.sum("bytes")).first()[0]
     pieces = max(1, -(-size // target_bytes))
@@ -60,5 +60,5 @@ def storage_report(app: App) -> DataFrame:
     """Files, bytes and rows per raw day."""
     return reports.storage(
         files.parquet_files(app.spark, app.path("events_raw")),
-        quality.day_counts(app.raw(), "rows"),
+        app.day_counts("events_raw", "rows"),
     )
