@@ -16,6 +16,12 @@ EMPTY_PARAMS_WARN = 0.20
 INTRADAY_DRIFT = 0.005
 
 
+METRICS = (
+    "_dt date, rows bigint, null_pseudo bigint, empty_params bigint, uniq_event_names bigint, "
+    "max_params_len int"
+)
+
+
 def metrics(raw: DataFrame) -> DataFrame:
     """Rows, missing users, empty bags, event names and longest bag per day."""
     user, size = F.col("user_pseudo_id"), params.count(F.col("event_params"))

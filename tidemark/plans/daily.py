@@ -16,12 +16,17 @@ class ChecksFailed(RuntimeError):
 
 
 def check_loaded(app: App, first, last) -> DataFrame:
-    """Verdict per loaded day; raises if any is ``fail`` or no bag could be read."""
-    rows = app.raw(first, last)
-    judged = quality.verdicts(quality.metrics(rows)).join(quality.nested_readable(rows), "_dt")
+    """Metrics and verdicts per loaded day, in one pass over the rows.
+
+    Raises if a verdict is ``fail``, or if no bag of a day could be read: a longest bag
+    of no entries means that the declared schema does not fit the files.
+    """
+    measured = quality.metrics(app.raw(first, last)).collect()
+    rows = app.spark.createDataFrame(measured, quality.METRICS)
+    judged = rows.join(quality.verdicts(rows), "_dt")
     bad = judged.filter(
         F.array_contains(F.array("rows_verdict", "names_verdict"), "fail")
-        | ~F.col("nested_readable")
+        | (F.col("max_params_len") <= 0)
     )
     failed = [str(r["_dt"]) for r in bad.select("_dt").collect()]
     if failed:

@@ -94,8 +94,9 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
 
     def job(a: date, b: date) -> dict[date, str]:
         # One folder per calendar day of the range.
-        listed = files.day_folders(files.parquet_files(app.spark, export_root))
-        found = listed.filter(days.within(a, b)).collect()
+        paths = files.day_paths(app.spark, export_root, a, b)
+        listed = files.day_folders(files.parquet_files(app.spark, paths))
+        found = listed.collect()
         if found:
             rows = raw.scan_days(app.spark, [r["folder"] for r in found])
             stored = raw.load_columns(

@@ -36,18 +36,15 @@ def compact_days(app: App, first, last, target_bytes: int = TARGET_FILE_BYTES) -
     makes up most of it -- is spread over as many tasks as its bytes ask for.
     """
     first, last = days.check_range(first, last)
-    stored = {d for d in folders.stored_days(app.spark, app.path("events_raw"))
-              if first <= d <= last}
+    table = app.path("events_raw")
+    stored = {d for d in folders.stored_days(app.spark, table) if first <= d <= last}
     if not stored:
         return set()
-    listed = reports.storage(
-        files.parquet_files(app.spark, app.path("events_raw")),
-        app.day_counts("events_raw", "rows", first, last),
-    )
-    size = listed.filter(days.within(first, last)).agg(F.sum("bytes")).first()[0]
+    listed = files.parquet_files(app.spark, [f"{table}/_dt={d}" for d in sorted(stored)])
+    size = listed.agg(F.sum("length")).first()[0] or 0
     pieces = max(1, -(-size // target_bytes))
     rows = app.raw(first, last).repartitionByRange(pieces, "_dt", *SORT_KEY)
-    return partitions.replace_days(rows, app.path("events_raw"), stored, SORT_KEY)
+    return partitions.replace_days(rows, table, stored, SORT_KEY)
 
 
 def compact_last_week(app: App, day: str | date) -> set[date]:

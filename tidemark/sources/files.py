@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +21,38 @@ LAYOUTS = (
 )
 
 
-def parquet_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per ``.parquet`` file under a root: path and length, contents unread."""
-    if not folders.exists(spark, root):
+# The same layouts as folder names.
+FOLDER_NAMES = ("dt=%Y-%m-%d", "%Y-%m-%d", "dt=%Y%m%d", "%Y%m%d")
+
+
+def parquet_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One row per ``.parquet`` file under the paths: path and length, contents unread."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    there = [path for path in paths if folders.exists(spark, path)]
+    if not there:
         return spark.createDataFrame([], _LISTING).select("path", "length")
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(there)
         .select("path", "length")
     )
 
 
+def day_paths(spark: SparkSession, root: str, first: date, last: date) -> list[str]:
+    """Folders under a root that are named for a day of the range, in any layout.
+
+    Only the root itself is listed, so the rest of a long history costs nothing.
+    """
+    wanted = set()
+    day = first
+    while day <= last:
+        wanted |= {day.strftime(form) for form in FOLDER_NAMES}
+        day += timedelta(days=1)
+    return [f"{root}/{name}" for name in folders.children(spark, root) if name in wanted]
+
+
 def layout_day(path: Column) -> tuple[Column, Column]:
     """Day and layout rank of a file path, both NULL outside the known layouts."""
     day = rank = None
