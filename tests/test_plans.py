@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tests import sample
 from tidemark.plans import build, daily, load, status, upkeep
 from tidemark.schema.raw import RAW
-from tidemark.sources import partitions
 
 DAYS = [date(2099, 1, d) for d in range(1, 6)]
 
@@ -21,7 +20,7 @@ def table(spark, per_day, columns=True):
                            date=day.strftime("%Y%m%d")))
         for day, n in per_day.items() for i in range(n)
     ]
-    schema = f"_dt date, e struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in sample.SCHEMA.fields)}>"
+    schema = f"_dt date, e {sample.SCHEMA.simpleString()}"
     df = spark.createDataFrame(rows, schema).select("_dt", "e.*")
     missing = {f.name: F.lit(None).cast(f.dataType) for f in RAW.fields if f.name not in df.columns}
     return df.withColumns(missing)
