@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, pii
+from tidemark import session
+from tidemark.llm import bpe, chat, exact_dedup, pii, token_files
 from tidemark.llm.tables import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = session.scratch_path(spark, "token-files")
+    manifest = token_files.write(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
+    return token_files.read(manifest, folder, digest=True)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_dedup.dedup(docs, exact_dedup.halves(docs))
@@ -18,6 +31,17 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    return bpe.decode(coded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -31,7 +55,9 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
 }
