@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import bpe, chat, exact_dedup, pii, token_files
+from tidemark.llm import bpe, chat, exact_dedup, langid, pii, token_files
 from tidemark.llm.tables import table
 
 
@@ -16,6 +16,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    judged = langid.identify(docs, model)
+    return judged.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.scratch_path(spark, "token-files")
     manifest = token_files.write(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
@@ -55,6 +62,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
