@@ -39,4 +39,31 @@ FROM whole
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.n < p.size AND p.n = whole.n AND p.so_far = whole.so_far)
 """
 
-SQL = {"op5_exact_dedup": OP5, "op6_chat_format": OP6}
+OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT x, y FROM i JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * k >= 85 * (p.n + q.n - k)
+), r AS (
+  SELECT doc_id AS node, doc_id AS reach FROM documents
+  UNION
+  SELECT e.y, r.reach FROM r JOIN e ON e.x = r.node
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT node AS doc_id, min(reach) AS component_id FROM r GROUP BY node) c USING (doc_id)
+"""
+
+SQL = {"op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}
