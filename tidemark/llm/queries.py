@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import bpe, chat, exact_dedup, jaccard, langid, pii, token_files
+from tidemark.llm import bpe, chat, decontam, exact_dedup, jaccard, langid, pii, token_files
 from tidemark.llm.tables import table
 
 
@@ -15,6 +15,10 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -69,6 +73,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
+    "op3_decontam": op3_decontam,
     "op4_token_files": op4_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
