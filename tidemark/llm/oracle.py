@@ -66,4 +66,26 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT node AS doc_id, min(reach) AS component_id FROM r GROUP BY node) c USING (doc_id)
 """
 
-SQL = {"op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}
+OP10 = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS ws FROM documents
+), p AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+  FROM w, unnest(range(1, len(ws) - 48)) AS t(i)
+), f AS (SELECT h, min(doc_id) AS least FROM p GROUP BY h),
+r AS (SELECT doc_id, i FROM p JOIN f USING (h) WHERE least < doc_id),
+c AS (
+  SELECT x.doc_id, x.k, x.word, r.i IS NOT NULL AND x.k - r.i < 50 AS gone
+  FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS k, unnest(ws) AS word FROM w) x
+  ASOF LEFT JOIN r ON x.doc_id = r.doc_id AND x.k >= r.i
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(stays, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n,
+         string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS stays
+  FROM c GROUP BY doc_id
+) USING (doc_id)
+"""
+
+SQL = {"op10_phrases": OP10, "op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import bpe, chat, decontam, exact_dedup, jaccard, langid, pii, token_files
+from tidemark.llm import bpe, chat, decontam, exact_dedup, jaccard, langid, phrases, pii, suffix_dedup, token_files
 from tidemark.llm.tables import table
 
 
@@ -70,6 +70,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal(table(spark, sf_dir, "documents"))
+
+
+def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.removal(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
@@ -79,4 +87,6 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_phrases": op10_phrases,
 }

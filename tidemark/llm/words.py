@@ -49,8 +49,8 @@ def slice_hash(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column without nulls."""
-    column = column.cast(pa.large_string())
+    """(bytes, offsets) of a string or binary column without nulls."""
+    column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or offsets[-1] == offsets[0]:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
