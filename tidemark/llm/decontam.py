@@ -37,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
-from tidemark.llm.tables import kept
 from tidemark.llm.words import Words, mixed, words
 
 STRIDE = 64
@@ -199,50 +198,66 @@ def retrieve(index: Index, found: Words, threshold: float = THRESHOLD) -> tuple[
     return pair // len(index.items), pair % len(index.items), best
 
 
-def _search(docs: DataFrame, index: Index) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for whole in batches:
-            for batch in slices(whole, "text", BATCH_BYTES):
-                found = words(batch.column("text"), True, BREAK)
-                text, item, score = retrieve(own, found)
-                ids, rows = batch.column("doc_id").to_pylist(), []
-                for t, i, s in zip(text.tolist(), item.tolist(), score.tolist()):
-                    there = found.hashes[found.first[t] : found.first[t + 1]]
-                    asked = share(own.question[i], there)
-                    if asked >= OVERLAP:
-                        rows.append((ids[t], int(own.items[i]), s, asked, share(own.answer[i], there)))
-                if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                    names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    return docs.mapInArrow(run, HITS)
-
+def hits(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float]]:
+    """(text number, item number, score, question's share, answer's share) of verified pairs."""
+    found = words(column, True, BREAK)
+    out = []
+    for t, i, score in zip(*(x.tolist() for x in retrieve(index, found))):
+        there = found.hashes[found.first[t] : found.first[t + 1]]
+        asked = share(index.question[i], there)
+        if asked >= OVERLAP:
+            out.append((t, i, score, asked, share(index.answer[i], there)))
+    return out
 
-def contaminated(docs: DataFrame, items: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap, full) of documents that know an item.
 
-    ``items``: (item_id, text), or (item_id, question, answer).
-    """
-    spark = docs.sparkSession
+def indexes(items: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[Index]:
+    """Indexes of (item_id, text) or (item_id, question, answer), a shard at a time."""
     whole = F.col("text") if "text" in items.columns else F.concat_ws(" ", "question", "answer")
     size = items.select(F.sum(F.length(whole)).alias("n")).first().n or 0
     shards = max(1, -(-size // (4 * shard_words)))  # four characters a word, or more shards than needed
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    parts = []
     for shard in range(shards):
         rows = items.where(F.pmod(F.xxhash64("item_id", whole), F.lit(shards)) == shard).collect()
-        given = [(r.item_id, *(split_item(r.text) if "text" in items.columns else (r.question, r.answer))) for r in rows]
-        index = build(given)
-        parts.append(_search(texts, index) if index else spark.createDataFrame([], HITS))
-    found = reduce(DataFrame.unionByName, parts)
+        index = build([(r.item_id, *(split_item(r.text) if "text" in items.columns else (r.question, r.answer))) for r in rows])
+        if index:
+            yield index
+
+
+def contaminated(docs: DataFrame, items: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap, full) of documents that know an item."""
+    spark = docs.sparkSession
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def search(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
+            for whole in batches:
+                for batch in slices(whole, "text", BATCH_BYTES):
+                    ids = batch.column("doc_id").to_pylist()
+                    rows = [(ids[t], int(shared.value.items[i]), *rest) for t, i, *rest in hits(shared.value, batch.column("text"))]
+                    if rows:
+                        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        return texts.mapInArrow(run, HITS)
+
+    parts = [search(spark.sparkContext.broadcast(index)) for index in indexes(items, shard_words)]
+    found = reduce(DataFrame.unionByName, parts, spark.createDataFrame([], HITS))
     return found.withColumn("full", F.col("answer_overlap") >= OVERLAP)
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that know no item, with their columns; null ids can't be told apart and stay."""
-    leaks = kept(contaminated(docs, items).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti")
+def clean(docs: DataFrame, items: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The rows of ``docs`` that know no item, with their columns."""
+
+    def keep(docs: DataFrame, shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in slices(whole, "text", BATCH_BYTES):
+                    stays = np.ones(batch.num_rows, bool)
+                    stays[[t for t, *_ in hits(shared.value, batch.column("text").fill_null(""))]] = False
+                    yield batch.filter(pa.array(stays))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    for index in indexes(items, shard_words):
+        docs = keep(docs, docs.sparkSession.sparkContext.broadcast(index))
+    return docs

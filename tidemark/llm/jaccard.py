@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bpe import slices
 from tidemark.llm.components import components
@@ -316,6 +317,30 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     ``links`` is the number of verified links that its class took part in (those needed to tell
     the components, not all there are).
     """
+    return _placed(docs).drop("a", "b")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component (that of its least id) and all that have no shingles, with their columns."""
+    placed = _placed(docs)
+    stay = placed.where("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min(F.struct("a", "b")).alias("s"))
+    stay = kept(stay.select(F.col("component_id").alias("_id"), F.col("s.a").alias("_a"), F.col("s.b").alias("_b")), "stays")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_BYTES):
+                h, t = shingles(batch.column("text").fill_null(""))
+                n, a, b = prints(h, t, batch.num_rows)
+                yield pa.record_batch([*batch.columns, pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], [*batch.schema.names, "_n", "_a", "_b"])
+
+    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_n", "_a", "_b")]]))
+    marked = marked.withColumn("_id", F.col("doc_id"))
+    same = [marked["_id"].eqNullSafe(stay["_id"]), marked["_a"] == stay["_a"], marked["_b"] == stay["_b"]]
+    one = marked.where("_n > 0").join(stay, same, "left_semi").dropDuplicates(["_id", "_a", "_b"])
+    return one.unionByName(marked.where("_n = 0")).select(*docs.columns)
+
+
+def _placed(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     known = kept(sizes(texts), "set-sizes")
@@ -340,6 +365,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return known.join(member, ["a", "b", "n_shingles"], "left").select(
         "doc_id",
         "n_shingles",
+        "a",
+        "b",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )

@@ -310,6 +310,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows whose text is accepted, with their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_BYTES):
+                accepted = shared.value.judge([t or "" for t in batch.column("text").to_pylist()])[3]
+                yield batch.filter(pa.array(accepted))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a document belongs to the quarter that is not learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
