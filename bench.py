@@ -21,7 +21,7 @@ from tidemark.operators import discover, flatten, marts, quality, reports, reten
 from tidemark.plans import build, load
 from tidemark.plans.app import App
 from tidemark.shaped import events
-from tidemark.shaped.queries import FIRST, LAST
+from tidemark.shaped.queries import span
 
 RUNS = 2
 
@@ -86,10 +86,11 @@ def main() -> None:
     exported = spark.read.schema(rows.schema).parquet(source)
     none = exported.limit(0)
 
+    first, last = span(spark, sf_dir)
     times = {}
-    times["load_raw"] = timed(lambda: load.load_tables(app, exported, none, FIRST, LAST, "r"), 1)
-    times["flatten_days"] = timed(lambda: build.flatten_days(app, FIRST, LAST, "r"), 1)
-    times["build_marts"] = timed(lambda: build.build_marts(app, FIRST, LAST, "r"), 1)
+    times["load_raw"] = timed(lambda: load.load_tables(app, exported, none, first, last, "r"), 1)
+    times["flatten_days"] = timed(lambda: build.flatten_days(app, first, last, "r"), 1)
+    times["build_marts"] = timed(lambda: build.build_marts(app, first, last, "r"), 1)
 
     raw, flat, columns = app.raw(), app.flat(), app.columns()
     users = app.mart("mart_user_daily")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from tidemark import session
@@ -16,6 +18,9 @@ def spark(tmp_path_factory):
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield session.prepare(spark)
+    session.clear_scratch(spark)
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not list(root.glob("tidemark-*"))
     spark.stop()
 
 

@@ -43,16 +43,16 @@ def event(ts, name, user, params, properties=(), date="20990101", platform="ANDR
 
 def first_rows():
     return [
-        event(1000, "session_start", "p-1",
+        event(1000, "session_start", "dev-7",
               [param("ga_session_id", integer=123), param("page", "home")],
-              [prop("_ltv_COP", double=1.5, set_at=999), prop("user_id", "u-42")]),
+              [prop("_worth", double=1.5, set_at=417), prop("user_id", "acc-9")]),
         event(2000, "screen_view", "p-2", []),
-        event(3000, "broken_event", None, [param("broken")]),
+        event(3000, "blank_event", None, [param("blank")]),
     ]
 
 
 def new_key_row():
-    return event(4000, "new_key_event", "p-1", [param("pytest_new_param", "xin chào")])
+    return event(4000, "new_key_event", "dev-7", [param("fresh_key", "grüezi")])
 
 
 def frame(spark: SparkSession, rows) -> DataFrame:

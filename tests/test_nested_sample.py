@@ -30,12 +30,12 @@ def test_load_keeps_nested_values(spark, app, export):
         params.count(bag).alias("n"),
         params.value(bag, "ga_session_id", "int_value").alias("session"),
         params.value(bag, "page", "string_value").alias("page"),
-        params.value(properties, "_ltv_COP", "double_value").alias("ltv"),
-        params.value(properties, "_ltv_COP", "set_timestamp_micros").alias("set_at"),
+        params.value(properties, "_worth", "double_value").alias("ltv"),
+        params.value(properties, "_worth", "set_timestamp_micros").alias("set_at"),
         "user_pseudo_id", "event_date_d", "geo.country", "publisher", "items", "_is_intraday",
     ).collect()
     assert [r.n for r in got] == [2, 0, 1]
-    assert (got[0].session, got[0].page, got[0].ltv, got[0].set_at) == (123, "home", 1.5, 999)
+    assert (got[0].session, got[0].page, got[0].ltv, got[0].set_at) == (123, "home", 1.5, 417)
     assert got[2].user_pseudo_id is None
     assert {r.event_date_d for r in got} == {DAY}
     assert {r.country for r in got} == {"Vietnam"}
@@ -61,18 +61,18 @@ def test_flatten_adds_columns_as_keys_appear(spark, app, export):
     done = build.flatten_days(app, DAY, DAY, "run-1")
     assert done.statuses == {DAY: "success"}
     assert set(done.new_columns) == {
-        "ga_session_id_int", "page_str", "_ltv_COP_double", "up_user_id_str"}
+        "ga_session_id_int", "page_str", "_worth_double", "up_user_id_str"}
     row = app.flat().filter("event_timestamp = 1000").first()
     assert (row.ga_session_id_int, row.page_str, row.up_user_id_str, row.event_date,
             row.device_operating_system, row.geo_country) == (
-        123, "home", "u-42", DAY, "Android", "Vietnam")
+        123, "home", "acc-9", DAY, "Android", "Vietnam")
 
     sample.write_day(spark, [*sample.first_rows(), sample.new_key_row()], export)
     load.load_files(app, export, DAY, DAY, "run-2")
     again = build.flatten_days(app, DAY, DAY, "run-2")
-    assert again.new_columns == ["pytest_new_param_str"]
+    assert again.new_columns == ["fresh_key_str"]
     assert app.flat().count() == 4
-    assert app.flat().filter("event_timestamp = 4000").first().pytest_new_param_str == "xin chào"
+    assert app.flat().filter("event_timestamp = 4000").first().fresh_key_str == "grüezi"
 
     third = build.flatten_days(app, DAY, DAY, "run-3")
     assert third.new_columns == [] and app.flat().count() == 4
@@ -87,5 +87,5 @@ def test_a_day_flattened_earlier_reads_null_for_later_columns(spark, app, tmp_pa
     load.load_files(app, root, DAY, "2099-01-02", "run-1")
     build.flatten_days(app, DAY, DAY, "run-1")
     build.flatten_days(app, "2099-01-02", "2099-01-02", "run-1")
-    got = {r.event_timestamp: r.pytest_new_param_str for r in app.flat().collect()}
-    assert got == {1000: None, 2000: None, 3000: None, 4000: "xin chào"}
+    got = {r.event_timestamp: r.fresh_key_str for r in app.flat().collect()}
+    assert got == {1000: None, 2000: None, 3000: None, 4000: "grüezi"}

@@ -26,13 +26,13 @@ def name(spark, triples, taken=()):
     (EP, "screen", "string_value", (), "screen_str"),
     (EP, "value", "float_value", (), "value_float"),
     (EP, "value", "double_value", (), "value_double"),
-    (UP, "_ltv_COP", "int_value", (), "_ltv_COP_int"),
+    (UP, "_worth", "int_value", (), "_worth_int"),
     (UP, "user_id", "string_value", (), "up_user_id_str"),
     (UP, "value", "int_value", ("value_int",), "up_value_int"),
     (EP, "value", "int_value", ("value_int",), "ep_value_int"),
     (EP, "value", "int_value", ("value_int", "ep_value_int"), "ep_value_int2"),
-    (EP, "weird-key!x", "string_value", (), "weird_key_x_str"),
-    (EP, "9lives", "int_value", (), "_9lives_int"),
+    (EP, "odd key?y", "string_value", (), "odd_key_y_str"),
+    (EP, "7th_try", "int_value", (), "_7th_try_int"),
     (EP, "", "int_value", (), "_empty_int"),
 ])
 def test_names(spark, source, key, sub, taken, want):

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import date
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import days
 from tidemark.schema.raw import RAW
+from tidemark.sources import files
 
 
-def compare_schemas(
-    spark: SparkSession, actual: T.StructType, declared: T.StructType = RAW
-) -> DataFrame:
-    """Differences as rows: column, kind (extra, missing, mismatched), both types."""
+def differences(actual: T.StructType, declared: T.StructType = RAW) -> list[tuple]:
+    """Rows of column, kind (extra, missing, mismatched), declared and actual type."""
     have = {f.name: f.dataType.simpleString() for f in actual.fields}
     want = {f.name: f.dataType.simpleString() for f in declared.fields}
     rows = [(n, "extra", None, t) for n, t in have.items() if n not in want]
@@ -22,19 +26,56 @@ def compare_schemas(
     rows += [
         (n, "mismatched", t, have[n]) for n, t in want.items() if n in have and have[n] != t
     ]
+    return rows
+
+
+def compare_schemas(
+    spark: SparkSession, actual: T.StructType, declared: T.StructType = RAW
+) -> DataFrame:
+    """The differences of two schemas as rows."""
     return spark.createDataFrame(
-        rows, "column string, kind string, declared string, actual string"
+        differences(actual, declared), "column string, kind string, declared string, actual string"
     )
 
 
-def schema_drift(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Drift over all the files given; Spark merges their footers in parallel.
+def _schemas(spark: SparkSession, folder: str) -> list[T.StructType]:
+    """The schemas of a folder's files: one, unless they disagree on a type.
 
-    The day in a folder's name is not a column of its files.
+    Spark merges the footers in parallel; only a folder that can't be merged is read file
+    by file.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    return compare_schemas(spark, reader.parquet(*paths).schema)
+    try:
+        return [reader.parquet(folder).schema]
+    except (PySparkException, Py4JError) as error:
+        if "CANNOT_MERGE" not in str(error) and "Failed to merge" not in str(error):
+            raise
+    paths = [r.path for r in files.parquet_files(spark, folder).collect()]
+    found = {reader.parquet(path).schema.json(): path for path in sorted(paths)}
+    return [T.StructType.fromJson(json.loads(text)) for text in found]
+
+
+def schema_drift(
+    spark: SparkSession, root: str, first: str | date, last: str | date,
+    declared: T.StructType = RAW,
+) -> DataFrame:
+    """Drift of each exported day first..last: _dt, column, kind, both types.
+
+    Days are never merged with each other, so a column that one day lacks or that changes
+    its type between days shows on that day.  The day in a folder's name is not a column
+    of its files.  What is gathered is one schema per calendar day.
+    """
+    first, last = days.check_range(first, last)
+    paths = files.day_paths(spark, root, first, last)
+    found = files.day_folders(files.parquet_files(spark, paths)).collect()
+    rows = {
+        (r["_dt"], *row) for r in found for schema in _schemas(spark, r["folder"])
+        for row in differences(schema, declared)
+    }
+    return spark.createDataFrame(
+        sorted(rows, key=str),
+        "_dt date, column string, kind string, declared string, actual string",
+    )
 
 
 def column_coverage(raw: DataFrame, columns: Sequence[str] = tuple(RAW.names)) -> DataFrame:

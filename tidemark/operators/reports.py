@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -29,9 +30,10 @@ def kpi_trend(kpi: DataFrame) -> DataFrame:
     ).orderBy("_dt")
 
 
-def peek(df: DataFrame, day: str | date) -> DataFrame:
-    """One whole row of a day."""
-    return df.filter(F.col("_dt") == F.lit(days.check_day(day))).limit(1)
+def peek(df: DataFrame, day: str | date, order: Sequence[str] = ()) -> DataFrame:
+    """One whole row of a day; the first by ``order``, if one is given."""
+    rows = df.filter(F.col("_dt") == F.lit(days.check_day(day)))
+    return (rows.orderBy(*order) if order else rows).limit(1)
 
 
 def survivors(raw: DataFrame, keep_days: int, as_of: str | date) -> DataFrame:

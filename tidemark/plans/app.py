@@ -60,6 +60,10 @@ class App:
 
         return retention(self.mart("mart_user_daily"))
 
+    def daily_log(self) -> DataFrame:
+        """How each day of each daily run ended."""
+        return partitions.read_days(self.spark, self.path("daily_log"), tables.DAILY_LOG)
+
     def log(self) -> DataFrame:
         return partitions.read_days(self.spark, self.path("ingestion_log"), tables.RUN_LOG)
 

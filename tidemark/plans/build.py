@@ -26,9 +26,10 @@ class Flattened:
     new_columns: list[str] = field(default_factory=list)
 
 
-def _days_with_rows(app: App, table: str, first: date, last: date) -> set[date]:
+def _days_with_rows(app: App, table: str, first: date, last: date, only) -> set[date]:
     """Days of a stored table that hold rows, one entry per calendar day."""
-    return {r["_dt"] for r in app.day_counts(table, "n", first, last).collect()}
+    found = {r["_dt"] for r in app.day_counts(table, "n", first, last).collect()}
+    return found if only is None else found & set(only)
 
 
 def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> list[str]:
@@ -44,6 +45,7 @@ def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> li
     known = registry.latest(app.registry())
     known = app.spark.createDataFrame(known.collect(), known.schema)
     rows = registry.from_counts(known, app.key_counts())
+    rows = app.spark.createDataFrame(rows.collect(), rows.schema)
     (
         rows.withColumn("updated_at", F.current_timestamp())
         .coalesce(1).write.mode("append").parquet(app.path("flat_schema_registry"))
@@ -58,12 +60,21 @@ def flatten_days(app: App, first, last, run_id: str) -> Flattened:
     A day without raw rows is skipped.  Raises at the end if a day's flat rows do not
     equal its raw rows.
     """
+    done = try_flatten(app, first, last, run_id)
+    status.raise_if_failed(done.statuses)
+    return done
+
+
+def try_flatten(app: App, first, last, run_id: str, only=None) -> Flattened:
+    """As ``flatten_days``, with failed days in the result; ``only`` works on a set of days."""
     first, last = days.check_range(first, last)
     new_columns: list[str] = []
 
     def job(a: date, b: date) -> dict[date, str]:
-        raw = app.raw(a, b)
-        found = _days_with_rows(app, "events_raw", a, b)
+        found = _days_with_rows(app, "events_raw", a, b, only)
+        if not found:
+            return dict.fromkeys(status.span(a, b), "skipped")
+        raw = app.raw(a, b).filter(F.col("_dt").isin(sorted(found)))
         new_columns.extend(sync_registry(app, raw, found, run_id))
         partitions.replace_days(
             flatten.flatten(raw, app.columns(), run_id), app.path("events_flat"), found, SORT_KEY
@@ -71,10 +82,10 @@ def flatten_days(app: App, first, last, run_id: str) -> Flattened:
         checked = quality.reconcile_flat(
             app.day_counts("events_raw", "raw_rows", a, b),
             app.day_counts("events_flat", "flat_rows", a, b),
-        ).filter("raw_rows > 0")
+        ).filter((F.col("raw_rows") > 0) & F.col("_dt").isin(sorted(found)))
         return _statuses(app, a, b, checked)
 
-    outcomes = status.raise_if_failed(status.over_range(job, first, last))
+    outcomes = status.over_range(job, first, last)
     return Flattened(outcomes, new_columns)
 
 
@@ -88,11 +99,20 @@ def build_marts(
     each.  A day without flat rows is skipped.  Raises at the end if a day's per-event
     mart does not sum up to its flat rows.
     """
+    return status.raise_if_failed(try_marts(app, first, last, run_id, names))
+
+
+def try_marts(
+    app: App, first, last, run_id: str, names: EventNames = EventNames(), only=None
+) -> dict[date, str]:
+    """As ``build_marts``, with failed days in the result; ``only`` works on a set of days."""
     first, last = days.check_range(first, last)
 
     def job(a: date, b: date) -> dict[date, str]:
-        flat = app.flat(a, b)
-        found = _days_with_rows(app, "events_flat", a, b)
+        found = _days_with_rows(app, "events_flat", a, b, only)
+        if not found:
+            return dict.fromkeys(status.span(a, b), "skipped")
+        flat = app.flat(a, b).filter(F.col("_dt").isin(sorted(found)))
         built = {"_built_at": F.current_timestamp(), "_run_id": F.lit(run_id)}
 
         def build_one(mart: marts.Mart) -> None:
@@ -105,11 +125,13 @@ def build_marts(
         # leave no executor idle.
         with ThreadPoolExecutor(len(marts.MARTS)) as pool:
             list(pool.map(build_one, marts.MARTS))
-        flat_counts = app.day_counts("events_flat", "flat_rows", a, b)
+        flat_counts = app.day_counts("events_flat", "flat_rows", a, b).filter(
+            F.col("_dt").isin(sorted(found))
+        )
         events = app.mart("mart_daily_events", a, b).join(flat_counts, "_dt", "left_semi")
         return _statuses(app, a, b, quality.reconcile_marts(flat_counts, events))
 
-    return status.raise_if_failed(status.over_range(job, first, last))
+    return status.over_range(job, first, last)
 
 
 def build_mart_day(

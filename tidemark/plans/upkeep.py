@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days
-from tidemark.operators import reports
+from tidemark.operators import quality, reports
 from tidemark.plans.app import App
 from tidemark.schema.raw import SORT_KEY
 from tidemark.sources import files, folders, partitions
@@ -29,22 +29,63 @@ def expire(app: App, keep_days: int, as_of: str | date) -> list[date]:
     return old
 
 
-def compact_days(app: App, first, last, target_bytes: int = TARGET_FILE_BYTES) -> set[date]:
-    """Rewrite the stored raw days first..last into few, sorted files.
+class CountsDiffer(RuntimeError):
+    """A rewritten day does not hold the rows of the stored one."""
+
+
+def _beside(table: str, kind: str) -> str:
+    return f"{table}__{kind}"
+
+
+def recover(app: App, name: str = "events_raw") -> list[date]:
+    """Put back days that a compaction had moved away when it was cut short."""
+    table, away = app.path(name), _beside(app.path(name), "replaced")
+    stored = set(folders.stored_days(app.spark, table))
+    back = [d for d in folders.stored_days(app.spark, away) if d not in stored]
+    for day in back:
+        folders.rename(app.spark, f"{away}/_dt={day}", f"{table}/_dt={day}")
+    folders.delete(app.spark, away)
+    return back
+
+
+def compact_days(
+    app: App, first, last, target_bytes: int = TARGET_FILE_BYTES, name: str = "events_raw"
+) -> set[date]:
+    """Rewrite the stored days first..last of raw (or flat) rows into few, sorted files.
 
     Rows are cut into ranges of the sort key, so a large day -- or an event name that
-    makes up most of it -- is spread over as many tasks as its bytes ask for.
+    makes up most of it -- is spread over as many tasks as its bytes ask for.  They are
+    written beside the table and counted; only then does each new day take the place of
+    the old one, which is deleted last.  Whatever breaks, one whole copy of a day stays:
+    in place, or where ``recover`` finds it (which the next compaction calls).
     """
     first, last = days.check_range(first, last)
-    table = app.path("events_raw")
+    table = app.path(name)
+    recover(app, name)
     stored = {d for d in folders.stored_days(app.spark, table) if first <= d <= last}
     if not stored:
         return set()
     listed = files.parquet_files(app.spark, [f"{table}/_dt={d}" for d in sorted(stored)])
     size = listed.agg(F.sum("length")).first()[0] or 0
     pieces = max(1, -(-size // target_bytes))
-    rows = app.raw(first, last).repartitionByRange(pieces, "_dt", *SORT_KEY)
-    return partitions.replace_days(rows, table, stored, SORT_KEY)
+    rows = app.raw(first, last) if name == "events_raw" else app.flat(first, last)
+    fresh, away = _beside(table, "compacting"), _beside(table, "replaced")
+    folders.delete(app.spark, fresh)
+    written = partitions.replace_days(
+        rows.repartitionByRange(pieces, "_dt", *SORT_KEY), fresh, stored, SORT_KEY, rebalance=False
+    )
+    old = quality.day_counts(partitions.read_days(app.spark, table, "_dt date", first, last), "old")
+    new = quality.day_counts(partitions.read_days(app.spark, fresh, "_dt date", first, last), "new")
+    wrong = old.join(new, "_dt", "full_outer").filter("NOT old <=> new").collect()
+    if wrong:  # one row per calendar day at most
+        raise CountsDiffer(f"rewritten days differ, the stored ones stay: {wrong}")
+    for day in sorted(written):
+        part = f"_dt={day.isoformat()}"
+        folders.rename(app.spark, f"{table}/{part}", f"{away}/{part}")
+        folders.rename(app.spark, f"{fresh}/{part}", f"{table}/{part}")
+    folders.delete(app.spark, away)
+    folders.delete(app.spark, fresh)
+    return written
 
 
 def compact_last_week(app: App, day: str | date) -> set[date]:
@@ -53,6 +94,11 @@ def compact_last_week(app: App, day: str | date) -> set[date]:
     return compact_days(app, day - timedelta(days=7), day - timedelta(days=1))
 
 
+def storage_total(app: App) -> DataFrame:
+    """Files, bytes and rows of the raw table, and whether it is above the size limit."""
+    return reports.storage_total(storage_report(app))
+
+
 def storage_report(app: App) -> DataFrame:
     """Files, bytes and rows per raw day."""
     return reports.storage(

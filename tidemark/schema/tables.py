@@ -1,4 +1,4 @@
-"""Shapes of the registry, the run log and the per-day key counts."""
+"""Shapes of the registry, the run logs and the per-day key counts."""
 
 from __future__ import annotations
 
@@ -15,3 +15,8 @@ RUN_LOG = (
     "run_id string, started_at timestamp, finished_at timestamp, duration_sec bigint, "
     "status string, error_message string"
 )
+
+DAILY_LOG = (
+    "event_date date, run_id string, status string, stage string, message string, "
+    "warnings string, started_at timestamp, finished_at timestamp"
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,21 +32,52 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """Executors on other machines can't see a temporary folder of this one."""
+
+
+# Scratch paths given out and not cleared yet; whoever reads a query's result keeps them.
+_given: set[str] = set()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder takes its place.
+    Only where that is unset and the driver runs all tasks itself, as in local tests, a
+    temporary folder takes its place, until the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise NoSharedFolder(
+                f"set spark.checkpoint.dir to a folder that all executors of {master} share"
+            )
         folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the scratch root."""
-    return f"{scratch_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    """A fresh path under the scratch root, there until ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    _given.add(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what scratch paths of this process hold, once no result is read any more.
+
+    Results of queries are lazy and may still read scratch, so only their reader can say
+    when that is.  Returns how many paths were given back.
+    """
+    from tidemark.sources import folders
+
+    n = len(_given)
+    while _given:
+        folders.delete(spark, _given.pop())
+    return n
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

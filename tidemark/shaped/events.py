@@ -54,15 +54,15 @@ PARAM_ENTRIES = (
     ("k", "int_value", "k", "TRUE"),
     ("score", "double_value", "value", "TRUE"),
     ("screen-name", "string_value", "event_type", "event_id % 4 > 0"),
-    ("9lives", "float_value", "CAST(k AS DOUBLE)", "event_id % 8 = 0"),
+    ("7th_try", "float_value", "CAST(k AS DOUBLE)", "event_id % 8 = 0"),
     ("ga_session_id", "int_value", "session_id + 1", "event_id % 31 = 0"),
     (None, "int_value", "k", "event_id % 41 = 0"),
-    ("broken", "string_value", "CAST(NULL AS STRING)", "event_id % 11 = 0"),
+    ("blank", "string_value", "CAST(NULL AS STRING)", "event_id % 11 = 0"),
 )
 PROPERTY_ENTRIES = (
     ("user_id", "string_value", "concat('u-', CAST(user_id AS STRING))", "TRUE"),
     ("k", "int_value", "k", "event_id % 3 > 0"),
-    ("_ltv_COP", "double_value", "value", "event_type = 'purchase'"),
+    ("_worth", "double_value", "value", "event_type = 'purchase'"),
 )
 # Filled fields of an item; only purchases have one.
 ITEM_VALUES = {
@@ -74,6 +74,14 @@ EMPTY_BAG = "event_id % 29 = 0"
 NULL_BAG = "event_id % 59 = 0"
 
 
+# Days on which something is amiss, by day of the month, and the rows concerned; the same
+# text in both dialects.
+FEW_USERS = "day(_dt) % 6 = 1 AND event_bundle_sequence_id % 3 = 0"
+FEW_BAGS = "day(_dt) % 6 = 2 AND event_bundle_sequence_id % 2 = 0 OR day(_dt) % 6 = 3"
+NO_NAMES = "day(_dt) % 6 = 4"
+LOST = "day(_dt) % 6 = 5 AND event_bundle_sequence_id % 4 = 1"
+
+
 def leaf_expression(path: str, kind: T.DataType, number: int) -> str:
     """SQL for one struct leaf, the same text in both dialects; NULL on some rows."""
     if path in _EXPRESSIONS:
@@ -168,3 +176,20 @@ def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.sources import raw
 
     return raw.with_defaults(exported(spark, sf_dir))
+
+
+def uneven(rows: DataFrame) -> DataFrame:
+    """Days on which users are missing, bags are empty, or all bags are."""
+    user, bag = F.col("user_pseudo_id"), F.col("event_params")
+    return rows.withColumns({
+        "user_pseudo_id": F.when(F.expr(FEW_USERS), None).otherwise(user),
+        "event_params": F.when(
+            F.expr(FEW_BAGS), F.array().cast(rows.schema["event_params"].dataType)
+        ).otherwise(bag),
+    })
+
+
+def broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded rows of such days, and of days without any event name."""
+    name = F.when(F.expr(NO_NAMES), None).otherwise(F.col("event_name"))
+    return uneven(loaded(spark, sf_dir)).withColumn("event_name", name)

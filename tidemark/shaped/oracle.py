@@ -130,14 +130,14 @@ def _lookup(bag: str, key: str, sub_field: str) -> str:
 
 _DYNAMIC = {
     "_empty_int": ("event_params", "", "int_value"),
-    "_9lives_float": ("event_params", "9lives", "float_value"),
+    "_7th_try_float": ("event_params", "7th_try", "float_value"),
     "engagement_time_msec_int": ("event_params", "engagement_time_msec", "int_value"),
     "ga_session_id_int": ("event_params", "ga_session_id", "int_value"),
     "k_int": ("event_params", "k", "int_value"),
     "score_double": ("event_params", "score", "double_value"),
     "screen_name_str": ("event_params", "screen-name", "string_value"),
     "session_engaged_int": ("event_params", "session_engaged", "int_value"),
-    "_ltv_COP_double": ("user_properties", "_ltv_COP", "double_value"),
+    "_worth_double": ("user_properties", "_worth", "double_value"),
     "up_k_int": ("user_properties", "k", "int_value"),
     "up_user_id_str": ("user_properties", "user_id", "string_value"),
 }
@@ -225,8 +225,8 @@ chosen AS (
 
 _CALENDAR = """
 calendar AS (
-    SELECT CAST(unnest(generate_series(DATE '2023-12-30', DATE '2024-02-02', INTERVAL 1 DAY))
-                AS DATE) AS day
+    SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day
+    FROM (SELECT min(CAST(ts AS DATE)) - 2 AS a, max(CAST(ts AS DATE)) + 3 AS b FROM events)
 )"""
 
 _METRICS = """
@@ -235,7 +235,7 @@ _METRICS = """
            count(*) FILTER (len(event_params) = 0) AS empty_params,
            count(DISTINCT event_name) AS uniq_event_names,
            CAST(max(len(event_params)) AS INTEGER) AS max_params_len
-    FROM loaded GROUP BY _dt"""
+    FROM broken GROUP BY _dt"""
 
 _TYPE_OF = """CASE sub_field WHEN 'string_value' THEN 'string' WHEN 'int_value' THEN 'bigint'
               ELSE 'double' END"""
@@ -300,24 +300,45 @@ def _with(*parts: str) -> str:
 
 
 def _drift() -> str:
-    rows = [
-        ("note", "extra", None, "string"),
-        ("Stream_ID", "extra", None, "string"),
-        ("stream_id", "missing", "string", None),
-        ("publisher", "missing", RAW["publisher"].dataType.simpleString(), None),
-        ("event_original_occurrence_timestamp", "missing", "bigint", None),
-    ]
-
-    def text(value: str | None) -> str:
-        return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
-
-    values = ", ".join(f"({', '.join(text(v) for v in row)})" for row in rows)
-    return f'SELECT * FROM (VALUES {values}) AS t("column", kind, declared, actual)'
+    number, publisher = (RAW[n].dataType.simpleString() for n in ("event_bundle_sequence_id", "publisher"))
+    return f"""
+        SELECT DISTINCT CAST(ts AS DATE) AS _dt, "column", kind, declared, actual
+        FROM events JOIN (VALUES
+            (0, 'note', 'extra', NULL, 'string'), (1, 'note', 'extra', NULL, 'string'),
+            (2, 'note', 'extra', NULL, 'string'), (1, 'publisher', 'missing', '{publisher}', NULL),
+            (2, 'event_bundle_sequence_id', 'mismatched', '{number}', 'string')
+        ) AS t(rest, "column", kind, declared, actual) ON day(ts) % 3 = rest"""
+
+
+def _uneven(text: str, name: str = "exported") -> str:
+    """The SQL with ``name`` (exported or loaded) replaced by its uneven rows."""
+    kind = _sql_type(RAW["event_params"].dataType)
+    changed = f"""
+{name} AS (
+    SELECT * REPLACE (
+        CASE WHEN {events.FEW_USERS} THEN NULL ELSE user_pseudo_id END AS user_pseudo_id,
+        CASE WHEN {events.FEW_BAGS} THEN CAST([] AS {kind}) ELSE event_params END AS event_params
+    ) FROM even
+)"""
+    before = f"{name} AS (SELECT" if name == "exported" else f"{name} AS (\n    SELECT"
+    assert before in text
+    text = text.replace(before, before.replace(name, "even"), 1)
+    if name == "exported":
+        return text.replace(",\nloaded AS (", f",{changed},\nloaded AS (", 1)
+    return f"{text},{changed}"
+
+
+_BROKEN = f"""
+broken AS (
+    SELECT * REPLACE (CASE WHEN {events.NO_NAMES} THEN NULL ELSE event_name END AS event_name)
+    FROM loaded
+)"""
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL per registered query."""
     raw, flat, found = _with(_raw()), _with(_flat()), _with(_found())
+    broken = _with(_uneven(_raw(), "loaded"), _BROKEN)
     chosen = _with(_raw(), _CHOSEN)
     users = _with(_flat(), f"users AS ({_USER_DAILY})")
     exported = _with(_exported())
@@ -347,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS rows
             FROM events GROUP BY ALL""",
         "file_statistics": """
-            SELECT DISTINCT CAST(ts AS DATE) AS _dt, TRUE AS has_files, TRUE AS has_bytes
+            SELECT DISTINCT CAST(ts AS DATE) AS _dt, CAST(1 AS BIGINT) AS files, TRUE AS has_bytes
             FROM events""",
         "final_over_intraday": exported + """
             SELECT _dt, CASE WHEN _dt <= DATE '2024-01-20' THEN 0 ELSE 1 END AS _is_intraday,
@@ -383,8 +404,9 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN rows IS NOT NULL THEN 1 END AS _is_intraday,
                    rows, coalesce(rows, 0) AS rows_inserted,
                    CASE WHEN rows IS NULL THEN 'skipped' ELSE 'success' END AS status,
-                   rows IS NOT NULL AS has_files, rows IS NOT NULL AS has_bytes
-            FROM calendar LEFT JOIN per_day ON day = _dt WHERE day >= DATE '2024-01-01'""",
+                   CAST(rows IS NOT NULL AS BIGINT) AS files_read, rows IS NOT NULL AS has_bytes
+            FROM calendar LEFT JOIN per_day ON day = _dt
+            WHERE day >= (SELECT min(_dt) FROM per_day)""",
         "ttl_survivors": raw + """
             SELECT _dt, event_timestamp, event_name, user_pseudo_id FROM loaded
             WHERE _dt + 15 > DATE '2024-01-25'""",
@@ -392,12 +414,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT _dt, count(*) AS rows FROM loaded WHERE _dt + 15 > DATE '2024-01-25'
             GROUP BY _dt""",
         "compacted_storage": raw + """
-            SELECT _dt, count(*) AS rows,
-                   CASE WHEN _dt >= DATE '2024-01-24' THEN CAST(1 AS BIGINT) END AS compacted_files,
+            SELECT _dt, count(*) AS rows, CAST(1 AS BIGINT) AS files,
                    TRUE AS has_bytes, FALSE AS too_many_files
             FROM loaded GROUP BY _dt""",
-        "range_status": _with(_raw(), _CALENDAR, f"per_day AS ({counts})") + """
-            SELECT day AS _dt, CASE WHEN rows IS NULL THEN 'skipped' ELSE 'success' END AS status
+        "storage_total": raw + """
+            SELECT count(DISTINCT _dt) AS files, count(*) AS rows, count(*) > 0 AS has_bytes,
+                   FALSE AS too_large
+            FROM loaded""",
+        "range_status": _with(_raw(), _CALENDAR, f"""per_day AS (
+            SELECT _dt, count(*) FILTER ({events.LOST}) AS lost FROM loaded GROUP BY _dt)""") + """
+            SELECT day AS _dt, CASE WHEN lost IS NULL THEN 'skipped' WHEN lost > 0 THEN 'failed'
+                                    ELSE 'success' END AS status
             FROM calendar LEFT JOIN per_day ON day = _dt""",
         "flat_base": raw + f"SELECT {_base_columns()}, _dt FROM loaded",
         "event_date_fallback": raw + f"""
@@ -415,12 +442,12 @@ def oracle_sql() -> dict[str, str]:
             FROM loaded""",
         "user_prop_lookup": raw + f"""
             SELECT event_timestamp, user_pseudo_id,
-                   {_lookup('user_properties', '_ltv_COP', 'double_value')} AS ltv,
-                   {_lookup('user_properties', '_ltv_COP', 'set_timestamp_micros')} AS ltv_set
+                   {_lookup('user_properties', '_worth', 'double_value')} AS ltv,
+                   {_lookup('user_properties', '_worth', 'set_timestamp_micros')} AS ltv_set
             FROM loaded""",
         "param_exists": raw + """
             SELECT _dt, count(*) AS n FROM loaded
-            WHERE list_contains(list_transform(event_params, lambda p: p.key), '9lives')
+            WHERE list_contains(list_transform(event_params, lambda p: p.key), '7th_try')
             GROUP BY _dt""",
         "param_keys": raw + """
             SELECT event_timestamp,
@@ -434,7 +461,9 @@ def oracle_sql() -> dict[str, str]:
                                        CAST(NULL AS BIGINT) AS session_engaged_int,
                                        CAST(NULL AS BIGINT) AS engagement_time_msec_int)
                      FROM flat)""") + _kpi("bare"),
-        "peek_day": "SELECT DATE '2024-01-15' AS _dt",
+        "peek_day": flat + """
+            SELECT *, 'run-1' AS _run_id FROM flat WHERE _dt = DATE '2024-01-15'
+            ORDER BY event_timestamp, event_bundle_sequence_id LIMIT 1""",
         "local_day": """
             SELECT CAST(ts + INTERVAL 7 HOUR AS DATE) AS local_day, count(*) AS n
             FROM events GROUP BY ALL""",
@@ -478,33 +507,32 @@ def oracle_sql() -> dict[str, str]:
                    round_even(max(retained_users) FILTER (day_n = 7)
                          / max(retained_users) FILTER (day_n = 0) * 100, 1) AS d7_pct
             FROM retained GROUP BY cohort_dt""",
-        "qc_metrics": raw + _METRICS,
-        "qc_verdicts": _with(_raw(), f"m AS ({_METRICS})") + """
+        "qc_metrics": broken + _METRICS,
+        "qc_verdicts": _with(_uneven(_raw(), "loaded"), _BROKEN, f"m AS ({_METRICS})") + """
             SELECT _dt, CASE WHEN rows = 0 THEN 'fail' ELSE 'ok' END AS rows_verdict,
                    CASE WHEN null_pseudo / rows > 0.05 THEN 'warn' ELSE 'ok' END AS user_verdict,
                    CASE WHEN empty_params / rows > 0.2 THEN 'warn' ELSE 'ok' END AS params_verdict,
                    CASE WHEN uniq_event_names <= 0 THEN 'fail' ELSE 'ok' END AS names_verdict
             FROM m""",
-        "qc_nested": raw + """
-            SELECT _dt, max(len(event_params)) > 0 AS nested_readable FROM loaded GROUP BY _dt""",
-        "row_reconcile": _with(_raw(), """
-            parsed AS (SELECT CAST(try_strptime(event_date, '%Y%m%d') AS DATE) AS day FROM loaded),
-            l AS (SELECT day, count(*) AS n FROM parsed WHERE day IS NOT NULL GROUP BY day),
-            s AS (SELECT _dt, count(*) AS n FROM loaded GROUP BY _dt),
-            pairs AS (SELECT coalesce(_dt, day) AS _dt, coalesce(s.n, 0) AS source_rows,
-                             coalesce(l.n, 0) AS loaded_rows
-                      FROM s FULL JOIN l ON day = _dt)""") + """
+        "qc_nested": broken + """
+            SELECT _dt, max(len(event_params)) > 0 AS nested_readable FROM broken GROUP BY _dt""",
+        "row_reconcile": _with(_raw(), f"""
+            pairs AS (SELECT _dt, count(*) AS source_rows,
+                             count(*) FILTER (NOT ({events.LOST})) AS loaded_rows
+                      FROM loaded GROUP BY _dt)""") + """
             SELECT _dt, source_rows, loaded_rows, abs(loaded_rows - source_rows) AS diff,
                    CASE WHEN loaded_rows = source_rows THEN 'ok'
                         WHEN _dt > DATE '2024-01-20' AND source_rows > 0
                              AND abs(loaded_rows - source_rows) / source_rows <= 0.005 THEN 'warn'
                         ELSE 'fail' END AS verdict
             FROM pairs""",
-        "flat_reconcile": raw + """
-            SELECT _dt, count(*) AS raw_rows, count(*) AS flat_rows, 'ok' AS verdict
+        "flat_reconcile": raw + f"""
+            SELECT _dt, count(*) AS raw_rows, count(*) FILTER (NOT ({events.LOST})) AS flat_rows,
+                   CASE WHEN count(*) FILTER ({events.LOST}) > 0 THEN 'fail' ELSE 'ok' END AS verdict
             FROM loaded GROUP BY _dt""",
-        "mart_reconcile": raw + """
-            SELECT _dt, count(*) AS flat_rows, count(*) AS mart_events, 'ok' AS verdict
+        "mart_reconcile": raw + f"""
+            SELECT _dt, count(*) AS flat_rows, count(*) FILTER (NOT ({events.LOST})) AS mart_events,
+                   CASE WHEN count(*) FILTER ({events.LOST}) > 0 THEN 'fail' ELSE 'ok' END AS verdict
             FROM loaded GROUP BY _dt""",
         "registry_latest": found + """
             SELECT source, key, sub_field, concat_ws('/', source, key) AS column_name,
@@ -526,6 +554,27 @@ def oracle_sql() -> dict[str, str]:
                    platform, geo_country, app_info_version, device_web_browser,
                    stlc_dv360_partner_name, {', '.join(_DYNAMIC)}, 'run-1' AS _run_id
             FROM flat""",
-        "daily_run": _with(_flat(), f"kpi AS ({_kpi()})") + "SELECT *, 'run-1' AS _run_id FROM kpi",
+        "daily_run": _with(_uneven(_flat()), """
+            bad AS (SELECT _dt FROM loaded GROUP BY _dt HAVING max(len(event_params)) = 0)""",
+            f"kpi AS ({_kpi()})") + """
+            SELECT *, 'run-1' AS _run_id FROM kpi WHERE _dt NOT IN (SELECT _dt FROM bad)""",
+        "daily_log": _with(_uneven(_raw()), _CALENDAR, """
+            m AS (SELECT _dt, count(*) AS rows, max(len(event_params)) AS longest,
+                         count(*) FILTER (user_pseudo_id IS NULL OR user_pseudo_id = '') AS users,
+                         count(*) FILTER (len(event_params) = 0) AS bags
+                  FROM loaded GROUP BY _dt)""") + """
+            SELECT day AS event_date, 'run-1' AS run_id,
+                   CASE WHEN rows IS NULL THEN 'skipped' WHEN longest = 0 THEN 'failed'
+                        ELSE 'success' END AS status,
+                   CASE WHEN rows IS NULL THEN 'load' WHEN longest = 0 THEN 'checks'
+                        ELSE 'marts' END AS stage,
+                   CASE WHEN longest = 0 THEN 'no event_params could be read' ELSE '' END AS message,
+                   concat_ws('; ',
+                       CASE WHEN users / rows > 0.05
+                            THEN printf('%.1f%% of rows have no user', 100 * users / rows) END,
+                       CASE WHEN bags / rows > 0.2
+                            THEN printf('%.1f%% of rows have no event_params', 100 * bags / rows)
+                       END) AS warnings
+            FROM calendar LEFT JOIN m ON day = _dt""",
         "stored_retention": users + _RETENTION,
     }

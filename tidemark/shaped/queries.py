@@ -6,7 +6,7 @@ rounded here, and only here, because the order of a float sum is not fixed.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +25,18 @@ from tidemark.sources import files, partitions, raw
 # From this day on there are only intraday rows; before the other one only final rows.
 FINAL_UNTIL = date(2024, 1, 20)
 INTRADAY_FROM = date(2024, 1, 11)
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
 
 # The columns discovery finds, in registry order.
 DYNAMIC = [
     DynamicColumn("event_params", "", "int_value", "_empty_int"),
-    DynamicColumn("event_params", "9lives", "float_value", "_9lives_float"),
+    DynamicColumn("event_params", "7th_try", "float_value", "_7th_try_float"),
     DynamicColumn("event_params", "engagement_time_msec", "int_value", "engagement_time_msec_int"),
     DynamicColumn("event_params", "ga_session_id", "int_value", "ga_session_id_int"),
     DynamicColumn("event_params", "k", "int_value", "k_int"),
     DynamicColumn("event_params", "score", "double_value", "score_double"),
     DynamicColumn("event_params", "screen-name", "string_value", "screen_name_str"),
     DynamicColumn("event_params", "session_engaged", "int_value", "session_engaged_int"),
-    DynamicColumn("user_properties", "_ltv_COP", "double_value", "_ltv_COP_double"),
+    DynamicColumn("user_properties", "_worth", "double_value", "_worth_double"),
     DynamicColumn("user_properties", "k", "int_value", "up_k_int"),
     DynamicColumn("user_properties", "user_id", "string_value", "up_user_id_str"),
 ]
@@ -82,12 +81,34 @@ def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last day of the rows, the range that the jobs below work on."""
+    found = events.source(spark, sf_dir).agg(F.min("_dt"), F.max("_dt")).first()
+    return (found[0] or INTRADAY_FROM, found[1] or FINAL_UNTIL)
+
+
+def wider(first: date, last: date) -> tuple[date, date]:
+    """The range with days around it that have no rows."""
+    return first - timedelta(days=2), last + timedelta(days=3)
+
+
 def _loaded_app(spark: SparkSession, sf_dir: str, name: str) -> App:
     app = _app(spark, name)
-    load.load_tables(app, *_sources(spark, sf_dir), FIRST, LAST, "run-1")
+    load.load_tables(app, *_sources(spark, sf_dir), *span(spark, sf_dir), "run-1")
     return app
 
 
+def _uneven_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As ``_sources``, with days that fail or warn at a check."""
+    return tuple(events.uneven(rows) for rows in _sources(spark, sf_dir))
+
+
+def _lossy_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat rows of which some days have lost a few."""
+    rows = events.loaded(spark, sf_dir).filter(f"NOT ({events.LOST})")
+    return flatten.flatten(rows, DYNAMIC, "run-1")
+
+
 # --- sources and sinks ------------------------------------------------------------
 
 
@@ -152,7 +173,7 @@ def day_layouts(spark, sf_dir):
 def file_statistics(spark, sf_dir):
     listed = files.parquet_files(spark, _exported_files(spark, sf_dir))
     return files.day_statistics(listed).select(
-        "_dt", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes")
+        "_dt", "files", (F.col("bytes") > 0).alias("has_bytes")
     )
 
 
@@ -181,8 +202,9 @@ def replace_days(spark, sf_dir):
     """All days, then the later ones again with a second run; no day is duplicated."""
     app = _app(spark, "replace")
     final, intraday = _sources(spark, sf_dir)
-    load.load_tables(app, final, intraday, FIRST, LAST, "run-1")
-    load.load_tables(app, final, intraday, INTRADAY_FROM, LAST, "run-2")
+    first, last = span(spark, sf_dir)
+    load.load_tables(app, final, intraday, first, last, "run-1")
+    load.load_tables(app, final, intraday, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
     return app.raw().groupBy("_dt", "_run_id").agg(F.count("*").alias("rows"))
 
 
@@ -191,14 +213,14 @@ def snapshot_export(spark, sf_dir):
     root = session.scratch_path(spark, "snapshot")
     rows = events.exported(spark, sf_dir)
     for _ in range(2):
-        target = partitions.export_snapshot(rows, root, LAST)
+        target = partitions.export_snapshot(rows, root, FINAL_UNTIL)
     return raw.scan(spark, target).select("event_name", "event_timestamp", "user_pseudo_id")
 
 
 @query
 def run_log(spark, sf_dir):
     app = _app(spark, "log")
-    load.load_tables(app, *_sources(spark, sf_dir), date(2023, 12, 30), date(2024, 2, 2), "run-1")
+    load.load_tables(app, *_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1")
     return app.log().select(
         "event_date", "source_table", "is_intraday", "strategy", "source_row_count",
         "files_read", "rows_inserted", "run_id", "status", "error_message",
@@ -208,12 +230,12 @@ def run_log(spark, sf_dir):
 @query
 def load_existing_files(spark, sf_dir):
     app = _app(spark, "files")
-    load.load_files(app, _exported_files(spark, sf_dir), FIRST, date(2024, 2, 2), "run-1")
+    first, last = span(spark, sf_dir)
+    load.load_files(app, _exported_files(spark, sf_dir), first, wider(first, last)[1], "run-1")
     counted = app.raw().groupBy("_dt", "_is_intraday").agg(F.count("*").alias("rows"))
     return app.log().join(counted, F.col("event_date") == F.col("_dt"), "left").select(
         "event_date", "is_intraday", "_is_intraday", "rows", "rows_inserted", "status",
-        (F.col("files_read") > 0).alias("has_files"),
-        (F.col("bytes_read") > 0).alias("has_bytes"),
+        "files_read", (F.col("bytes_read") > 0).alias("has_bytes"),
     )
 
 
@@ -233,22 +255,27 @@ def expired_days(spark, sf_dir):
 @query
 def compacted_storage(spark, sf_dir):
     app = _loaded_app(spark, sf_dir, "compact")
-    upkeep.compact_last_week(app, "2024-01-31")
+    upkeep.compact_last_week(app, span(spark, sf_dir)[1] + timedelta(days=1))
     report = upkeep.storage_report(app)
     return report.select(
-        "_dt", "rows",
-        F.when(F.col("_dt") >= F.lit(date(2024, 1, 24)), F.col("files")).alias("compacted_files"),
-        (F.col("bytes") > 0).alias("has_bytes"), "too_many_files",
+        "_dt", "rows", "files", (F.col("bytes") > 0).alias("has_bytes"), "too_many_files"
     )
 
 
+@query
+def storage_total(spark, sf_dir):
+    total = upkeep.storage_total(_loaded_app(spark, sf_dir, "storage"))
+    return total.select("files", "rows", (F.col("bytes") > 0).alias("has_bytes"), "too_large")
+
+
 @query
 def range_status(spark, sf_dir):
     rows = events.loaded(spark, sf_dir)
     checked = quality.reconcile_flat(
-        quality.day_counts(rows, "raw_rows"), quality.day_counts(_flat(spark, sf_dir), "flat_rows")
+        quality.day_counts(rows, "raw_rows"),
+        quality.day_counts(_lossy_flat(spark, sf_dir), "flat_rows"),
     )
-    return status.range_status(spark, date(2023, 12, 30), date(2024, 2, 2), checked)
+    return status.range_status(spark, *wider(*span(spark, sf_dir)), checked)
 
 
 # --- projections, filters, lookups ------------------------------------------------
@@ -299,15 +326,15 @@ def user_prop_lookup(spark, sf_dir):
     bag = F.col("user_properties")
     return events.loaded(spark, sf_dir).select(
         "event_timestamp", "user_pseudo_id",
-        params.value(bag, "_ltv_COP", "double_value").alias("ltv"),
-        params.value(bag, "_ltv_COP", "set_timestamp_micros").alias("ltv_set"),
+        params.value(bag, "_worth", "double_value").alias("ltv"),
+        params.value(bag, "_worth", "set_timestamp_micros").alias("ltv_set"),
     )
 
 
 @query
 def param_exists(spark, sf_dir):
     rows = events.loaded(spark, sf_dir)
-    return rows.filter(params.has_key(F.col("event_params"), "9lives")).groupBy("_dt").agg(
+    return rows.filter(params.has_key(F.col("event_params"), "7th_try")).groupBy("_dt").agg(
         F.count("*").alias("n")
     )
 
@@ -335,7 +362,9 @@ def kpi_missing_dynamic(spark, sf_dir):
 
 @query
 def peek_day(spark, sf_dir):
-    return reports.peek(events.loaded(spark, sf_dir), "2024-01-15").select("_dt")
+    """The whole first row of a day, by time and number."""
+    order = ["event_timestamp", "event_bundle_sequence_id"]
+    return reports.peek(_flat(spark, sf_dir), "2024-01-15", order).drop("_ingested_at")
 
 
 @query
@@ -424,27 +453,26 @@ def retention_pct(spark, sf_dir):
 
 @query
 def qc_metrics(spark, sf_dir):
-    return quality.metrics(events.loaded(spark, sf_dir))
+    return quality.metrics(events.broken(spark, sf_dir))
 
 
 @query
 def qc_verdicts(spark, sf_dir):
-    return quality.verdicts(quality.metrics(events.loaded(spark, sf_dir)))
+    return quality.verdicts(quality.metrics(events.broken(spark, sf_dir)))
 
 
 @query
 def qc_nested(spark, sf_dir):
-    return quality.nested_readable(events.loaded(spark, sf_dir))
+    return quality.nested_readable(events.broken(spark, sf_dir))
 
 
 @query
 def row_reconcile(spark, sf_dir):
-    """Rows per day against rows whose own day parses to it, later days as intraday."""
+    """Rows per day against those of a load that lost some, later days as intraday."""
     rows = events.loaded(spark, sf_dir)
-    parsed = rows.withColumn("_dt", days.parsed_day(F.col("event_date"))).filter("_dt IS NOT NULL")
     return quality.reconcile_source(
         quality.day_counts(rows, "source_rows"),
-        quality.day_counts(parsed, "loaded_rows"),
+        quality.day_counts(rows.filter(f"NOT ({events.LOST})"), "loaded_rows"),
         F.col("_dt") > F.lit(FINAL_UNTIL),
     )
 
@@ -453,7 +481,7 @@ def row_reconcile(spark, sf_dir):
 def flat_reconcile(spark, sf_dir):
     return quality.reconcile_flat(
         quality.day_counts(events.loaded(spark, sf_dir), "raw_rows"),
-        quality.day_counts(_flat(spark, sf_dir), "flat_rows"),
+        quality.day_counts(_lossy_flat(spark, sf_dir), "flat_rows"),
     )
 
 
@@ -461,7 +489,9 @@ def flat_reconcile(spark, sf_dir):
 def mart_reconcile(spark, sf_dir):
     return quality.reconcile_marts(
         quality.day_counts(_flat(spark, sf_dir), "flat_rows"),
-        _mart(spark, sf_dir, "mart_daily_events"),
+        next(m for m in marts.MARTS if m.name == "mart_daily_events").from_flat(
+            _lossy_flat(spark, sf_dir)
+        ),
     )
 
 
@@ -539,14 +569,22 @@ def column_coverage(spark, sf_dir):
 
 @query
 def schema_drift(spark, sf_dir):
-    return drift.schema_drift(spark, _exported_files(spark, sf_dir))
+    """Days exported alike, without a column, and with a column of another type."""
+    root = session.scratch_path(spark, "drift")
+    rows = events.exported(spark, sf_dir).withColumn("note", F.lit("not declared"))
+    text = F.col("event_bundle_sequence_id").cast("string")
+    day = F.dayofmonth("_dt") % 3
+    partitions.export_days(rows.filter(day == 0), root)
+    partitions.export_days(rows.filter(day == 1).drop("publisher"), root)
+    partitions.export_days(rows.filter(day == 2).withColumn("event_bundle_sequence_id", text), root)
+    return drift.schema_drift(spark, root, *span(spark, sf_dir))
 
 
 @query
 def flatten_days(spark, sf_dir):
     """Load, discover, name and flatten; the columns are the ones found."""
     app = _loaded_app(spark, sf_dir, "flatten")
-    build.flatten_days(app, FIRST, LAST, "run-1")
+    build.flatten_days(app, *span(spark, sf_dir), "run-1")
     return app.flat().select(
         "_dt", "event_date", "event_timestamp", "event_ts", "event_name", "user_pseudo_id",
         "platform", "geo_country", "app_info_version", "device_web_browser",
@@ -556,16 +594,24 @@ def flatten_days(spark, sf_dir):
 
 @query
 def daily_run(spark, sf_dir):
-    """Source tables to stored marts; the KPI mart as it was stored."""
+    """Source tables, some days bad, to stored marts; the KPI mart as it was stored."""
     app = _app(spark, "daily")
-    daily.run_days(app, *_sources(spark, sf_dir), FIRST, LAST, "run-1")
+    daily.try_days(app, *_uneven_sources(spark, sf_dir), *span(spark, sf_dir), "run-1")
     return _rounded(app.mart("mart_daily_kpi").drop("_built_at"))
 
 
+@query
+def daily_log(spark, sf_dir):
+    """How each day of such a run ended, and what it warns of."""
+    app = _app(spark, "daily")
+    daily.try_days(app, *_uneven_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1")
+    return app.daily_log().drop("started_at", "finished_at")
+
+
 @query
 def stored_retention(spark, sf_dir):
     """The retention view over the stored per-user mart."""
     app = _loaded_app(spark, sf_dir, "retention")
-    build.flatten_days(app, FIRST, LAST, "run-1")
-    build.build_marts(app, FIRST, LAST, "run-1")
+    build.flatten_days(app, *span(spark, sf_dir), "run-1")
+    build.build_marts(app, *span(spark, sf_dir), "run-1")
     return app.retention()

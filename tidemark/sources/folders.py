@@ -23,6 +23,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return system.delete(location, True)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder; the folder above the target is made if need be."""
+    system, location = _open(spark, path)
+    _, there = _open(spark, target)
+    system.mkdirs(there.getParent())
+    if not system.rename(location, there):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under a path; a dataset has one per day."""
     system, location = _open(spark, path)

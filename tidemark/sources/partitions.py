@@ -22,14 +22,14 @@ def replace_days(
     table: str,
     days: Collection[date],
     sort: Sequence[str] = (),
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> set[date]:
     """Make the rows of ``df`` the whole content of the given days.
 
-    Scan-shaped input is written by the tasks that read it, without a shuffle.
-    ``rebalance`` is for input that comes out of an aggregation, whose tasks each
-    hold a little of every day: it lets AQE cut the output by day into files of
-    even size, splitting a day too large for one task.
+    AQE cuts the output by day into files of about the session's advisory partition size:
+    a small day is one file, a day too large for one task is split, whatever the layout
+    of the input.  Without ``rebalance`` the tasks that read the rows write them, which
+    spares the shuffle of input that is already clustered by day.
 
     Returns the days that got rows.
     """
@@ -67,14 +67,19 @@ def read_days(
 ) -> DataFrame:
     """A stored table by its declared schema, cut to a day range when one is given.
 
-    A table that was never written reads as empty.
+    A table that was never written reads as empty.  A range lists only the folders of its
+    own days (and their names, in the table's root), so a long history costs nothing.
     """
-    if not folders.exists(spark, table):
+    if first is None:
+        if not folders.exists(spark, table):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(table)
+    first, last = day_functions.check_range(first, last)
+    stored = [d for d in folders.stored_days(spark, table) if first <= d <= last]
+    if not stored:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(table)
-    if first is not None:
-        df = df.filter(day_functions.within(*day_functions.check_range(first, last)))
-    return df
+    paths = [f"{table}/_dt={d.isoformat()}" for d in stored]
+    return spark.read.schema(schema).option("basePath", table).parquet(*paths)
 
 
 def export_snapshot(df: DataFrame, root: str, day: str | date) -> str:
@@ -87,7 +92,7 @@ def export_snapshot(df: DataFrame, root: str, day: str | date) -> str:
 def export_days(df: DataFrame, root: str) -> None:
     """Every day of ``df`` (column ``_dt``) as its own snapshot folder, in one job."""
     (
-        df.withColumnRenamed("_dt", "dt")
+        df.withColumnRenamed("_dt", "dt").hint("rebalance", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

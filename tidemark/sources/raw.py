@@ -79,6 +79,20 @@ def with_computed_day(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date_d", days.parsed_day(F.col("event_date")))
 
 
+def by_days(
+    final: DataFrame, final_days: Sequence, intraday: DataFrame, intraday_days: Sequence
+) -> DataFrame:
+    """The final rows of some days and the intraday rows of others, known beforehand.
+
+    The days are plain filters, so a source partitioned by day reads nothing else.
+    """
+    return final.filter(F.col("_dt").isin(list(final_days))).withColumn(
+        "_is_intraday", F.lit(0)
+    ).unionByName(
+        intraday.filter(F.col("_dt").isin(list(intraday_days))).withColumn("_is_intraday", F.lit(1))
+    )
+
+
 def prefer_final(final: DataFrame, intraday: DataFrame) -> DataFrame:
     """Per day the final rows where there are any, else the intraday rows.
 
