@@ -6,7 +6,7 @@ removed.
 ``recurring`` deals the segments that can hold such words over tasks. A task confirms the windows
 that stand in texts of different ids, by 128-bit hashes, with the least id of each; runs of
 confirmed windows are the recurring passages. Their distinct texts are compiled into an
-Aho-Corasick automaton (one a shard of ``recurring.CHUNK_BYTES``, which bounds its memory), and
+Aho-Corasick automaton (one a shard of ``CHUNK_BYTES``, which bounds its memory), and
 every segment of every document dealt to the shard streams through it, which locates each
 occurrence exactly. An occurrence's windows with a smaller least id are removed.
 
@@ -33,6 +33,7 @@ from tidemark.llm.tables import kept
 from tidemark.llm.words import BASE, SEPARATOR, mixed, prefix_hash, slice_hash, words
 
 WIDTH = 50
+CHUNK_BYTES = 4 << 20  # segments a shard, hence the size of its automaton
 GRAIN = 8
 LAST = np.iinfo(np.int64).max
 
@@ -140,7 +141,7 @@ def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame,
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     earlier = F.coalesce(F.col("reps") < F.col("rep"), F.col("rep").isNull() & F.col("reps").isNotNull())
     found = recurring.judged(
-        cut, shared, kernel, lambda data: canonical(pa.array(data, pa.binary()))[2], WIDTH, earlier, hot
+        cut, shared, kernel, lambda data: canonical(pa.array(data, pa.binary()))[2], WIDTH, earlier, hot, CHUNK_BYTES
     )
     return marked, classes, texts, found
 

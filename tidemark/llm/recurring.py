@@ -26,8 +26,7 @@ from tidemark.llm.tables import kept
 from tidemark.llm.words import BASE, mixed, prefix_hash, slice_hash
 
 HOT = 4096
-BATCH_BYTES = 2 << 20
-CHUNK_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 PLACE = np.uint64((1 << 32) - 1)  # the upper half of a hash ranks, the lower half tells where
 SEGMENT = "anchor long, sha binary, rep long, times int, starts binary, data binary"
 FOUND = "sha binary, starts binary, runs binary"
@@ -192,10 +191,11 @@ def found_rows(table: pa.Table, rows: np.ndarray, runs: list[np.ndarray]) -> pa.
     )
 
 
-def judged(cut: DataFrame, shared: DataFrame, kernel: Callable, hashed: Callable, width: int, recurs, hot: int) -> DataFrame:
+def judged(cut: DataFrame, shared: DataFrame, kernel: Callable, hashed: Callable, width: int, recurs, hot: int, chunk: int) -> DataFrame:
     """(sha, starts, runs): what ``kernel`` finds anchor by anchor, and hot anchors by window hashes.
 
-    ``recurs``: whether a window recurs, from its own ``rep`` and ``times`` and from ``reps``
+    ``chunk``: the bytes of segments that ``kernel`` gets at a time, which bound its memory (an
+    anchor that is not hot has ``hot`` segments at most).  ``recurs``: whether a window recurs, from its own ``rep`` and ``times`` and from ``reps``
     (the least ``rep`` with it) and ``all`` (how often it stands).
     """
     marked = cut.join(shared.where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot")), "anchor", "left")
@@ -203,7 +203,7 @@ def judged(cut: DataFrame, shared: DataFrame, kernel: Callable, hashed: Callable
     cold = parted.where("hot is null").drop("hot")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in in_chunks(rows, CHUNK_BYTES):
+        for table in in_chunks(rows, chunk):
             yield from kernel(table)
 
     by_anchor = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, FOUND)

@@ -34,10 +34,11 @@ from tidemark.llm.tables import kept
 from tidemark.llm.words import BASE, BYTE, mixed, prefix_hash, raw, slice_hash
 
 WIDTH = 200
-GRAIN = 16
+GRAIN = 40  # shorter ones recur by chance and send texts without a repeated string
 SYMBOL = 40
 STEPS = WIDTH // SYMBOL
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 20  # a task holds some 150 bytes for each of them
 
 
 def units(batch: pa.RecordBatch) -> Units:
@@ -163,7 +164,7 @@ def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame,
     texts = recurring.candidate_texts(marked, classes, shared, units, WIDTH, GRAIN)
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     found = recurring.judged(
-        cut, shared, kernel, lambda data: units_of(pa.array(data, pa.binary())), WIDTH, F.col("all") > 1, hot
+        cut, shared, kernel, lambda data: units_of(pa.array(data, pa.binary())), WIDTH, F.col("all") > 1, hot, CHUNK_BYTES
     )
     return marked, classes, texts, found
 
