@@ -75,7 +75,8 @@ def test_against_all_pairs(make_docs, seed, families, members, length, edits):
 
 def test_odd_tables(make_docs):
     assert jaccard.similar_documents(make_docs([])).count() == 0
-    assert jaccard.similar_documents(make_docs([None, ""])).select("component_id").collect() == [(0,), (1,)]
+    got = jaccard.similar_documents(make_docs([None, ""])).collect()
+    assert sorted(r.component_id for r in got) == [0, 1]
     rows = [(5, "a b c d e"), (5, "a b c d e"), (7, "a b c d e"), (None, "a b c d e"), (5, "z y x w v"), (9, "z y x w v")]
     got = sorted((r.doc_id or 0, r.component_id) for r in jaccard.similar_documents(make_docs(rows)).collect())
     assert got == [(0, 5), (5, 5), (5, 5), (5, 5), (7, 5), (9, 5)]

@@ -28,7 +28,7 @@ LOWER[65:91] = BYTE[97:123]
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse, kept for the next batch."""
-    if len(_POWERS.get("up", ())) < n:
+    if "up" not in _POWERS or len(_POWERS["up"]) < n:
         for name, base in (("up", BASE), ("down", INVERSE)):
             steps = np.full(max(n, 1 << 16) * 5 // 4, base)
             steps[0] = 1
