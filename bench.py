@@ -4,6 +4,7 @@ The export-shaped rows of ``$BENCH_SF_DIR`` are first loaded, flattened and buil
 marts with the range jobs, once.  Each operator is then timed on the stored tables,
 with the rows thrown away, as the better of two runs.  ``naive`` has the plain forms of
 the same results: one array search per column, and exact distinct counts left to Spark.
+Two cases are ten times as large: flattening into 300 discovered columns, and the KPI mart.
 """
 
 from __future__ import annotations
@@ -18,12 +19,18 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.operators import discover, flatten, marts, quality, reports, retention
+from tidemark.operators.registry import DynamicColumn
 from tidemark.plans import build, load
 from tidemark.plans.app import App
 from tidemark.shaped import events
 from tidemark.shaped.queries import span
 
 RUNS = 2
+KPI_INPUT = (
+    "_dt", "user_pseudo_id", "event_name", "ga_session_id_int", "session_engaged_int",
+    "engagement_time_msec_int", "event_value_in_usd", "publisher_ad_revenue_in_usd",
+    "platform", "geo_country", "app_info_version", "event_timestamp", "event_ts",
+)
 
 
 def consume(df: DataFrame) -> None:
@@ -74,6 +81,16 @@ def naive_kpi(flat: DataFrame) -> DataFrame:
     )
 
 
+def wide_rows(rows: DataFrame, copies: int = 10, keys: int = 300, entries: int = 25) -> DataFrame:
+    """``rows`` several times over, with bags of some of very many keys."""
+    kind = rows.schema["event_params"].dataType.simpleString()
+    key = f"concat('key_', CAST((event_timestamp DIV 1000 + copy * 7 + i * 13) % {keys} AS STRING))"
+    value = "named_struct('string_value', NULL, 'int_value', i, 'float_value', NULL, 'double_value', NULL)"
+    bag = f"transform(sequence(1, {entries}), i -> named_struct('key', {key}, 'value', {value}))"
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return many.withColumn("event_params", F.expr(f"CAST({bag} AS {kind})")).drop("copy")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     spark = session.prepare(session.local(os.environ.get("BENCH_CPUS", "8")))
@@ -109,6 +126,24 @@ def main() -> None:
         "flatten": timed(lambda: consume(naive_flatten(raw, columns))),
         "mart_daily_kpi": timed(lambda: consume(naive_kpi(flat))),
     }
+    wide = wide_rows(raw)
+    at = session.scratch_path(spark, "wide")
+    wide.repartition(int(os.environ.get("BENCH_CPUS", "8"))).write.parquet(at)
+    wide = spark.read.schema(wide.schema).parquet(at)
+    many = [
+        DynamicColumn("event_params", f"key_{k}", "int_value", f"key_{k}_int") for k in range(300)
+    ]
+    times["flatten_wide"] = timed(lambda: consume(flatten.flatten(wide, many, "r")), 1)
+    naive["flatten_wide"] = timed(lambda: consume(naive_flatten(wide, many)), 1)
+    # Ten times the flat rows, by ten times the users.
+    copies = flat.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10)))).withColumn(
+        "user_pseudo_id", F.concat("user_pseudo_id", F.lit("-"), F.col("copy").cast("string"))
+    ).select(*KPI_INPUT)
+    at = session.scratch_path(spark, "large")
+    copies.write.parquet(at)
+    large = spark.read.schema(copies.schema).parquet(at)
+    times["mart_daily_kpi_large"] = timed(lambda: consume(marts.MARTS[0].from_flat(large)))
+    naive["mart_daily_kpi_large"] = timed(lambda: consume(naive_kpi(large)))
     print(json.dumps({
         "metric": "total_best_of_runs",
         "value": round(sum(times.values()), 3),
@@ -119,6 +154,7 @@ def main() -> None:
         "sf": sf_dir.rsplit("sf", 1)[-1],
     }))
     sys.stdout.flush()
+    session.clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -142,7 +142,7 @@ def _with_names(seen: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def _seen(found: DataFrame) -> DataFrame:
+def seen(found: DataFrame) -> DataFrame:
     return found.groupBy(*TRIPLE).agg(
         F.min("_dt").alias("first_seen"), F.max("_dt").alias("last_seen"),
         F.sum("n").alias("n_seen"),
@@ -164,7 +164,7 @@ def upsert(known: DataFrame, found: DataFrame) -> DataFrame:
         F.col("n_seen").alias("old_n"),
     )
     return (
-        _with_names(_seen(found), known)
+        _with_names(seen(found), known)
         .join(before, TRIPLE, "left")
         .withColumn("first_seen", F.coalesce("old_first", "first_seen"))
         .withColumn("last_seen", F.greatest("old_last", "last_seen"))
@@ -179,7 +179,16 @@ def from_counts(known: DataFrame, counts: DataFrame) -> DataFrame:
     The counts are replaced day by day, so a re-run changes nothing and an earlier
     day moves ``first_seen`` back.
     """
-    return _with_names(_seen(counts), known).select(*_ROW)
+    return from_seen(known, seen(counts))
+
+
+def from_seen(known: DataFrame, found: DataFrame) -> DataFrame:
+    """As ``from_counts``, of counts already summed up by ``seen``.
+
+    Naming reads them several times; held as a local table, as small as the flat table is
+    wide, they are summed once.
+    """
+    return _with_names(found, known).select(*_ROW)
 
 
 def added_columns(registry: DataFrame, existing: DataFrame) -> DataFrame:

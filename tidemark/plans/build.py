@@ -44,7 +44,9 @@ def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> li
     # again for every join below.
     known = registry.latest(app.registry())
     known = app.spark.createDataFrame(known.collect(), known.schema)
-    rows = registry.from_counts(known, app.key_counts())
+    seen = registry.seen(app.key_counts())
+    seen = app.spark.createDataFrame(seen.collect(), seen.schema)
+    rows = registry.from_seen(known, seen)
     rows = app.spark.createDataFrame(rows.collect(), rows.schema)
     (
         rows.withColumn("updated_at", F.current_timestamp())
