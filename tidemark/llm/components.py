@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import kept
 
 
-def _star(links: DataFrame, both: bool) -> DataFrame:
+ROWS_A_TASK = 500_000
+
+
+def _packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many tasks as its rows ask for: a late round has few."""
+    return df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
+
+
+def _star(links: DataFrame, both: bool, rows: int) -> DataFrame:
     """Point each node's neighbours at the least node among it and them.
 
     Large stars look at all neighbours and move the larger ones; small stars look at the smaller
@@ -19,12 +27,13 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     if both:
         ways = down.unionByName(down.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ways.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = ways.join(kept(least, "least"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = ways.join(kept(_packed(least, rows), "least"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = kept(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = kept(_packed(down.groupBy("a").agg(F.min("b").alias("m")), rows), "least")
         moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.unionByName(least.select("a", F.col("m").alias("b")))
-    return kept(moved.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    moved = moved.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return kept(_packed(moved.distinct(), rows), "links")
 
 
 def _state(links: DataFrame) -> tuple:
@@ -43,6 +52,6 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _state(links)) != before:
         before = now
-        links = _star(_star(links, both=True), both=False)
+        links = _star(_star(links, True, now[0]), False, now[0])
     roots = links.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
