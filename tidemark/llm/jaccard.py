@@ -279,7 +279,7 @@ def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     ["node", "set", *WORDS],
                 )
 
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node", "text").distinct()
+    texts = docs.hint("merge").join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node", "text").distinct()
     return texts.select("node", "text").mapInArrow(run, "node long, set binary, " + ", ".join(f"{w} long" for w in WORDS))
 
 
@@ -291,7 +291,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMIL
     num, den = similar
     groups = kept(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("salts")), "star-sizes")
     salted = pairs.join(groups, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").alias("salt"))
-    whole = sets.select("node", "set")
+    whole = sets.select("node", "set").hint("merge")
     others = whole.join(salted, F.col("node") == F.col("a")).select("a", "b", "salt", "set")
     salts = groups.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
     hubs = whole.join(salts, F.col("node") == F.col("b")).select(F.col("b").alias("a"), "b", "salt", "set")
