@@ -15,8 +15,8 @@ document near a band's end is dealt by the next band's partition too.
 Documents of one part are compared in stars around the least of them (already within a task, so a
 part that a third of all rows share sends one row a task on), and verified on whole sets. Links
 alone are not enough there, since similarity is not transitive: parts whose documents then lie in
-different components are found again, and all pairs between components that the bits can't rule
-out are verified too. Documents with equal sets are one class throughout.
+different components are found again, each such document is compared with one drawn from the part
+by hash, and at last all pairs between the components still apart that the bits can't rule out. Documents with equal sets are one class throughout.
 
 Nulls, empty texts and texts without words have no shingles and are linked with nothing. A null id
 sorts above all others when a component is named. Repeated rows are members of one class. An empty
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -353,9 +353,14 @@ def _placed(docs: DataFrame) -> DataFrame:
     sets = kept(_sets(texts, kept(chosen, "chosen")), "sets")
     found = kept(verified(links, sets), "links")
     labels = kept(components(found), "labels")
-    more = _cross_links(sets, labels, buckets)
-    found = found.unionByName(kept(verified(more, sets), "cross-links"))
-    labels = kept(components(found), "labels")
+    members = _open_members(sets, labels, buckets)
+    for more in (lambda: _hub_links(members), lambda: _cross_links(members, labels)):
+        candidates = kept(more(), "more-candidates")
+        new = kept(verified(candidates, sets), "more-links")
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = kept(components(ends.unionByName(new)), "labels")
     ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node")))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     placed = classes.join(labels, F.col("a") == F.col("node"), "left").join(degrees, "node", "left")
@@ -372,10 +377,10 @@ def _placed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _cross_links(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """Pairs of different components that share a part and that sizes and bits can't rule out."""
+def _open_members(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """(key, n, node, label, w0..w3): the documents of parts that hold more than one component."""
     marked = kept(
-        sets.join(labels, "node", "left").select("node", "set", *WORDS, F.coalesce("label", "node").alias("label")), "marked"
+        sets.hint("merge").join(labels, "node", "left").select("node", "set", *WORDS, F.coalesce("label", "node").alias("label")), "marked"
     )
 
     def labelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -394,16 +399,40 @@ def _cross_links(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
     open_keys = kept(raw.mapInArrow(_mixed_keys, "key long").distinct(), "open-keys")
     kinds = "key long, n long, node long, label long, " + ", ".join(f"{w} long" for w in WORDS)
     every = marked.select("set", "node", "label", *WORDS).mapInArrow(both, kinds)
-    members = kept(every.join(open_keys, "key", "left_semi"), "open-members")
-    num, den = SIMILAR
-    x, y = members.alias("x"), members.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in WORDS), F.lit(0))
-    bound = F.floor((den - num) * (F.col("x.n") + F.col("y.n")) / (den + num))
-    near = (
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.label") != F.col("y.label"))
-        & (F.col("x.node") > F.col("y.node"))
-        & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n"))
-        & (apart <= bound)
+    return kept(every.hint("merge").join(open_keys, "key", "left_semi"), "open-members")
+
+
+def _may_link(x: str, y: str, similar: tuple[int, int] = SIMILAR) -> Column:
+    """Whether sizes and parity bits of two documents of different components allow a link."""
+    num, den = similar
+    of = lambda side, name: F.col(f"{side}.{name}")
+    apart = sum((F.bit_count(of(x, w).bitwiseXOR(of(y, w))) for w in WORDS), F.lit(0))
+    n, m = of(x, "n"), of(y, "n")
+    return (
+        (of(x, "label") != of(y, "label"))
+        & (den * F.least(n, m) >= num * F.greatest(n, m))
+        & (apart <= F.floor((den - num) * (n + m) / (den + num)))
     )
-    return x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    ends = F.col(f"{x}.node"), F.col(f"{y}.node")
+    return [F.greatest(*ends).alias("a"), F.least(*ends).alias("b")]
+
+
+def _hub_links(members: DataFrame) -> DataFrame:
+    """Each document of an open part with a document drawn from it by hash: another one in each part."""
+    drawn = F.min_by(F.struct("node", "label", "n", *WORDS), F.xxhash64("key", "node"))
+    hubs = kept(members.groupBy("key").agg(drawn.alias("hub")).select("key", "hub.*"), "hubs")
+    pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y"))
+    return pairs.select(*_pair("x", "y")).distinct()
+
+
+def _cross_links(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs of different components left in a part that sizes and bits can't rule out."""
+    names = labels.withColumnRenamed("label", "now")
+    now = kept(members.join(names, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now"), "relabelled")
+    still = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    left = kept(now.join(still.select("key"), "key", "left_semi"), "still-open")
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & _may_link("x", "y")
+    return left.alias("x").join(left.alias("y"), near).select(*_pair("x", "y")).distinct()
