@@ -167,15 +167,15 @@ def distinct(keys: np.ndarray, nodes: np.ndarray) -> tuple:
     return k[fresh], v[fresh], k[:0], v[:0]
 
 
-def _dealt(rows: DataFrame, per_batch, reduced, buckets: int) -> DataFrame:
+def _dealt(rows: DataFrame, column: str, per_batch, reduced, buckets: int) -> DataFrame:
     """Entries (key, node) sent to the task that owns the key's range; a row holds many entries.
 
-    Keys are hashes, so the ranges are even. Entries are ``reduced`` within a batch; links that
-    come of it travel as bucket -1 - (any bucket).
+    Keys are hashes, so the ranges are even. ``column`` is what sizes a batch. Entries are
+    ``reduced`` within a batch; links that come of it travel as bucket -1 - (any bucket).
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column, BATCH_BYTES)):
             keys, nodes, a, b = reduced(*per_batch(batch))
             owner = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
             order = np.argsort(owner, kind="stable")
@@ -243,14 +243,10 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def _of_texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    for part in slices(batch, "text", BATCH_BYTES):
-        h, t = shingles(part.column("text"))
-        n, a, _ = prints(h, t, part.num_rows)
-        k, owner = part_keys(h, t, n)
-        keys.append(k)
-        nodes.append(a[owner])
-    return np.concatenate(keys), np.concatenate(nodes)
+    h, t = shingles(batch.column("text"))
+    n, a, _ = prints(h, t, batch.num_rows)
+    keys, owner = part_keys(h, t, n)
+    return keys, a[owner]
 
 
 def _of_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -347,7 +343,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     classes = kept(
         known.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep")), "set-classes"
     )
-    links = kept(_dealt(texts, _of_texts, starred, buckets).mapInArrow(_linked, "a long, b long").distinct(), "candidate-links")
+    links = kept(_dealt(texts, "text", _of_texts, starred, buckets).mapInArrow(_linked, "a long, b long").distinct(), "candidate-links")
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     chosen = classes.join(nodes, F.col("a") == F.col("node")).select("node", "rep").distinct()
     sets = kept(_sets(texts, kept(chosen, "chosen")), "sets")
@@ -388,14 +384,14 @@ def _open_members(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame
         return keys, batch.column("label").to_numpy().view(np.uint64)[owner]
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "set", BATCH_BYTES)):
             keys, owner = _of_sets(batch)
             n = np.array([len(s) // 8 for s in batch.column("set").to_pylist()], np.int64)
             names = ["node", "label", *WORDS]
             rest = [batch.column(name).take(pa.array(owner)) for name in names]
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n[owner]), *rest], ["key", "n", *names])
 
-    raw = _dealt(marked.select("set", "label"), labelled, distinct, buckets)
+    raw = _dealt(marked.select("set", "label"), "set", labelled, distinct, buckets)
     open_keys = kept(raw.mapInArrow(_mixed_keys, "key long").distinct(), "open-keys")
     kinds = "key long, n long, node long, label long, " + ", ".join(f"{w} long" for w in WORDS)
     every = marked.select("set", "node", "label", *WORDS).mapInArrow(both, kinds)
