@@ -97,6 +97,7 @@ def dedup(docs: DataFrame, batches: Sequence | None = None, path: str | None = N
     seen = kept(digests(docs), "digests")
     for part in batches or [F.lit(True)]:
         index.append(seen.where(part))
+    index.drop()  # the name; the files stay
     return members(spark.read.schema(SCHEMA).parquet(index.path), seen)
 
 
