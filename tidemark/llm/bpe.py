@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -53,16 +54,20 @@ class Coder:
     def __init__(self, path: str, cached: int = CACHED_RUNS):
         import json
 
-        self.tokenizer, self.cached = load(path), cached
+        self.path, self.cached = path, cached
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         text = json.dumps([spec["pre_tokenizer"]])
         self.by_run = '"invert": true' in text and '"Removed"' in text and "[^\\\\s" in text
         self.lowers = self.by_run and '"Lowercase"' in json.dumps(spec["normalizer"])
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32
+        ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        self.kind = np.uint16 if max(ids.values()) < 1 << 16 else np.uint32
         self.seen: dict[bytes, bytes] = {}
-        self.words: dict[int, bytes] | None = None
-        self.plain_decoder = spec["decoder"] is None
+        self.words = {i: w.encode() for w, i in ids.items()} if spec["decoder"] is None else None
+
+    @cached_property
+    def tokenizer(self):
+        return load(self.path)
 
     def _code(self, texts: list[bytes]) -> list[bytes]:
         whole = [t.decode("utf-8", "replace") for t in texts]
@@ -102,13 +107,17 @@ class Coder:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The library's text of ids; without a decoder it joins the tokens by spaces."""
-        if not self.plain_decoder:
-            return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()
         if self.words is None:
-            self.words = {i: w.encode() for w, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+            return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()
         return b" ".join(map(self.words.__getitem__, ids.tolist()))
 
 
+@lru_cache(maxsize=2)
+def coder_of(path: str) -> Coder:
+    """The process's coder of a tokenizer: a worker's later tasks know the runs of its earlier ones."""
+    return Coder(path)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, or one longer row."""
     ends = np.cumsum(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
@@ -122,7 +131,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Itera
 
 def _encoder(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path)
+        coder = coder_of(path)
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -220,7 +229,7 @@ def _encode_long(long: DataFrame, path: str, unsplit: int) -> DataFrame:
                 )[[*keys, "section", "place", "part"]]
 
     def code(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(path)
+        coder = coder_of(path)
         for frame in frames:
             codes = []
             for row in frame.itertuples(index=False):
@@ -269,7 +278,7 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     """``coded`` with the decoded ``text`` of its ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path)
+        coder = coder_of(path)
         for whole in batches:
             for batch in slices(whole, "ids", BATCH_BYTES // 2):
                 texts = [

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import Coder, slices
+from tidemark.llm.bpe import coder_of, slices
 from tidemark.llm.tables import kept
 
 BLOCK = 128
@@ -210,7 +210,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, writer, path = Coder(tokenizer), None, ""
+        coder, writer, path = coder_of(tokenizer), None, ""
         store, root = _store(folder)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
