@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 UNSPLIT = 8192
 AGREE = 4
-CACHED_RUNS = 400_000
+CACHED_RUNS = 150_000
 BATCH_BYTES = 8 << 20
 CODED = "doc_id long, n_tokens long, ids binary"
 
