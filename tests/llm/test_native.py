@@ -114,6 +114,17 @@ def test_pii_base_spans(make_docs):
         assert [s for s in got[i] if s[0] in pii.BASE] == plain_base(text), text
 
 
+def test_pii_ips_with_zeros(make_docs):
+    """Parts of zeros, alone and before other digits, up to the limit and over it."""
+    ips = ["10.0.0.1", "192.168.0.1", "127.0.0.1", "0.0.0.0", "00.1.2.3", "1.2.3.00", "000.000.000.000", "010.001.1.1",
+           "0255.1.1.099", "100.200.250.255", "0256.0.0.0", "1.0.300.0", "0.0.0.1000", "0.0.0", "1.2.3.256", "0" * 3000 + ".0.0.1"]
+    texts = [f"at {ip} ok" for ip in ips] + [" ".join(ips)]
+    got = found(make_docs(texts))
+    assert sum(len(got[i]) for i in range(len(ips))) == 11
+    for i, text in enumerate(texts):
+        assert [s for s in got[i] if s[0] in pii.BASE] == plain_base(text), text
+
+
 def test_pii_added_spans_and_scores(make_docs):
     texts = ["IBAN GB82 WEST 1234 5698 7654 32 ok", "code GB82 WEST 1234 5698 7654 33 ok", "my ssn is 123-45-6789", "id 123-45-6789"]
     got = found(make_docs(texts))

@@ -26,7 +26,7 @@ NEAR = 40
 THRESHOLD = 0.5
 
 # The expressions of the kinds, the words that speak for one.
-BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+BYTE = "(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?+)|0++)"
 
 
 @dataclass(frozen=True)
