@@ -133,6 +133,23 @@ def test_pii_added_spans_and_scores(make_docs):
     assert near.spans[0]["score"] > far.spans[0]["score"] >= pii.THRESHOLD
 
 
+def test_pii_ibans_before_other_words(make_docs):
+    """What follows after a space, or a beginning that fails, hides no code."""
+    codes = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947",
+             "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606", "LC55HEMM000100010012001200023015"]
+    texts, want = [], []
+    for code in codes:
+        for after in ("", ".", " ok", " Today", " AND", " Bank", " 17", " A", " 0000 0000 0000 0000", " €"):
+            for before in ("", "é ", "AB12 ", "AT12 ", "DE00 3704 0044 0532 0130 00 "):
+                texts.append(before + code + after)
+                want.append([("iban", len(before), len(before) + len(code))])
+    texts += [f"{codes[0]} {codes[2]} {codes[1]}", codes[0] + "1", codes[0] + "x", "X" + codes[0], codes[0][:-1], "DE88" + codes[0][4:] + " Bank"]
+    want += [[("iban", 0, 27), ("iban", 28, 55), ("iban", 56, 78)], [], [], [], [], []]
+    got = found(make_docs(texts))
+    for i, text in enumerate(texts):
+        assert [s for s in got[i] if s[0] == "iban"] == want[i], text
+
+
 def test_redact(make_docs):
     rows = pii.redact(make_docs(["é me@x.org and +1 202 555 0147.", None])).orderBy("doc_id").collect()
     assert [r.text for r in rows] == ["é [email] and [phone].", ""]

@@ -9,7 +9,9 @@ no repetition recurses.
 A span's score is its kind's base, plus what a confirming checksum adds, plus what a context word
 within ``NEAR`` code points before it adds. It is reported from ``THRESHOLD`` on. The base kinds
 (email, ip, card, phone) start there, so context only raises them; ``iban`` needs its mod-97
-remainder, ``ssn`` needs a context word.
+remainder, ``ssn`` needs a context word. An IBAN ends where its country's length says, whatever
+follows after a space; codes of countries without a known length run on as far as they can. Every
+place where one can begin is tried, so a beginning that fails hides none after it.
 
 Nulls: a null text is empty and has no spans. Repeated rows are judged each. Only the id and text
 columns are read; other columns are not touched.
@@ -28,6 +30,21 @@ THRESHOLD = 0.5
 # The expressions of the kinds, the words that speak for one.
 BYTE = "(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?+)|0++)"
 
+#: Characters of an IBAN by country: the registry's, then those in use outside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST" " CV GW MZ", 26: "IS TR" " DZ IR",
+    27: "BI DJ FR GR IT MC MR SM" " CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV" " BF BJ CI MA ML NE SN TG", 29: "BR EG PS QA UA" " AO",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_START = "[A-Z]{2}[0-9]{2}"
+IBAN_CODE = "|".join(
+    [f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?+[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()]
+    + [f"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())}){IBAN_START}(?: ?+[A-Z0-9]){{11,30}}+"]
+)
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -37,6 +54,8 @@ class Kind:
     """A cheap expression that every text with a match meets."""
     base: float
     words: str
+    ahead: int = 0
+    """If not 0, a match is so many code points long, and what it stands for is its first group."""
 
 
 EMAIL = Kind(
@@ -48,8 +67,8 @@ IP = Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}+", ".", 0.5, "ip|host
 CARD = Kind("card", r"[0-9](?:[ -]?+[0-9])++", "", 0.5, "card|visa|mastercard|credit|debit")
 PHONE = Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.5, "phone|call|tel|mobile|fax")
 IBAN = Kind(
-    "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "",
-    0.2, "iban|account|bank|transfer",
+    "iban", rf"(?={IBAN_START})(?<![A-Za-z0-9])(?=((?:{IBAN_CODE})(?![A-Za-z0-9]))){IBAN_START}", "",
+    0.2, "iban|account|bank|transfer", ahead=4,
 )
 SSN = Kind(
     "ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social security",
@@ -103,7 +122,7 @@ SPANS = "array<struct<kind:string,first:int,last:int,score:double>>"
 
 def kind_spans(text: Column, kind: Kind) -> Column:
     """The spans of one kind in a text that is not null."""
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.ahead else 0))
     state = "struct<at:int,out:" + SPANS + ">"
 
     def step(acc: Column, pair: Column) -> Column:
@@ -120,8 +139,12 @@ def kind_spans(text: Column, kind: Kind) -> Column:
             F.lit(kind.name).alias("kind"), first.alias("first"), last.alias("last"),
             F.least(score, F.lit(1.0)).alias("score"),
         )
-        add = F.when(_valid(kind, hit) & (score >= THRESHOLD), F.array(span)).otherwise(F.array().cast(SPANS))
-        return F.struct(last.alias("at"), F.concat(acc["out"], add).alias("out"))
+        stands = _valid(kind, hit) & (score >= THRESHOLD)
+        if kind.ahead:  # not within the span before
+            stands &= first >= F.coalesce(F.try_element_at(acc["out"], F.lit(-1))["last"], F.lit(0))
+        add = F.when(stands, F.array(span)).otherwise(F.array().cast(SPANS))
+        at = first + kind.ahead if kind.ahead else last
+        return F.struct(at.alias("at"), F.concat(acc["out"], add).alias("out"))
 
     def pairs(pieces: Column, hits: Column) -> Column:
         return F.transform(
