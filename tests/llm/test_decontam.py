@@ -98,6 +98,40 @@ def test_every_copied_item_is_found(spark, make_docs, corpus, shard_words):
         assert got[pair] == pytest.approx(shares)
 
 
+def question_copies():
+    """Items whose answer holds most of the weight, and texts with their question only, whole or in pieces."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for k in range(40):
+        size = rng.choice([3, 5, 9, 12, 30, 150])
+        asked = [f"q{rng.randint(0, 300)}" for _ in range(size)]
+        items.append((k, " ".join(asked), " ".join(f"z{rng.randint(0, 90_000)}" for _ in range(rng.choice([0, 5, 25, 80])))))
+        said = made_words(rng, rng.choice([0, 40, 400]))
+        docs.append(" ".join(said + asked + said))
+        docs.append(" ".join(said + asked[: -max(1, size // 10)] + said))
+        pieces = [asked[a : a + 24] for a in range(0, max(1, size - 4), 20)]
+        docs.append(" ".join(w for piece in pieces for w in piece + made_words(rng, 300)))
+    return items, docs
+
+
+def test_question_without_answer_is_found(spark, make_docs):
+    items, docs = question_copies()
+    frame = spark.createDataFrame(items, "item_id long, question string, answer string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(make_docs(docs), frame).collect()}
+    want = {(d, i): (overlap(q, doc), overlap(a, doc)) for d, doc in enumerate(docs) for i, q, a in items if overlap(q, doc) >= decontam.OVERLAP}
+    assert set(got) == set(want)
+    low = 0
+    for (d, i), shares in want.items():
+        row = got[d, i]
+        assert (row.question_overlap, row.answer_overlap) == pytest.approx(shares)
+        if d < 9:
+            assert row.score == pytest.approx(plain_scores(items, docs[d])[i])
+        low += row.score < decontam.THRESHOLD
+    assert low >= 30
+    kept = {r.doc_id for r in decontam.clean(make_docs(docs), frame).collect()}
+    assert kept == set(range(len(docs))) - {d for d, _ in want}
+
+
 def test_odd_rows(spark, make_docs):
     item = "One two three four five six seven eight nine ten eleven twelve. Thirteen."
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "..."), (1, item), (None, item)], "item_id long, text string")

@@ -11,6 +11,10 @@ are not essential and skipped at first. A block whose bounds (those of the essen
 passage, and what the others could add) stay under the threshold is passed over; only the items of
 the other blocks are scored, with all terms. Nothing over the threshold is missed.
 
+A copy of the question alone, or one in pieces, may score under the threshold. So the question's
+rarest shingles are indexed as well, as many as can't all be missing when ``OVERLAP`` is reached:
+a pair with one of them is verified too, and reported with its best passage's score.
+
 A retrieved pair is verified on the whole document: ``OVERLAP`` of the question's five-word
 shingles must occur in it. The answer's share is reported, and ``full`` tells whether it reaches
 ``OVERLAP`` as well. Either way the item's question is known to the document.
@@ -107,6 +111,26 @@ class Index:
     """What the terms that are not essential can add to each block."""
     question: list[tuple[int, np.ndarray]]
     answer: list[tuple[int, np.ndarray]]
+    keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    """By shingle size: shingles of which a known question has one at least, and their items."""
+
+
+def question_keys(parts: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(shingles, first places, items) by size: each question's rarest, one more than it can lack."""
+    out = {}
+    for size in {part[0] for part in parts} - {0}:
+        own = [k for k, part in enumerate(parts) if part[0] == size]
+        names, df = np.unique(np.concatenate([parts[k][1] for k in own]), return_counts=True)
+        chosen = []
+        for k in own:
+            at = np.searchsorted(names, parts[k][1])
+            least = int(np.argmax(np.arange(len(at) + 1) / len(at) >= OVERLAP))
+            chosen.append(at[np.argsort(df[at], kind="stable")[: len(at) - least + 1]])
+        key, item = np.concatenate(chosen), np.repeat(own, [len(c) for c in chosen])
+        order = np.argsort(key, kind="stable")
+        used, first = np.unique(key[order], return_index=True)
+        out[size] = names[used], np.append(first, len(key)), item[order]
+    return out
 
 
 def build(items: list[tuple[int | None, str, str]], threshold: float = THRESHOLD) -> Index | None:
@@ -153,7 +177,7 @@ def build(items: list[tuple[int | None, str, str]], threshold: float = THRESHOLD
         parts.append([fingerprint(part.hashes[a:b]) for a, b in zip(part.first, part.first[1:])])
     ids = np.array([-1 if i[0] is None else i[0] for i in items], np.int64)
     first = np.searchsorted(term, np.arange(len(terms) + 1))
-    return Index(ids, terms, first, item, impact, block_first, block, block_max, essential, rest, *parts)
+    return Index(ids, terms, first, item, impact, block_first, block, block_max, essential, rest, *parts, question_keys(parts[0]))
 
 
 def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,15 +222,48 @@ def retrieve(index: Index, found: Words, threshold: float = THRESHOLD) -> tuple[
     return pair // len(index.items), pair % len(index.items), best
 
 
+def asking(index: Index, found: Words) -> np.ndarray:
+    """text number * items + item number of all pairs with a key of the item's question."""
+    pairs = [np.zeros(0, np.int64)]
+    text = found.text_of()
+    for size, (names, first, items) in index.keys.items():
+        runs = grams(found.hashes, size)
+        at = np.minimum(np.searchsorted(names, runs), len(names) - 1)
+        hit = np.flatnonzero(names[at] == runs)
+        hit = hit[text[hit] == text[hit + size - 1]]
+        seen = np.unique(text[hit] * len(names) + at[hit])
+        key = seen % len(names)
+        counts = first[key + 1] - first[key]
+        pairs.append(np.unique(np.repeat(seen // len(names), counts) * len(index.items) + items[expand(first[key], counts)]))
+    return np.unique(np.concatenate(pairs))
+
+
+def best_score(index: Index, item: int, there: np.ndarray) -> float:
+    """The best score of an item over the passages of one text."""
+    own = np.flatnonzero(index.item == item)
+    terms, impact = index.terms[np.searchsorted(index.first, own, "right") - 1], index.impact[own]
+    at = np.minimum(np.searchsorted(terms, there), len(terms) - 1)
+    hit = np.flatnonzero(terms[at] == there)
+    passages = max(1, -(-(len(there) - STRIDE) // STRIDE))
+    slot = np.concatenate([hit // STRIDE, hit // STRIDE - 1])
+    inside = (slot >= 0) & (slot < passages)
+    pairs = np.unique(slot[inside] * len(terms) + np.tile(at[hit], 2)[inside])
+    return float(np.bincount(pairs // len(terms), weights=impact[pairs % len(terms)]).max())
+
+
 def hits(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, float]]:
     """(text number, item number, score, question's share, answer's share) of verified pairs."""
     found = words(column, True, BREAK)
+    text, item, score = retrieve(index, found)
+    scores = dict(zip((text * len(index.items) + item).tolist(), score.tolist()))
     out = []
-    for t, i, score in zip(*(x.tolist() for x in retrieve(index, found))):
+    for pair in sorted({*scores, *asking(index, found).tolist()}):
+        t, i = divmod(pair, len(index.items))
         there = found.hashes[found.first[t] : found.first[t + 1]]
         asked = share(index.question[i], there)
         if asked >= OVERLAP:
-            out.append((t, i, score, asked, share(index.answer[i], there)))
+            best = scores[pair] if pair in scores else best_score(index, i, there)
+            out.append((t, i, best, asked, share(index.answer[i], there)))
     return out
 
 
