@@ -88,4 +88,43 @@ FROM w LEFT JOIN (
 ) USING (doc_id)
 """
 
-SQL = {"op10_phrases": OP10, "op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}
+
+
+def _rounds(n: int) -> str:
+    """The rounds of the clustering one after the other: a{i} assigns, c{i + 1} moves the centroids."""
+    assign = """
+a{i} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v.v) AS v, first(c ORDER BY d, c) AS c, min(d) AS d
+  FROM (SELECT v.*, c.c, list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM v, c{i} c) v
+  GROUP BY r
+)"""
+    move = """
+m{i} AS (
+  SELECT c, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY j) AS v
+  FROM (SELECT c, j, sum(x) AS s, count(*) AS n
+        FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a{i}) GROUP BY c, j)
+  GROUP BY c
+), c{k} AS (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))"""
+    parts = [assign.format(i=i) + "," + move.format(i=i, k=i + 1) for i in range(n)]
+    return ",".join([*parts, assign.format(i=n)])
+
+
+OP13 = f"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM v
+  QUALIFY c < 16
+),{_rounds(3)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c3.v, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256
+FROM a3 a JOIN c3 ON c3.c = a.c
+"""
+
+SQL = {"op10_phrases": OP10, "op13_centroids": OP13, "op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}

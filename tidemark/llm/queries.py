@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import bpe, chat, decontam, exact_dedup, jaccard, langid, phrases, pii, suffix_dedup, token_files
+from tidemark.llm import bpe, centroids, chat, decontam, exact_dedup, jaccard, langid, phrases, pii, suffix_dedup, token_files
 from tidemark.llm.tables import table
 
 
@@ -78,6 +78,10 @@ def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.removal(table(spark, sf_dir, "documents"))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings")).drop("n_exact")
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_jaccard": op2_jaccard,
@@ -89,4 +93,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_phrases": op10_phrases,
+    "op13_centroids": op13_centroids,
 }
