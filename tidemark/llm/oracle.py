@@ -39,15 +39,17 @@ FROM whole
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.n < p.size AND p.n = whole.n AND p.so_far = whole.so_far)
 """
 
-OP2 = """
+def _near(size: int, more: str = "") -> str:
+    """Components of the documents whose sets of ``size`` words in a row are similar enough."""
+    return f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS ws
   FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(
-    CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-         ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g
+    CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {size} THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - {size - 2}), lambda i: array_to_string(ws[i:i + {size - 1}], ' ')) END) AS g
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 i AS (
@@ -61,11 +63,12 @@ i AS (
   UNION
   SELECT e.y, r.reach FROM r JOIN e ON e.x = r.node
 )
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id{more}
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT node AS doc_id, min(reach) AS component_id FROM r GROUP BY node) c USING (doc_id)
 """
 
+
 OP10 = """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS ws FROM documents
@@ -127,4 +130,4 @@ SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
 FROM a3 a JOIN c3 ON c3.c = a.c
 """
 
-SQL = {"op10_phrases": OP10, "op13_centroids": OP13, "op2_jaccard": OP2, "op5_exact_dedup": OP5, "op6_chat_format": OP6}
+SQL = {"op10_phrases": OP10, "op13_centroids": OP13, "op12_minhash": _near(3, ", d.doc_id = c.component_id AS kept"), "op2_jaccard": _near(4), "op5_exact_dedup": OP5, "op6_chat_format": OP6}

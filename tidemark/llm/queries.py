@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm import bpe, centroids, chat, decontam, exact_dedup, jaccard, langid, phrases, pii, suffix_dedup, token_files
+from tidemark.llm import (
+    bpe, centroids, chat, decontam, exact_dedup, jaccard, langid, minhash, phrases, pii, suffix_dedup, token_files,
+)
 from tidemark.llm.tables import table
 
 
@@ -78,6 +80,10 @@ def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.removal(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.similar_documents(table(spark, sf_dir, "documents")).drop("links")
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings")).drop("n_exact")
 
@@ -93,5 +99,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_phrases": op10_phrases,
+    "op12_minhash": op12_minhash,
     "op13_centroids": op13_centroids,
 }
