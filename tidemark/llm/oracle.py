@@ -92,6 +92,38 @@ FROM w LEFT JOIN (
 """
 
 
+OP11 = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\n-\r]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS phrase
+        FROM w, (VALUES (1), (2), (3)) s(k) WHERE len(ws) >= k)
+  GROUP BY ALL HAVING count(*) >= 10
+), s AS (
+  SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score, j
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c WHERE k > 1) c
+  JOIN c l ON l.lang = c.lang AND l.phrase = c.phrase[1:j]
+  JOIN c r ON r.lang = c.lang AND r.phrase = c.phrase[j + 1:]
+), t AS (
+  SELECT * FROM s
+  WHERE NOT EXISTS (
+    SELECT 1 FROM c z WHERE z.k = 3 AND z.lang = s.lang AND len(s.phrase) = 2
+      AND (z.phrase[1:2] = s.phrase OR z.phrase[2:3] = s.phrase) AND 100 * z.f >= 50 * s.a)
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+       array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+FROM t JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
 
 def _rounds(n: int) -> str:
     """The rounds of the clustering one after the other: a{i} assigns, c{i + 1} moves the centroids."""
@@ -130,4 +162,4 @@ SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
 FROM a3 a JOIN c3 ON c3.c = a.c
 """
 
-SQL = {"op10_phrases": OP10, "op13_centroids": OP13, "op12_minhash": _near(3, ", d.doc_id = c.component_id AS kept"), "op2_jaccard": _near(4), "op5_exact_dedup": OP5, "op6_chat_format": OP6}
+SQL = {"op10_phrases": OP10, "op11_collocations": OP11, "op13_centroids": OP13, "op12_minhash": _near(3, ", d.doc_id = c.component_id AS kept"), "op2_jaccard": _near(4), "op5_exact_dedup": OP5, "op6_chat_format": OP6}

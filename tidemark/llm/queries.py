@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.llm import (
-    bpe, centroids, chat, decontam, exact_dedup, jaccard, langid, minhash, phrases, pii, suffix_dedup, token_files,
+    bpe, centroids, chat, collocations, decontam, exact_dedup, jaccard, langid, minhash, phrases, pii,
+    suffix_dedup, token_files,
 )
 from tidemark.llm.tables import table
 
@@ -80,6 +81,10 @@ def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.removal(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.similar_documents(table(spark, sf_dir, "documents")).drop("links")
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_phrases": op10_phrases,
+    "op11_collocations": op11_collocations,
     "op12_minhash": op12_minhash,
     "op13_centroids": op13_centroids,
 }
