@@ -48,7 +48,7 @@ ROWS, FINE = 4, 16
 MISS = 1e-10
 SIGNATURE = 128
 SLACK = 6.5
-STAR = 4096  # sets compared with one set in one group
+STAR = 256  # sets compared with one set in one group
 BATCH_BYTES = 2 << 20
 SEED = 12
 Limit = tuple[int, int]
@@ -152,12 +152,14 @@ def may_link(similar: Limit, x: str, y: str) -> Column:
 def starred(entries: DataFrame, facts: DataFrame, similar: Limit) -> DataFrame:
     """Pairs (a, b) of the documents under each key with the least of them, by sizes and signatures.
 
-    ``entries``: (key, node, n), stored; ``facts``: (node, n, signature), stored.
+    Documents that are known to be in one component with it are left out. ``entries``: (key, node,
+    n, label), stored; ``facts``: (node, n, signature), stored.
     """
     num, den = similar
-    hubs = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("met"))
-    hubs = kept(hubs.where("met > 1").select("key", F.col("hub.node").alias("b"), F.col("hub.n").alias("m")), "hubs")
-    near = (F.col("node") != F.col("b")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))
+    hubs = entries.groupBy("key").agg(F.min(F.struct("label", "node", "n")).alias("hub"), F.max("label").alias("high"))
+    hubs = hubs.where("hub.label < high").select("key", "hub.*").toDF("key", "hub_label", "b", "m")
+    near = (F.col("label") != F.col("hub_label")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))
+    hubs = kept(hubs, "hubs")
     pairs = kept(entries.join(hubs, "key").where(near).select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
     x, y = facts.alias("x"), facts.alias("y")
     met = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
@@ -247,17 +249,18 @@ def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def links_between(facts: DataFrame, entries: DataFrame, sets: DataFrame, similar: Limit) -> tuple[DataFrame, DataFrame]:
     """(links, labels): verified links that tell all components of the nodes of ``entries``."""
-    links = kept(verified(kept(starred(entries, facts, similar), "star-candidates"), sets, similar), "links")
+    alone = entries.withColumn("label", F.col("node"))
+    links = kept(verified(kept(starred(alone, facts, similar), "star-candidates"), sets, similar), "links")
     labels = kept(components(links), "labels")
     opened = _open(entries, labels)
     nodes = kept(opened.select("node").distinct(), "open-nodes")
     if nodes.isEmpty():
         return links, labels
     fine = fine_entries(sets, nodes, similar).join(facts.select("node", "n"), "node")
-    fine = kept(fine.select("key", "node", "n"), "fine-entries")
+    fine = _open(kept(fine.select("key", "node", "n"), "fine-entries"), labels)
     more = kept(verified(kept(starred(fine, facts, similar), "fine-candidates"), sets, similar), "fine-links")
     labels = _relabelled(labels, more)
-    left = kept(_open(fine, labels).join(facts.select("node", "signature"), "node"), "left-entries")
+    left = kept(_open(fine.drop("label"), labels).join(facts.select("node", "signature"), "node"), "left-entries")
     x, y = left.alias("x"), left.alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") > F.col("y.label")) & may_link(similar, "x", "y"))
     pairs = kept(cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "cross-candidates")
