@@ -73,6 +73,39 @@ def test_a_broken_file_fails_only_its_day(spark, app, tmp_path):
     assert app.raw().groupBy("_dt").count().count() == 3
 
 
+def test_one_bad_file_of_many_is_named(spark, app, tmp_path, monkeypatch):
+    """The bad file's name stands in the log, and the range is not halved to find its day."""
+    from tidemark.sources import folders
+
+    root = tmp_path / "export"
+    for day in DAYS[:3]:
+        folder = str(root / f"dt={day}")
+        sample.frame(spark, sample.first_rows() * 17).repartition(50).write.parquet(folder)
+    bad = sorted((root / f"dt={DAYS[1]}").glob("*.parquet"))[7]
+    folders.overwrite(spark, str(bad), b"cut off")
+    jobs = []
+    over = status.over_range
+    monkeypatch.setattr(status, "over_range", lambda job, a, b: over(lambda x, y: jobs.append((x, y)) or job(x, y), a, b))
+    with pytest.raises(status.DaysFailed, match=str(DAYS[1])):
+        load.load_files(app, str(root), DAYS[0], DAYS[4], "run-1")
+    assert jobs == [(DAYS[0], DAYS[4])]
+    log = {r.event_date: (r.status, r.error_message) for r in app.log().collect()}
+    assert log == {DAYS[0]: ("success", ""), DAYS[1]: ("failed", f"files that can't be read: {bad.name}"),
+                   DAYS[2]: ("success", ""), DAYS[3]: ("skipped", ""), DAYS[4]: ("skipped", "")}
+    assert {r["_dt"]: r["count"] for r in app.raw().groupBy("_dt").count().collect()} == {DAYS[0]: 51, DAYS[2]: 51}
+
+
+def test_a_day_of_two_types_loads(spark, app, tmp_path):
+    root = str(tmp_path / "export")
+    rows = sample.frame(spark, sample.first_rows()).withColumn("batch_page_id", F.lit(5).cast("bigint"))
+    rows.coalesce(1).write.parquet(f"{root}/dt={DAYS[0]}")
+    text = rows.withColumn("batch_page_id", F.lit("6")).withColumn("event_timestamp", F.col("event_timestamp").cast("string"))
+    text.coalesce(1).write.mode("append").parquet(f"{root}/dt={DAYS[0]}")
+    assert load.load_files(app, root, DAYS[0], DAYS[0], "run-1") == {DAYS[0]: "success"}
+    got = sorted(tuple(r) for r in app.raw().select("event_timestamp", "batch_page_id").collect())
+    assert got == [(1000, 5), (1000, 6), (2000, 5), (2000, 6), (3000, 5), (3000, 6)]
+
+
 def test_files_without_rows_fail_the_day(spark, app, tmp_path):
     root = str(tmp_path / "export")
     sample.write_day(spark, [], root, f"dt={DAYS[0]}")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import sample
-from tidemark.sources import files, folders, partitions, raw
+from tidemark.sources import broken, files, folders, footers, partitions, raw
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 
@@ -94,3 +94,79 @@ def test_final_wins_over_intraday(spark, final, intraday, want):
 
     got = raw.prefer_final(side("final", final), side("intraday", intraday)).collect()
     assert [(r["name"], r._is_intraday) for r in got] == want
+
+
+def write_files(spark, folder, types):
+    """One file for each type of the column ``n``, two rows each."""
+    for at, kind in enumerate(types):
+        rows = spark.createDataFrame([(f"e{at}", str(2 * at)), (f"e{at}", str(2 * at + 1))], "event_name string, n string")
+        one = rows.select("event_name", F.col("n").cast(kind).alias("event_timestamp"))
+        one.coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.mark.parametrize("odd", [0, 1, 3])
+def test_odd_files_are_found_by_halving(spark, tmp_path, monkeypatch, odd):
+    """Few files of another type among n take about log n merges each, a sound list takes one."""
+    n, folder = 32, str(tmp_path / "day")
+    kinds = ["bigint"] * n
+    for at in range(odd):
+        kinds[at * 11] = "string"
+    write_files(spark, folder, kinds)
+    calls, merge = [], footers.merged_schema
+    monkeypatch.setattr(footers, "merged_schema", lambda *how: calls.append(1) or merge(*how))
+    found = footers.schema_groups(spark, [folder])
+    assert len(found) == (2 if odd else 1)
+    assert len(calls) <= 1 + odd * 2 * 6
+    if odd:
+        assert sorted(len(paths) for _, paths in found) == [odd, n - odd]
+    rows = raw.scan(spark, folder)
+    assert sorted(r[0] for r in rows.select("event_timestamp").collect()) == list(range(2 * n))
+
+
+def test_sound_files_are_one_scan(spark, tmp_path):
+    folder = str(tmp_path / "day")
+    write_files(spark, folder, ["bigint", "bigint"])
+    plan = raw.scan(spark, folder)._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert plan.count("FileScan") == 1 and "cast" not in plan
+
+
+def test_a_value_that_cannot_be_cast_breaks_the_scan(spark, tmp_path):
+    folder = str(tmp_path / "day")
+    write_files(spark, folder, ["bigint"])
+    bad = spark.createDataFrame([("e", "soon")], "event_name string, event_timestamp string")
+    bad.coalesce(1).write.mode("append").parquet(folder)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        raw.scan(spark, folder).collect()
+    nested = spark.createDataFrame([("e", "x")], "event_name string, event_params string")
+    nested.coalesce(1).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="event_params"):
+        raw.scan(spark, str(tmp_path / "other"))
+
+
+def spoil(path, at, length):
+    from pathlib import Path
+
+    path = Path(path)
+    data = bytearray(path.read_bytes())
+    data[at : at + length] = b"\xff" * length
+    path.write_bytes(bytes(data))
+    crc = path.with_name(f".{path.name}.crc")
+    if crc.exists():
+        crc.unlink()
+
+
+def test_broken_files_by_name(spark, tmp_path):
+    """No Parquet at all, a footer cut off, and pages overwritten; an empty file is sound."""
+    folder = str(tmp_path / "a day")
+    write_files(spark, folder, ["bigint"] * 5 + ["string"])
+    spark.createDataFrame([], "event_name string").coalesce(1).write.mode("append").parquet(folder)
+    paths = sorted(glob.glob(f"{folder}/*.parquet"))
+    empty = next(p for p in paths if spark.read.parquet(p).count() == 0)
+    full = [p for p in paths if p != empty]
+    folders.overwrite(spark, full[0], b"not parquet")
+    spoil(full[1], 4, 40)
+    folders.overwrite(spark, full[2], open(full[2], "rb").read()[:-30])
+    judged = broken.check_files(spark, files.parquet_files(spark, folder), raw.RAW).collect()
+    assert {r.path.removeprefix("file:") for r in judged if r.broken} == set(full[:3])
+    assert {r.path.removeprefix("file:"): r.rows for r in judged if not r.broken} == {**{p: 2 for p in full[3:]}, empty: 0}
+    assert broken.check_files(spark, files.parquet_files(spark, str(tmp_path / "none")), raw.RAW).count() == 0

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import days
 from tidemark.schema.raw import RAW
-from tidemark.sources import files
+from tidemark.sources import files, footers
+
+AT_ONCE = 8
 
 
 def differences(actual: T.StructType, declared: T.StructType = RAW) -> list[tuple]:
@@ -38,23 +38,6 @@ def compare_schemas(
     )
 
 
-def _schemas(spark: SparkSession, folder: str) -> list[T.StructType]:
-    """The schemas of a folder's files: one, unless they disagree on a type.
-
-    Spark merges the footers in parallel; only a folder that can't be merged is read file
-    by file.
-    """
-    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    try:
-        return [reader.parquet(folder).schema]
-    except (PySparkException, Py4JError) as error:
-        if "CANNOT_MERGE" not in str(error) and "Failed to merge" not in str(error):
-            raise
-    paths = [r.path for r in files.parquet_files(spark, folder).collect()]
-    found = {reader.parquet(path).schema.json(): path for path in sorted(paths)}
-    return [T.StructType.fromJson(json.loads(text)) for text in found]
-
-
 def schema_drift(
     spark: SparkSession, root: str, first: str | date, last: str | date,
     declared: T.StructType = RAW,
@@ -63,15 +46,20 @@ def schema_drift(
 
     Days are never merged with each other, so a column that one day lacks or that changes
     its type between days shows on that day.  The day in a folder's name is not a column
-    of its files.  What is gathered is one schema per calendar day.
+    of its files.  A day takes one merge of its footers, and a few more where its files
+    disagree; ``AT_ONCE`` days are merged side by side.  What is gathered is one schema per
+    calendar day, or per type that its files have.
     """
     first, last = days.check_range(first, last)
     paths = files.day_paths(spark, root, first, last)
     found = files.day_folders(files.parquet_files(spark, paths)).collect()
-    rows = {
-        (r["_dt"], *row) for r in found for schema in _schemas(spark, r["folder"])
-        for row in differences(schema, declared)
-    }
+
+    def of_day(row) -> list[tuple]:
+        groups = footers.schema_groups(spark, [row["folder"]])
+        return [(row["_dt"], *diff) for schema, _ in groups for diff in differences(schema, declared)]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        rows = {row for of_one in pool.map(of_day, found) for row in of_one}
     return spark.createDataFrame(
         sorted(rows, key=str),
         "_dt date, column string, kind string, declared string, actual string",

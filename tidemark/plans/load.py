@@ -13,8 +13,8 @@ from tidemark.operators import quality
 from tidemark.plans import status
 from tidemark.plans.app import App
 from tidemark.schema import tables
-from tidemark.schema.raw import SORT_KEY
-from tidemark.sources import files, partitions, raw
+from tidemark.schema.raw import RAW, SORT_KEY
+from tidemark.sources import broken, files, partitions, raw
 
 
 def _now() -> datetime:
@@ -82,12 +82,26 @@ def _run(app: App, run: _Run, job, first: date, last: date) -> dict[date, str]:
     return outcomes
 
 
+def _unread_days(app: App, every: DataFrame, found: list[Row]) -> dict[date, str]:
+    """Days of which files can't be read, with the names of those files."""
+    folders = app.spark.createDataFrame([(r["_dt"], r["folder"]) for r in found], "_dt date, folder string")
+    mine = every.join(folders, files.folder(F.col("path")) == F.col("folder"), "left_semi")
+    judged = broken.check_files(app.spark, mine, RAW).where("broken")
+    name = F.regexp_extract("path", "[^/]+$", 0)
+    named = judged.join(folders, files.folder(F.col("path")) == F.col("folder")).groupBy("_dt").agg(
+        F.array_join(F.sort_array(F.collect_list(name)), ", ").alias("names")
+    )
+    return {r["_dt"]: f"files that can't be read: {r['names']}" for r in named.collect()}
+
+
 def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[date, str]:
     """Load the days first..last from export files, in whatever day layout they lie.
 
     All days found are read and replaced in one job.  A day without files is skipped
-    and keeps its stored rows; a day whose files hold no row fails.  Returns the status
-    per day and raises at the end if any day failed.
+    and keeps its stored rows; a day whose files hold no row fails.  If the job breaks on
+    its data, one pass over the files finds those that can't be read; their days fail, with
+    the files' names in the log, and keep their stored rows, and the others are loaded in
+    one more job.  Returns the status per day and raises at the end if any day failed.
     """
     first, last = days.check_range(first, last)
     run = _Run(run_id, "files", _now())
@@ -95,20 +109,36 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
     def job(a: date, b: date) -> dict[date, str]:
         # One folder per calendar day of the range.
         paths = files.day_paths(app.spark, export_root, a, b)
-        listed = files.day_folders(files.parquet_files(app.spark, paths))
+        every = files.parquet_files(app.spark, paths)
+        listed = files.day_folders(every)
         found = listed.collect()
-        if found:
-            rows = raw.scan_days(app.spark, [r["folder"] for r in found])
+
+        def store(rows: list[Row]) -> None:
+            if not rows:
+                return
+            scanned = raw.scan_days(app.spark, [r["folder"] for r in rows])
             stored = raw.load_columns(
-                rows, run_id, F.concat(F.lit("files:"), "_folder"), is_intraday=True
+                scanned, run_id, F.concat(F.lit("files:"), "_folder"), is_intraday=True
             )
             partitions.replace_days(
-                stored, app.path("events_raw"), {r["_dt"] for r in found}, SORT_KEY
+                stored, app.path("events_raw"), {r["_dt"] for r in rows}, SORT_KEY
             )
+
+        unread: dict[date, str] = {}
+        try:
+            store(found)
+        except Exception as error:
+            if not status.lies_in_data(error):
+                raise
+            unread = _unread_days(app, every, found)
+            if not unread:
+                raise
+            store([r for r in found if r["_dt"] not in unread])
         listed = app.spark.createDataFrame(found, listed.schema)
-        loaded = app.day_counts("events_raw", "rows_inserted", a, b)
+        named = app.spark.createDataFrame(list(unread.items()), "_dt date, unread string")
+        loaded = app.day_counts("events_raw", "rows_inserted", a, b).join(named, "_dt", "left_anti")
         empty = F.col("rows_inserted").isNull()
-        done = listed.join(loaded, "_dt", "left").select(
+        done = listed.join(loaded, "_dt", "left").join(named, "_dt", "left").select(
             "_dt",
             F.concat(F.lit("files:"), "folder").alias("source_table"),
             F.lit(1).alias("is_intraday"),
@@ -116,7 +146,7 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
             F.col("files").alias("files_read"), F.col("bytes").alias("bytes_read"),
             "rows_inserted",
             F.when(empty, "failed").otherwise("success").alias("status"),
-            F.when(empty, "no rows loaded").alias("error_message"),
+            F.when(empty, F.coalesce("unread", F.lit("no rows loaded"))).alias("error_message"),
         )
         return _finish(app, run, a, b, done)
 

@@ -335,6 +335,11 @@ broken AS (
 )"""
 
 
+def _listed(text: str) -> str:
+    """A text of each entry ``p`` of the event's bag."""
+    return f"array_to_string(list_transform(event_params, lambda p: {text}), '|')"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per registered query."""
     raw, flat, found = _with(_raw()), _with(_flat()), _with(_found())
@@ -354,6 +359,21 @@ def oracle_sql() -> dict[str, str]:
                    {size('event_params')} AS n_params, {size('items')} AS n_items,
                    items[1].price AS first_price, ecommerce.unique_items AS unique_items
             FROM exported""",
+        "mixed_type_scan": exported + f"""
+            SELECT {', '.join(f.name for f in RAW.fields if f.dataType.simpleString() in _TYPES)},
+                   CASE WHEN event_bundle_sequence_id % 4 < 3 THEN geo.country END AS country,
+                   device.web_info.browser AS browser,
+                   {_listed("coalesce(p.key, '?')")} AS keys,
+                   {_listed("coalesce(CAST(p.value.int_value AS VARCHAR), '?')")} AS ints,
+                   CASE WHEN event_bundle_sequence_id % 4 = 2 THEN {_listed("'?'")}
+                        ELSE {_listed("coalesce(p.value.string_value, '?')")} END AS texts,
+                   _dt
+            FROM exported""",
+        "broken_files": """
+            SELECT _dt, part, CASE WHEN broken THEN 0 ELSE rows END AS rows, broken
+            FROM (SELECT *, day(_dt) % 3 = 1 AND part = day(_dt) % 5 AS broken
+                  FROM (SELECT CAST(ts AS DATE) AS _dt, event_id % 5 AS part, count(*) AS rows
+                        FROM events GROUP BY ALL))""",
         "raw_defaults": raw + f"""
             SELECT event_timestamp, event_name, platform, event_date,
                    {size('event_params')} AS n_params, {size('user_properties')} AS n_properties,

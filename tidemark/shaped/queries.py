@@ -10,6 +10,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import session
 from tidemark.functions import days, params
@@ -20,7 +21,7 @@ from tidemark.operators.registry import DynamicColumn
 from tidemark.plans import build, daily, load, status, upkeep
 from tidemark.plans.app import App
 from tidemark.shaped import events
-from tidemark.sources import files, partitions, raw
+from tidemark.sources import broken, files, folders, partitions, raw
 
 # From this day on there are only intraday rows; before the other one only final rows.
 FINAL_UNTIL = date(2024, 1, 20)
@@ -141,6 +142,62 @@ def raw_scan(spark, sf_dir):
     )
 
 
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Day folders whose files disagree: numbers as text, text as numbers, also in a bag."""
+    root = session.scratch_path(spark, "mixed")
+    rows = events.exported(spark, sf_dir)
+    bag = F.transform("event_params", lambda p: F.when(p.isNotNull(), F.struct(
+        p["key"].alias("key"),
+        F.struct(
+            p["value"]["int_value"].cast("string").alias("int_value"),
+            p["value"]["double_value"].cast("float").alias("double_value"),
+        ).alias("value"),
+    )))
+    of = F.col("event_bundle_sequence_id") % 4
+    for part, changed in (
+        (0, rows),
+        (1, rows.withColumn("event_bundle_sequence_id", F.col("event_bundle_sequence_id").cast("string"))),
+        (2, rows.withColumn("stream_id", F.col("stream_id").cast("int")).withColumn("event_params", bag)),
+        (3, rows.withColumn("batch_page_id", F.col("batch_page_id").cast("int")).drop("geo")),
+    ):
+        kept = changed.where(of == part).withColumnRenamed("_dt", "dt").coalesce(1)
+        kept.write.mode("append").partitionBy("dt").parquet(root)
+    return root
+
+
+@query
+def mixed_type_scan(spark, sf_dir):
+    """Days with files of other types, whole rows by the declared ones."""
+    rows = raw.scan_days(spark, [f"{_mixed_files(spark, sf_dir)}/dt=*"])
+    value = F.col("event_params")["value"]
+    return rows.select(
+        *[c for c in raw.RAW.names if not isinstance(raw.RAW[c].dataType, (T.ArrayType, T.StructType))],
+        F.col("geo.country").alias("country"),
+        F.col("device.web_info.browser").alias("browser"),
+        F.array_join(F.transform(F.col("event_params")["key"], lambda k: F.coalesce(k, F.lit("?"))), "|").alias("keys"),
+        F.array_join(F.transform(value["int_value"].cast("array<string>"), lambda v: F.coalesce(v, F.lit("?"))), "|").alias("ints"),
+        F.array_join(F.transform(value["string_value"], lambda v: F.coalesce(v, F.lit("?"))), "|").alias("texts"),
+        "_dt",
+    )
+
+
+@query
+def broken_files(spark, sf_dir):
+    """Files by day and part, some of them cut short or not Parquet at all."""
+    root = session.scratch_path(spark, "broken")
+    rows = events.exported(spark, sf_dir).withColumn("part", F.col("event_bundle_sequence_id") % 5)
+    rows.repartition("_dt", "part").write.partitionBy("_dt", "part").parquet(root)
+    listed = files.parquet_files(spark, root)
+    day = F.regexp_extract("path", "_dt=([^/]+)", 1).cast("date")
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint")
+    number = F.dayofmonth(day)
+    spoiled = listed.where((number % 3 == 1) & (part == number % 5))
+    for row in spoiled.select("path").collect():  # a file a day at most
+        folders.overwrite(spark, row["path"], b"PAR1 cut off")
+    judged = broken.check_files(spark, listed, raw.RAW)
+    return judged.select(day.alias("_dt"), part.alias("part"), "rows", "broken")
+
+
 @query
 def raw_defaults(spark, sf_dir):
     return events.loaded(spark, sf_dir).select(

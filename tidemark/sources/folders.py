@@ -23,6 +23,14 @@ def delete(spark: SparkSession, path: str) -> bool:
     return system.delete(location, True)
 
 
+def overwrite(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file, in the place of one that may be there."""
+    system, location = _open(spark, path)
+    stream = system.create(location, True)
+    stream.write(bytearray(data))
+    stream.close()
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     """Move a folder; the folder above the target is made if need be."""
     system, location = _open(spark, path)

@@ -3,30 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import days
 from tidemark.schema.raw import LOAD_METADATA, NON_NULL, RAW
-from tidemark.sources import files
+from tidemark.sources import conform, files, footers
+
+
+def _scans(spark: SparkSession, paths: Sequence[str], *extra: Column) -> DataFrame:
+    """One scan for each group of files that agree on their types, cast to the declared ones.
+
+    Files that are all of the declared types are one scan by the declared schema.
+    """
+    scans = []
+    for actual, group in footers.schema_groups(spark, paths):
+        kind = conform.readable(RAW, actual)
+        rows = spark.read.schema(kind).parquet(*group)
+        columns = [
+            conform.conformed(F.col(have.name), have.dataType, want.dataType).alias(want.name)
+            for have, want in zip(kind.fields, RAW.fields)
+        ]
+        scans.append(rows.select(*columns, *extra))
+    if not scans:
+        return spark.read.schema(RAW).parquet(*paths).select("*", *extra)
+    return reduce(DataFrame.unionByName, scans)
 
 
 def scan(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Export files by the declared schema.
 
     Missing columns and nested fields are NULL, undeclared ones are ignored, names
-    match whatever their case and order.
+    match whatever their case and order.  A column that some files have with another type
+    is cast; a value that can't be cast breaks the scan.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.schema(RAW).parquet(*paths)
+    return _scans(spark, [paths] if isinstance(paths, str) else list(paths))
 
 
 def scan_days(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """As ``scan``, with the day (``_dt``) and the folder (``_folder``) of each row's file."""
     path = F.col("_metadata.file_path")
     day, _ = files.layout_day(path)
-    return scan(spark, paths).select("*", day.alias("_dt"), files.folder(path).alias("_folder"))
+    return _scans(spark, list(paths), day.alias("_dt"), files.folder(path).alias("_folder"))
 
 
 def _filled_bag(name: str) -> Column:
