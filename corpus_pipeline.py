@@ -12,6 +12,9 @@ from tidemark.llm import bpe, decontam, exact_dedup, jaccard, langid
 from tidemark.llm.queries import tokenizer_path
 from tidemark.llm.tables import kept, table
 
+#: Near duplicates share 80 % of their sets of five words in a row.
+NEAR_SHINGLE, NEAR_SIMILAR = 5, (80, 100)
+
 
 def accept_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language ID accepts, by models of the labelled ones among them."""
@@ -25,7 +28,7 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the least id stays."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, NEAR_SHINGLE, NEAR_SIMILAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

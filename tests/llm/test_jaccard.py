@@ -13,12 +13,12 @@ from tidemark.llm import jaccard
 from tidemark.llm.components import components
 
 
-def shingle_set(text):
+def shingle_set(text, size=4):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", low)
-    if len(words) < 4:
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
 def least_reachable(nodes, links):
@@ -35,12 +35,13 @@ def least_reachable(nodes, links):
     return {n: root(n) for n in nodes}
 
 
-def plain(rows):
-    sets = {i: shingle_set(t) for i, t in rows}
+def plain(rows, size=4, similar=(85, 100)):
+    num, den = similar
+    sets = {i: shingle_set(t, size) for i, t in rows}
     ids = sorted(sets)
     links = [
         (a, b) for k, a in enumerate(ids) for b in ids[k + 1 :]
-        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])
     ]
     up = least_reachable(ids, links)
     return {(i, len(sets[i]), up[i]) for i in ids}
@@ -73,6 +74,63 @@ def test_against_all_pairs(make_docs, seed, families, members, length, edits):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == plain(rows)
 
 
+@pytest.mark.parametrize("edits", [5, 8])
+def test_alike_but_not_linked(make_docs, edits):
+    """Members of one template, some linked in chains, most not."""
+    rng = random.Random(11)
+    rows = []
+    for m in range(160):
+        words = [f"t{k}" for k in range(220)]
+        for at in rng.sample(range(220), edits):
+            words[at] = f"m{m}x{at}"
+        rows.append((m, " ".join(words)))
+    got = jaccard.similar_documents(make_docs(rows)).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == plain(rows)
+
+
+def test_shared_parts_without_links(spark, make_docs, monkeypatch):
+    """2000 documents that share a long passage: few pairs are left to verify."""
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(120)]
+    rows = [(m, " ".join(passage + [f"w{rng.randrange(10**9)}" for _ in range(60)])) for m in range(2000)]
+    pairs, verify = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda found, *how: pairs.append(found.count()) or verify(found, *how))
+    got = jaccard.similar_documents(make_docs(rows))
+    assert got.where("doc_id != component_id").count() == 0
+    assert sum(pairs[2:]) < 2000, pairs
+
+
+def test_other_limits(make_docs):
+    rows = list(enumerate(variants(9, 20, 6, 60, 4)))
+    got = jaccard.similar_documents(make_docs(rows), 5, (80, 100)).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == plain(rows, 5, (80, 100))
+
+
+@pytest.mark.parametrize("similar", [(85, 100), (80, 100)])
+def test_linked_sets_share_fine_sketches(similar):
+    """At the limit, pairs have as many fine sketches in common as their number asks for."""
+    rng = np.random.default_rng(7)
+    num, den = similar
+    for _ in range(60):
+        n = int(rng.integers(8, 600))
+        union = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        most = n - -(-num * n // den)
+        gone = rng.permutation(n)[:most]
+        a, b = np.delete(union, gone[: most // 2]), np.delete(union, gone[most // 2 :])
+        keys = [set(jaccard.fine_keys(s, np.array([len(s)]), similar)[0].tolist()) for s in (a, b)]
+        assert len(keys[0] & keys[1]) >= 4
+
+
+def test_keep_one_with_clashing_names(make_docs):
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (3, "x y z"), (None, None), (4, "")]
+    docs = make_docs(rows)
+    for name in ("_id", "_a", "a", "n", "_n", "_digest", "component_id"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = jaccard.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r["_id"], r.a) for r in got.collect()) == [(i, "_id", "a") for i in (0, 1, 3, 4)]
+
+
 def test_odd_tables(make_docs):
     assert jaccard.similar_documents(make_docs([])).count() == 0
     got = jaccard.similar_documents(make_docs([None, ""])).collect()

@@ -54,7 +54,8 @@ def test_exact(stages):
 
 def test_near(stages):
     before = rows(stages[2])
-    stays = {i for i, n, c in plain(before) if i == c or n == 0}
+    near = plain(before, corpus_pipeline.NEAR_SHINGLE, corpus_pipeline.NEAR_SIMILAR)
+    stays = {i for i, n, c in near if i == c or n == 0}
     assert rows(stages[3]) == [r for r in before if r[0] in stays]
 
 

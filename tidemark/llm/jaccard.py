@@ -1,11 +1,11 @@
 """N-gram Jaccard join by parity sketches.
 
 A document is its set of distinct word shingles, each a 64-bit hash. Hashes are dealt by value
-over the parts of a size band's partition; a part's sketch adds up the hashes dealt to it (the
-same for the same tokens only), and 256 further bits hold the parity of the tokens dealt to each.
-Each differing token changes one part at most and flips one bit at most, so the number of
-differing parts and the bits' Hamming distance are lower bounds of the symmetric difference, which
-for linked sets is at most (1 - t) / (1 + t) of the sizes' sum.
+over the parts of a size band's partition, and XOR-ed into the part's 64 bits; 256 further bits
+hold the parity of the tokens dealt to each. Each differing token changes one part at most and
+flips one parity bit at most, so the number of differing parts and the bits' Hamming distance are
+lower bounds of the symmetric difference, which for linked sets is at most (1 - t) / (1 + t) of the
+sizes' sum.
 
 Pigeonhole join: with more parts than that bound, linked documents have an equal part. A document
 leaves out the parts with fewest tokens, as many whole count classes as the bound allows; what
@@ -15,8 +15,15 @@ document near a band's end is dealt by the next band's partition too.
 Documents of one part are compared in stars around the least of them (already within a task, so a
 part that a third of all rows share sends one row a task on), and verified on whole sets. Links
 alone are not enough there, since similarity is not transitive: parts whose documents then lie in
-different components are found again, each such document is compared with one drawn from the part
-by hash, and at last all pairs between the components still apart that the bits can't rule out. Documents with equal sets are one class throughout.
+different components are open, and each such document is compared with one drawn from the part by
+hash. A part has few tokens, so documents that merely share passages have equal parts too; what is
+still open then gets fine sketches instead of being compared pairwise. Each fine sketch is the XOR
+of the tokens that a hash function of its own puts into a small range, so wide that a linked pair
+differs in none of them with the probability ``SURVIVES``, and there are as many as make such a pair
+miss all of them with ``MISS`` at most. Documents far below the limit hardly ever have one in
+common. Under a fine sketch documents of different components are compared in stars, and only those
+still apart after that pairwise, within the join, by sizes and bits. Documents with equal sets are
+one class throughout.
 
 Nulls, empty texts and texts without words have no shingles and are linked with nothing. A null id
 sorts above all others when a component is named. Repeated rows are members of one class. An empty
@@ -37,12 +44,13 @@ from pyspark.sql import types as T
 
 from tidemark.llm.bpe import slices
 from tidemark.llm.components import components
-from tidemark.llm.tables import kept
+from tidemark.llm.tables import free_names, kept
 from tidemark.llm.words import mixed, words
 
 SHINGLE = 4
 SIMILAR = (85, 100)
 LOAD = 5.0  # tokens a part at a band's upper end
+SURVIVES, MISS = 0.08, 1e-10
 STAR = 256  # sets compared with one set in one group
 BATCH_BYTES = 2 << 20
 WORDS = ("w0", "w1", "w2", "w3")
@@ -115,7 +123,7 @@ def part_keys(
         begins = np.ones(len(h), bool)
         begins[1:] = (t[1:] != t[:-1]) | (part[1:] != part[:-1])
         at = np.flatnonzero(begins)
-        sums, counts = np.add.reduceat(h, at), np.diff(np.append(at, len(h)))
+        sums, counts = np.bitwise_xor.reduceat(h, at), np.diff(np.append(at, len(h)))
         owner, part = t[at], part[at]
         # whole count classes are left out, from empty parts up, while an equal part must remain
         bound = np.minimum(most_different(size + size * den // num, similar), most_different(2 * top, similar))
@@ -226,13 +234,13 @@ def _mixed_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(found.view(np.int64))], ["key"])
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, a, b): the size and fingerprints of each document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                h, t = shingles(batch.column("text"))
+                h, t = shingles(batch.column("text"), size)
                 n, a, b = prints(h, t, batch.num_rows)
                 yield pa.record_batch(
                     [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
@@ -242,27 +250,67 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, a long, b long")
 
 
-def _of_texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    h, t = shingles(batch.column("text"))
-    n, a, _ = prints(h, t, batch.num_rows)
-    keys, owner = part_keys(h, t, n)
-    return keys, a[owner]
+def _of_texts(size: int, similar: tuple[int, int]):
+    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        h, t = shingles(batch.column("text"), size)
+        n, a, _ = prints(h, t, batch.num_rows)
+        keys, owner = part_keys(h, t, n, similar)
+        return keys, a[owner]
 
+    return run
 
-def _of_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    sets = [np.frombuffer(s, np.uint64) for s in batch.column("set").to_pylist()]
-    n = np.array([len(s) for s in sets], np.int64)
-    h = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    return part_keys(h, np.repeat(np.arange(len(sets)), n), n)
 
+def _set_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sizes): stored sets one after the other."""
+    sets = [np.frombuffer(s, np.uint64) for s in column.to_pylist()]
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array([len(s) for s in sets], np.int64)
 
-def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+
+def _of_sets(batch: pa.RecordBatch, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    h, n = _set_arrays(batch.column("set"))
+    return part_keys(h, np.repeat(np.arange(len(n)), n), n, similar)
+
+
+def fine_keys(h: np.ndarray, n: np.ndarray, similar: tuple[int, int] = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, set numbers): the fine sketches of sets that lie one after the other in ``h``.
+
+    Linked sets of at most one token that differs have equal parts already, but are not left out.
+    """
+    num, den = similar
+    count = math.ceil(math.log(MISS) / math.log1p(-SURVIVES))
+    band = np.frexp(np.maximum(n, 1))[1] - 1
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for up in (0, 1):
+        here = n > 0
+        if up:
+            here &= n * den >= num * (np.int64(2) << band)
+        mine = np.flatnonzero(here)
+        if not len(mine):
+            continue
+        tokens, m = h[np.repeat(here, n)], n[mine]
+        starts = np.cumsum(m) - m
+        b = band[mine] + up
+        differ = np.maximum(1, most_different(2 * ((np.int64(2) << b) - 1), similar))
+        share = -np.expm1(math.log(SURVIVES) / differ)  # of all tokens, so that (1 - share)^differ survive
+        limit = np.repeat((share * 2.0**32).astype(np.uint64), m)
+        for j in range(count):
+            value = mixed(tokens ^ np.uint64((j + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            inside = np.where((value >> np.uint64(32)) < limit, value, np.uint64(0))
+            sketch = np.bitwise_xor.reduceat(inside, starts)
+            place = (b.astype(np.uint64) << np.uint64(48)) + np.uint64(j)
+            some = sketch != 0  # sets without a token there have the rest of the sketches
+            keys.append(mixed(sketch ^ mixed(place))[some])
+            owners.append(mine[some])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
     """(node, set, w0..w3): the sorted hashes of the chosen classes and their 256 parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                h, t = shingles(batch.column("text"))
+                h, t = shingles(batch.column("text"), size)
                 n, a, _ = prints(h, t, batch.num_rows)
                 nodes = batch.column("node").to_numpy()
                 ends = np.concatenate([[0], np.cumsum(n)])
@@ -307,52 +355,62 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMIL
     return others.unionByName(hubs).groupBy("b", "salt").applyInPandas(compare, "a long, b long")
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(docs: DataFrame, size: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, links): every document with the component of its links.
 
+    Sets are of ``size`` words in a row; those at least ``similar`` (as a fraction) are linked.
     ``links`` is the number of verified links that its class took part in (those needed to tell
     the components, not all there are).
     """
-    return _placed(docs).drop("a", "b")
+    return _placed(docs, size, similar).drop("a", "b")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """One row of each component (that of its least id) and all that have no shingles, with their columns."""
-    placed = _placed(docs)
+    placed = _placed(docs, size, similar)
     stay = placed.where("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min(F.struct("a", "b")).alias("s"))
-    stay = kept(stay.select(F.col("component_id").alias("_id"), F.col("s.a").alias("_a"), F.col("s.b").alias("_b")), "stays")
+    stay = kept(stay.select(F.col("component_id").alias("id"), F.col("s.a").alias("a"), F.col("s.b").alias("b")), "stays")
+    n_name, a_name, b_name = free_names(docs, "n", "a", "b")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
-                h, t = shingles(batch.column("text").fill_null(""))
+                h, t = shingles(batch.column("text").fill_null(""), size)
                 n, a, b = prints(h, t, batch.num_rows)
-                yield pa.record_batch([*batch.columns, pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], [*batch.schema.names, "_n", "_a", "_b"])
+                yield pa.record_batch([*batch.columns, pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], [*batch.schema.names, n_name, a_name, b_name])
 
-    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_n", "_a", "_b")]]))
-    marked = marked.withColumn("_id", F.col("doc_id"))
-    same = [marked["_id"].eqNullSafe(stay["_id"]), marked["_a"] == stay["_a"], marked["_b"] == stay["_b"]]
-    one = marked.where("_n > 0").join(stay, same, "left_semi").dropDuplicates(["_id", "_a", "_b"])
-    return one.unionByName(marked.where("_n = 0")).select(*docs.columns)
+    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in (n_name, a_name, b_name)]]))
+    same = [marked["doc_id"].eqNullSafe(stay["id"]), marked[a_name] == stay["a"], marked[b_name] == stay["b"]]
+    one = marked.where(marked[n_name] > 0).join(stay, same, "left_semi").dropDuplicates(["doc_id", a_name, b_name])
+    return one.unionByName(marked.where(marked[n_name] == 0)).select(*docs.columns)
 
 
-def _placed(docs: DataFrame) -> DataFrame:
+def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = kept(sizes(texts), "set-sizes")
+    known = kept(sizes(texts, size), "set-sizes")
     classes = kept(
         known.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep")), "set-classes"
     )
-    links = kept(_dealt(texts, "text", _of_texts, starred, buckets).mapInArrow(_linked, "a long, b long").distinct(), "candidate-links")
+    dealt = _dealt(texts, "text", _of_texts(size, similar), starred, buckets)
+    links = kept(dealt.mapInArrow(_linked, "a long, b long").distinct(), "candidate-links")
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     chosen = classes.join(nodes, F.col("a") == F.col("node")).select("node", "rep").distinct()
-    sets = kept(_sets(texts, kept(chosen, "chosen")), "sets")
-    found = kept(verified(links, sets), "links")
+    sets = kept(_sets(texts, kept(chosen, "chosen"), size), "sets")
+    found = kept(verified(links, sets, similar), "links")
     labels = kept(components(found), "labels")
-    members = _open_members(sets, labels, buckets)
-    for more in (lambda: _hub_links(members), lambda: _cross_links(members, labels)):
-        candidates = kept(more(), "more-candidates")
-        new = kept(verified(candidates, sets), "more-links")
+    members = _open_members(sets, labels, buckets, similar)
+    fine = None
+    for more in (_hub_links, _fine_links, _cross_links):
+        if more is not _hub_links:
+            if fine is None:
+                fine = _fine_members(members, sets, labels, similar)
+            else:
+                fine = _still_open(fine, labels)
+            if fine.isEmpty():
+                break
+        candidates = kept(more(members if fine is None else fine, similar), "more-candidates")
+        new = kept(verified(candidates, sets, similar), "more-links")
         if not new.isEmpty():
             found = found.unionByName(new)
             ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
@@ -373,19 +431,19 @@ def _placed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_members(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+def _open_members(sets: DataFrame, labels: DataFrame, buckets: int, similar: tuple[int, int]) -> DataFrame:
     """(key, n, node, label, w0..w3): the documents of parts that hold more than one component."""
     marked = kept(
         sets.hint("merge").join(labels, "node", "left").select("node", "set", *WORDS, F.coalesce("label", "node").alias("label")), "marked"
     )
 
     def labelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        keys, owner = _of_sets(batch)
+        keys, owner = _of_sets(batch, similar)
         return keys, batch.column("label").to_numpy().view(np.uint64)[owner]
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "set", BATCH_BYTES)):
-            keys, owner = _of_sets(batch)
+            keys, owner = _of_sets(batch, similar)
             n = np.array([len(s) // 8 for s in batch.column("set").to_pylist()], np.int64)
             names = ["node", "label", *WORDS]
             rest = [batch.column(name).take(pa.array(owner)) for name in names]
@@ -398,6 +456,31 @@ def _open_members(sets: DataFrame, labels: DataFrame, buckets: int) -> DataFrame
     return kept(every.hint("merge").join(open_keys, "key", "left_semi"), "open-members")
 
 
+def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members under keys that still hold several components, by their labels of now."""
+    names = labels.withColumnRenamed("label", "now")
+    now = kept(members.join(names, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now"), "relabelled")
+    still = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return kept(now.join(kept(still.select("key"), "still-open-keys"), "key", "left_semi"), "still-open")
+
+
+def _fine_members(members: DataFrame, sets: DataFrame, labels: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """As ``members``, for the documents of parts still open, under their fine sketches."""
+    facts = ["node", "n", *WORDS]
+    nodes = kept(_still_open(members, labels).groupBy("node").agg(*[F.first(c).alias(c) for c in facts[1:]]), "open-nodes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "set", BATCH_BYTES)):
+            keys, owner = fine_keys(*_set_arrays(batch.column("set")), similar)
+            yield pa.record_batch([pa.array(keys.view(np.int64)), batch.column("node").take(pa.array(owner))], ["key", "node"])
+
+    mine = sets.select("node", "set").hint("merge").join(nodes.select("node"), "node", "left_semi")
+    entries = kept(mine.mapInArrow(run, "key long, node long"), "fine-entries")
+    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    met = kept(entries.join(kept(shared.select("key"), "shared-keys"), "key", "left_semi"), "met-entries")
+    return _still_open(met.join(nodes, "node").select("key", *facts, F.lit(None).cast("long").alias("label")), labels)
+
+
 def _may_link(x: str, y: str, similar: tuple[int, int] = SIMILAR) -> Column:
     """Whether sizes and parity bits of two documents of different components allow a link."""
     num, den = similar
@@ -416,19 +499,26 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.greatest(*ends).alias("a"), F.least(*ends).alias("b")]
 
 
-def _hub_links(members: DataFrame) -> DataFrame:
+def _with_hubs(members: DataFrame, hubs: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Pairs of each document with its key's hub."""
+    hubs = kept(hubs.select("key", "hub.*"), "hubs")
+    pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y", similar))
+    return pairs.select(*_pair("x", "y")).distinct()
+
+
+def _hub_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Each document of an open part with a document drawn from it by hash: another one in each part."""
     drawn = F.min_by(F.struct("node", "label", "n", *WORDS), F.xxhash64("key", "node"))
-    hubs = kept(members.groupBy("key").agg(drawn.alias("hub")).select("key", "hub.*"), "hubs")
-    pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y"))
-    return pairs.select(*_pair("x", "y")).distinct()
+    return _with_hubs(members, members.groupBy("key").agg(drawn.alias("hub")), similar)
 
 
-def _cross_links(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of different components left in a part that sizes and bits can't rule out."""
-    names = labels.withColumnRenamed("label", "now")
-    now = kept(members.join(names, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now"), "relabelled")
-    still = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    left = kept(now.join(still.select("key"), "key", "left_semi"), "still-open")
-    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & _may_link("x", "y")
-    return left.alias("x").join(left.alias("y"), near).select(*_pair("x", "y")).distinct()
+def _fine_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Each document with that of the least component under its fine sketch."""
+    least = F.min(F.struct("label", "node", "n", *WORDS))
+    return _with_hubs(members, members.groupBy("key").agg(least.alias("hub")), similar)
+
+
+def _cross_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """All pairs of different components left under a fine sketch that sizes and bits can't rule out."""
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & _may_link("x", "y", similar)
+    return members.alias("x").join(members.alias("y"), near).select(*_pair("x", "y")).distinct()

@@ -18,3 +18,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     such tables are plain exchanges, whose hot partitions adaptive execution can split.
     """
     return session.stored(df, session.scratch_path(df.sparkSession, name))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of one's own that ``df`` does not have, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
