@@ -31,6 +31,16 @@ def overwrite(spark: SparkSession, path: str, data: bytes) -> None:
     stream.close()
 
 
+def read(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    system, location = _open(spark, path)
+    stream = system.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     """Move a folder; the folder above the target is made if need be."""
     system, location = _open(spark, path)
