@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,57 @@ def test_index_persists(spark, make_docs):
     assert sorted(r.keep_id for r in again.rows().collect()) == [1, 3, 5]
 
 
+@pytest.mark.parametrize("made,opened", [(16, 4), (4, 16)])
+def test_index_keeps_its_buckets(spark, make_docs, made, opened):
+    """Texts stored by one session are known to the next, whatever its shuffle partitions."""
+    path = session.scratch_path(spark, "index")
+    docs = make_docs([f"text {i}" for i in range(300)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (made, opened):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            index = exact_dedup.DigestIndex(spark, path)
+            index.append(exact_dedup.digests(docs))
+            assert index.buckets == made
+            assert index.rows().count() == index.rows().distinct().count() == 300
+            assert exact_dedup.dedup(docs, path=path).where("kept").count() == 300
+            index.drop()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(exact_dedup.IndexMismatch):
+        exact_dedup.DigestIndex(spark, path, made + 1)
+
+
+def test_indexes_do_not_meet(spark, make_docs):
+    """Paths that differ in a sign only, or beyond their last sixty, are indexes of their own."""
+    root = session.scratch_path(spark, "index")
+    for at, path in enumerate((f"{root}/a-b", f"{root}/a_b", f"{root}/x/{'y' * 70}", f"{root}/z/{'y' * 70}", f"{root}/it's")):
+        index = exact_dedup.DigestIndex(spark, path)
+        assert index.rows().count() == 0
+        index.append(exact_dedup.digests(make_docs([f"{at} {i}" for i in range(5)])))
+        assert index.rows().count() == 5
+    spark.range(3).write.parquet(f"{root}/other")
+    with pytest.raises(exact_dedup.IndexMismatch):
+        exact_dedup.DigestIndex(spark, f"{root}/other")
+
+
+def test_members_read_the_index_by_its_buckets(spark, make_docs):
+    index = exact_dedup.DigestIndex(spark, session.scratch_path(spark, "index"))
+    seen = exact_dedup.digests(make_docs(["a", "b"]))
+    index.append(seen)
+    plan = exact_dedup.classes(index, seen)._jdf.queryExecution().toString()
+    assert plan.split("Physical Plan")[1].count("Exchange") == 1
+
+
+def test_keep_one_with_clashing_names(make_docs):
+    docs = make_docs([(1, "a"), (1, "a"), (2, "A"), (None, "z"), (-1, "z")])
+    for name in ("_id", "_digest", "digest", "DIGEST_", "keep_id", "id"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = exact_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r["_id"], r.digest) for r in got.collect()) == [(-1, "_id", "digest"), (2, "_id", "digest")]
+
+
 def test_index_is_joined_by_its_buckets(spark, make_docs):
     index = exact_dedup.DigestIndex(spark, session.scratch_path(spark, "index"))
     index.append(exact_dedup.digests(make_docs(["a", "b"])))
@@ -114,6 +166,18 @@ def test_pii_base_spans(make_docs):
         assert [s for s in got[i] if s[0] in pii.BASE] == plain_base(text), text
 
 
+def test_pii_many_matches(make_docs):
+    """The time grows with the number of matches in a text."""
+    texts = [" ".join(f"10.{i % 256}.{i // 256}.7 a{i}@b.cc" for i in range(n)) for n in (255, 256, 257, 10_000)]
+    texts.append("DE89 3704 0044 0532 0130 00 " * 600)
+    started = time.time()
+    got = found(make_docs(texts))
+    assert time.time() - started < 20
+    for i, text in enumerate(texts):
+        assert [s for s in got[i] if s[0] in pii.BASE] == plain_base(text)
+    assert len([s for s in got[4] if s[0] == "iban"]) == 600
+
+
 def test_pii_ips_with_zeros(make_docs):
     """Parts of zeros, alone and before other digits, up to the limit and over it."""
     ips = ["10.0.0.1", "192.168.0.1", "127.0.0.1", "0.0.0.0", "00.1.2.3", "1.2.3.00", "000.000.000.000", "010.001.1.1",

@@ -7,19 +7,21 @@ sort-merge anti-join that reads the index by its buckets, and appended.
 Nulls: a null text counts as empty, so all null and empty texts are one group. A null id sorts
 below every other id. Ties: rows with equal text and id are all "kept" rows of the group. An
 empty input leaves the index as it is and gives no rows. Only the id and text columns named by
-the caller are read, so extra columns and their names don't matter.
+the caller are read, so extra columns and their names don't matter. An index that is opened again
+keeps the number of buckets it was made with.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.llm.tables import kept
+from tidemark.llm.tables import free_names, kept
+from tidemark.sources import folders
 
 SCHEMA = "digest binary, keep_id long"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -36,19 +38,41 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("digest"))
 
 
+class IndexMismatch(ValueError):
+    """An index was made with another number of buckets, or is none."""
+
+
 class DigestIndex:
-    """A table of the digests seen so far, each with the row that stays for it."""
+    """A table of the digests seen so far, each with the row that stays for it.
+
+    The number of buckets is kept in a small file beside the data (``_buckets``) from the
+    table's making on, since rows would be missed if the files were read as other buckets than they are.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
-        """``buckets``: by default as many as the session has shuffle partitions; fixed at creation."""
+        """``buckets``: for a new index, by default as many as the session has shuffle partitions."""
         self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path)[-60:]
-        if not spark.catalog.tableExists(self.name):
-            spark.sql(
-                f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet "
-                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
-            )
+        self.buckets = self._kept_buckets(buckets)
+        self.name = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:32]
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # the name only; the files are the index
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{escaped}'"
+        )
+
+    def _kept_buckets(self, asked: int | None) -> int:
+        note = f"{self.path}/_buckets"
+        if folders.exists(self.spark, note):
+            known = int(folders.read(self.spark, note))
+            if asked not in (None, known):
+                raise IndexMismatch(f"{self.path} has {known} buckets, not {asked}")
+            return known
+        if folders.exists(self.spark, self.path):
+            raise IndexMismatch(f"{self.path} is there, but how many buckets it has {note} does not tell")
+        new = asked or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        folders.overwrite(self.spark, note, str(new).encode())
+        return new
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -69,15 +93,19 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def members(index: DataFrame, seen: DataFrame) -> DataFrame:
+def classes(index: DigestIndex, seen: DataFrame) -> DataFrame:
+    """(digest, keep_id, group_size) of the texts of ``seen``; the index is read by its buckets."""
+    sizes = seen.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    return index.rows().hint("merge").join(sizes, "digest")
+
+
+def members(judged: DataFrame, seen: DataFrame) -> DataFrame:
     """Each row of ``seen`` with the row that stays for its text and the number of equal texts.
 
     A digest may hold a third of all rows: counts combine before their shuffle, and the join runs
     between two stored tables, where adaptive execution splits a hot digest over many tasks.
     """
-    sizes = seen.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    classes = kept(index.join(sizes, "digest"), "classes")
-    return seen.hint("merge").join(classes, "digest").select(
+    return seen.hint("merge").join(judged, "digest").select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -97,8 +125,9 @@ def dedup(docs: DataFrame, batches: Sequence | None = None, path: str | None = N
     seen = kept(digests(docs), "digests")
     for part in batches or [F.lit(True)]:
         index.append(seen.where(part))
+    judged = kept(classes(index, seen), "classes")
     index.drop()  # the name; the files stay
-    return members(spark.read.schema(SCHEMA).parquet(index.path), seen)
+    return members(judged, seen)
 
 
 def halves(docs: DataFrame) -> list:
@@ -114,10 +143,9 @@ def halves(docs: DataFrame) -> list:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; one row where id and text repeat."""
     stay = dedup(docs, halves(docs)).where("kept").select(
-        F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.unhex("text_sha256").alias("_digest")
-    )
-    marked = docs.withColumns(
-        {"_id": F.coalesce("doc_id", F.lit(-1)), "_digest": digest(F.col("text"))}
+        F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("digest")
     )
-    keys = ["_id", "_digest"]
-    return marked.join(stay, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    (mine,) = free_names(docs, "digest")
+    marked = docs.withColumn(mine, digest(F.col("text")))
+    same = [marked["doc_id"].eqNullSafe(stay["id"]), marked[mine] == stay["digest"]]
+    return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", mine]).drop(mine)

@@ -76,6 +76,7 @@ SSN = Kind(
 KINDS = (EMAIL, IP, CARD, PHONE, IBAN, SSN)
 BASE = ("email", "ip", "card", "phone")
 CHECKSUM, CONTEXT = 0.4, 0.3
+RUN = 256
 
 
 def luhn(digits: Column) -> Column:
@@ -120,10 +121,20 @@ def _valid(kind: Kind, found: Column) -> Column:
 SPANS = "array<struct<kind:string,first:int,last:int,score:double>>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def kind_spans(text: Column, kind: Kind) -> Column:
-    """The spans of one kind in a text that is not null."""
+    """The spans of one kind in a text that is not null.
+
+    Matches are gone through in runs of ``RUN``, so the time grows with their number and no list is
+    copied for each of them.
+    """
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.ahead else 0))
-    state = "struct<at:int,out:" + SPANS + ">"
+    state = "struct<at:int,end:int,out:" + SPANS + ">"
+    none = F.array().cast(SPANS)
 
     def step(acc: Column, pair: Column) -> Column:
         piece, hit = pair["piece"], pair["hit"]
@@ -141,24 +152,31 @@ def kind_spans(text: Column, kind: Kind) -> Column:
         )
         stands = _valid(kind, hit) & (score >= THRESHOLD)
         if kind.ahead:  # not within the span before
-            stands &= first >= F.coalesce(F.try_element_at(acc["out"], F.lit(-1))["last"], F.lit(0))
-        add = F.when(stands, F.array(span)).otherwise(F.array().cast(SPANS))
+            stands &= first >= acc["end"]
         at = first + kind.ahead if kind.ahead else last
-        return F.struct(at.alias("at"), F.concat(acc["out"], add).alias("out"))
-
-    def pairs(pieces: Column, hits: Column) -> Column:
-        return F.transform(
-            hits,
-            lambda hit, i: F.struct(
-                F.element_at(pieces, i + 1).alias("piece"),
-                hit.alias("hit"),
-                F.when(i > 0, F.element_at(hits, i)).alias("before"),
-            ),
+        return F.when(stands, F.struct(at.alias("at"), last.alias("end"), F.concat(acc["out"], F.array(span)).alias("out"))).otherwise(
+            F.struct(at.alias("at"), acc["end"].alias("end"), acc["out"].alias("out"))
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")).cast(state)
-    spans = F.aggregate(pairs(F.split(text, kind.pattern, -1), found), start, step)["out"]
-    none = F.array().cast(SPANS)
+    def run(pairs: Column, acc: Column, number: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), acc["end"].alias("end"), none.alias("out")).cast(state)
+        done = F.aggregate(F.slice(pairs, number * RUN + 1, F.lit(RUN)), start, step)
+        return bound(done, lambda r: F.struct(r["at"].alias("at"), r["end"].alias("end"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    def gathered(pairs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("end"), none.alias("out")).cast(state)
+        runs = F.sequence(F.lit(0), F.floor(F.size(pairs) / RUN).cast("int"))
+        return F.aggregate(runs, start, lambda acc, number: run(pairs, acc, number))["out"]
+
+    def paired(hits: Column) -> Column:
+        """(piece before a match, match, match before): what follows the last match is left out."""
+        before = F.concat(F.array(F.lit(None).cast("string")), hits)
+        zipped = F.arrays_zip(F.split(text, kind.pattern, -1), hits, before).cast(
+            "array<struct<piece:string,hit:string,before:string>>"
+        )
+        return F.slice(zipped, 1, F.size(hits))
+
+    spans = bound(bound(found, paired), gathered)
     gate = F.contains(text, F.lit(kind.gate)) if kind.gate else F.lit(True)
     return F.when(gate & text.rlike(kind.pattern), spans).otherwise(none)
 
