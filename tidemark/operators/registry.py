@@ -1,7 +1,8 @@
 """The registry of discovered flat columns: (source, key, sub_field) -> column name.
 
 The registry is append-only; the newest row of a triple counts.  A name, once
-given, stays: later runs only move the dates and counts.
+given, stays: later runs only move the dates and counts.  Counts are kept per day and
+summed per month, so a run that replaces days sums their months again and no others.
 
 Every registry row is a column of the flat table, so the registry is as small as a
 table is wide.  That is the bound on what ``columns`` brings to the driver, where
@@ -143,12 +144,48 @@ def _with_names(seen: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def seen(found: DataFrame) -> DataFrame:
-    return found.groupBy(*TRIPLE).agg(
+    return seen_by(found)
+
+
+def months(counts: DataFrame) -> DataFrame:
+    """Counts per day summed by month: first and last day, and count, of each triple."""
+    month = F.trunc("_dt", "month").alias("month")
+    return seen_by(counts.withColumn("month", month), "month").withColumnRenamed("month", "_dt")
+
+
+def seen_by(counts: DataFrame, *by: str) -> DataFrame:
+    return counts.groupBy(*by, *TRIPLE).agg(
         F.min("_dt").alias("first_seen"), F.max("_dt").alias("last_seen"),
         F.sum("n").alias("n_seen"),
     )
 
 
+def seen_months(partial: DataFrame) -> DataFrame:
+    """Days and counts of each triple from the sums of its months."""
+    return partial.groupBy(*TRIPLE).agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.sum("n_seen").alias("n_seen"),
+    )
+
+
+def with_counts(names: DataFrame, found: DataFrame) -> DataFrame:
+    """The named triples with the days and counts of ``found``.
+
+    A triple that no stored day holds any more keeps its name and days, with a count of 0.
+    """
+    now = found.select(
+        *TRIPLE, F.col("first_seen").alias("first"), F.col("last_seen").alias("last"),
+        F.col("n_seen").alias("n"),
+    )
+    return names.join(now, TRIPLE, "left").select(
+        *TRIPLE, "column_name", "column_type",
+        F.coalesce("first", "first_seen").alias("first_seen"),
+        F.coalesce("last", "last_seen").alias("last_seen"),
+        F.coalesce("n", F.lit(0)).alias("n_seen"),
+        "updated_at",
+    )
+
+
 _ROW = [*TRIPLE, "column_name", "column_type", "first_seen", "last_seen", "n_seen"]
 
 

@@ -12,7 +12,7 @@ from tidemark.operators.marts import MARTS
 from tidemark.operators.registry import DynamicColumn
 from tidemark.schema import tables
 from tidemark.schema.raw import STORED_RAW
-from tidemark.sources import partitions
+from tidemark.sources import merged, partitions
 
 
 @dataclass(frozen=True)
@@ -33,21 +33,33 @@ class App:
         rows = partitions.read_days(self.spark, self.path(table), "_dt date", first, last)
         return quality.day_counts(rows, name)
 
+    def names(self) -> DataFrame:
+        """The column of every triple ever found, with its counts as it got the name."""
+        return registry.latest(
+            merged.read(self.spark, self.path("flat_schema_registry"), tables.REGISTRY)
+        )
+
     def registry(self) -> DataFrame:
-        """All registry rows ever appended."""
-        path = self.path("flat_schema_registry")
-        return partitions.read_days(self.spark, path, tables.REGISTRY)
+        """The registry: names, and the days and counts of all months stored now."""
+        seen = registry.seen_months(self.key_months())
+        return registry.with_counts(self.names(), seen)
 
     def columns(self) -> list[DynamicColumn]:
-        return registry.columns(self.registry())
+        return registry.columns(self.names())
 
     def flat(self, first=None, last=None) -> DataFrame:
         """The flat table, as wide as the registry says."""
         schema = registry.flat_schema(self.columns())
         return partitions.read_days(self.spark, self.path("events_flat"), schema, first, last)
 
-    def key_counts(self) -> DataFrame:
-        return partitions.read_days(self.spark, self.path("key_counts"), tables.KEY_COUNTS)
+    def key_counts(self, first=None, last=None) -> DataFrame:
+        return partitions.read_days(
+            self.spark, self.path("key_counts"), tables.KEY_COUNTS, first, last
+        )
+
+    def key_months(self) -> DataFrame:
+        """The key counts summed by month (``_dt`` is its first day)."""
+        return partitions.read_days(self.spark, self.path("key_months"), tables.KEY_MONTHS)
 
     def mart(self, name: str, first=None, last=None) -> DataFrame:
         if name not in {m.name for m in MARTS}:
@@ -62,10 +74,10 @@ class App:
 
     def daily_log(self) -> DataFrame:
         """How each day of each daily run ended."""
-        return partitions.read_days(self.spark, self.path("daily_log"), tables.DAILY_LOG)
+        return merged.read(self.spark, self.path("daily_log"), tables.DAILY_LOG)
 
     def log(self) -> DataFrame:
-        return partitions.read_days(self.spark, self.path("ingestion_log"), tables.RUN_LOG)
+        return merged.read(self.spark, self.path("ingestion_log"), tables.RUN_LOG)
 
 
 _BUILT = "_built_at timestamp, _run_id string, _dt date"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from tidemark.operators.marts import EventNames
 from tidemark.plans import status
 from tidemark.plans.app import App
 from tidemark.schema.raw import SORT_KEY
-from tidemark.sources import partitions
+from tidemark.sources import merged, partitions
 
 
 @dataclass
@@ -32,28 +32,46 @@ def _days_with_rows(app: App, table: str, first: date, last: date, only) -> set[
     return found if only is None else found & set(only)
 
 
+def _last_day(month: date) -> date:
+    return (month.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+
+
+def months_of(app: App, found: set[date]) -> DataFrame:
+    """The key counts of the months of the given days, summed by month; no other is read."""
+    months = sorted({d.replace(day=1) for d in found})
+    counts = app.key_counts(months[0], _last_day(months[-1]))
+    return registry.months(counts.filter(F.trunc("_dt", "month").isin(months)))
+
+
 def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> list[str]:
     """Discover the keys of the given raw days and bring the registry up to date.
 
     The counts are kept per day and replaced like any other day, so that a re-run
-    adds nothing twice.  Returns the columns that are new to the flat table.
+    adds nothing twice; the sums of their months are replaced with them.  Names go first:
+    after a break in between, no triple that is counted lacks its column.  Returns the
+    columns that are new to the flat table.
     """
     counts = discover.discover_keys(raw).withColumn("_run_id", F.lit(run_id))
     partitions.replace_days(counts, app.path("key_counts"), found, rebalance=True)
-    # As small as the flat table is wide; held as a local table, it is not worked out
-    # again for every join below.
-    known = registry.latest(app.registry())
+    # As small as the flat table is wide, for each of a few months; held as local tables,
+    # they are not worked out again for every join below.
+    known = app.names()
     known = app.spark.createDataFrame(known.collect(), known.schema)
-    seen = registry.seen(app.key_counts())
-    seen = app.spark.createDataFrame(seen.collect(), seen.schema)
-    rows = registry.from_seen(known, seen)
+    partial = months_of(app, found)
+    partial = app.spark.createDataFrame(partial.collect(), partial.schema)
+    unnamed = registry.seen_months(partial).join(known, registry.TRIPLE, "left_anti")
+    rows = registry.from_seen(known, unnamed)
     rows = app.spark.createDataFrame(rows.collect(), rows.schema)
-    (
-        rows.withColumn("updated_at", F.current_timestamp())
-        .coalesce(1).write.mode("append").parquet(app.path("flat_schema_registry"))
+    new = [r["column_name"] for r in rows.orderBy(*registry.TRIPLE).select("column_name").collect()]
+    if new:
+        merged.append(
+            rows.withColumn("updated_at", F.current_timestamp()),
+            app.path("flat_schema_registry"), registry.latest,
+        )
+    partitions.replace_days(
+        partial, app.path("key_months"), {d.replace(day=1) for d in found}, rebalance=True
     )
-    before = {row["column_name"] for row in known.select("column_name").collect()}
-    return [column.name for column in app.columns() if column.name not in before]
+    return new
 
 
 def flatten_days(app: App, first, last, run_id: str) -> Flattened:

@@ -18,6 +18,7 @@ from tidemark.operators import quality
 from tidemark.plans import build, load, status
 from tidemark.plans.app import App
 from tidemark.schema import tables
+from tidemark.sources import merged
 
 STAGES = ("load", "checks", "flatten", "marts")
 
@@ -99,9 +100,7 @@ def _log(app: App, run_id: str, started: datetime, outcomes: dict[date, Outcome]
         (d, run_id, o.status, o.stage, o.message, "; ".join(o.warnings), started, finished)
         for d, o in sorted(outcomes.items())
     ]
-    app.spark.createDataFrame(rows, tables.DAILY_LOG).coalesce(1).write.mode("append").parquet(
-        app.path("daily_log")
-    )
+    merged.append(app.spark.createDataFrame(rows, tables.DAILY_LOG), app.path("daily_log"))
 
 
 def try_days(
@@ -130,8 +129,10 @@ def try_days(
     span = status.span(first, last)
     outcomes = {d: Outcome("success") for d in span}
     try:
-        good = settle("load", load.try_tables(app, final, intraday, first, last, run_id), span)
-        for d, text in load.warnings(app, run_id).items():
+        warned: dict[date, str] = {}
+        loaded = load.try_tables(app, final, intraday, first, last, run_id, warned)
+        good = settle("load", loaded, span)
+        for d, text in warned.items():
             if d in outcomes:
                 outcomes[d].warnings.append(text)
         if good:

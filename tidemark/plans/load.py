@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row
@@ -14,7 +14,7 @@ from tidemark.plans import status
 from tidemark.plans.app import App
 from tidemark.schema import tables
 from tidemark.schema.raw import RAW, SORT_KEY
-from tidemark.sources import broken, files, partitions, raw
+from tidemark.sources import broken, files, merged, partitions, raw
 
 
 def _now() -> datetime:
@@ -28,6 +28,7 @@ class _Run:
     run_id: str
     strategy: str
     started: datetime
+    warned: dict[date, str] = field(default_factory=dict)
 
 
 def _log_rows(run: _Run, days_done: DataFrame) -> DataFrame:
@@ -53,20 +54,21 @@ def _log_rows(run: _Run, days_done: DataFrame) -> DataFrame:
 
 def append_log(app: App, rows: DataFrame) -> None:
     """Append to the run log: a row per day, whatever the outcome."""
-    rows.coalesce(1).write.mode("append").parquet(app.path("ingestion_log"))
+    merged.append(rows, app.path("ingestion_log"))
 
 
 def _finish(app: App, run: _Run, first: date, last: date, days_done: DataFrame) -> dict[date, str]:
-    """Log every day of the range and report each one's status."""
+    """Log every day of the range and report each one's status; the log itself is not read."""
     whole = status.calendar(app.spark, first, last).join(days_done, "_dt", "left")
     rows = _log_rows(run, whole.withColumn("status", F.coalesce("status", F.lit("skipped"))))
-    append_log(app, rows.orderBy("event_date"))
-    mine = app.log().filter(
-        (F.col("run_id") == run.run_id)
-        & (F.col("started_at") == F.lit(run.started))
-        & F.col("event_date").between(F.lit(first), F.lit(last))
-    )
-    return {r.event_date: r.status for r in mine.select("event_date", "status").collect()}
+    rows = app.spark.createDataFrame(rows.orderBy("event_date").collect(), rows.schema)
+    append_log(app, rows)
+    told = rows.select("event_date", "status", "error_message").collect()  # one row a day
+    run.warned.update({
+        r["event_date"]: r["error_message"] for r in told
+        if r["status"] == "success" and r["error_message"]
+    })
+    return {r["event_date"]: r["status"] for r in told}
 
 
 def _run(app: App, run: _Run, job, first: date, last: date) -> dict[date, str]:
@@ -165,20 +167,16 @@ def load_tables(
     return status.raise_if_failed(try_tables(app, final, intraday, first, last, run_id))
 
 
-def warnings(app: App, run_id: str) -> dict[date, str]:
-    """What the log of a load warns of, on days that it calls a success."""
-    mine = app.log().filter((F.col("run_id") == run_id) & (F.col("strategy") == "tables"))
-    told = mine.filter("status = 'success' AND error_message != ''")
-    last = told.groupBy("event_date").agg(F.max_by("error_message", "started_at").alias("text"))
-    return {r["event_date"]: r["text"] for r in last.collect()}
-
-
 def try_tables(
-    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str
+    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str,
+    warned: dict[date, str] | None = None,
 ) -> dict[date, str]:
-    """As ``load_tables``, with failed days in the result instead of an error."""
+    """As ``load_tables``, with failed days in the result instead of an error.
+
+    ``warned`` takes up what the log warns of, on days that it calls a success.
+    """
     first, last = days.check_range(first, last)
-    run = _Run(run_id, "tables", _now())
+    run = _Run(run_id, "tables", _now(), {} if warned is None else warned)
 
     def source_name(flag: str) -> Column:
         kind = F.when(F.col(flag) == 1, "events_intraday_").otherwise("events_")

@@ -9,6 +9,11 @@ REGISTRY = (
 
 KEY_COUNTS = "source string, key string, sub_field string, n bigint, _run_id string, _dt date"
 
+KEY_MONTHS = (
+    "source string, key string, sub_field string, first_seen date, last_seen date, "
+    "n_seen bigint, _dt date"
+)
+
 RUN_LOG = (
     "event_date date, source_table string, is_intraday int, strategy string, "
     "source_row_count bigint, files_read bigint, bytes_read bigint, rows_inserted bigint, "

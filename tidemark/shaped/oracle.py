@@ -151,12 +151,12 @@ def _flat() -> str:
 _SUBS = ("string_value", "int_value", "float_value", "double_value")
 
 
-def _found() -> str:
+def _found(where: str = "TRUE") -> str:
     """Key discovery: one row per day, bag, key and sub-field with values."""
     parts = [
         f"""SELECT _dt, '{bag}' AS source, p.key AS key, '{sub}' AS sub_field,
                    count(p.value.{sub}) AS n
-            FROM (SELECT _dt, unnest({bag}) AS p FROM loaded)
+            FROM (SELECT _dt, unnest({bag}) AS p FROM loaded WHERE {where})
             GROUP BY ALL HAVING count(p.value.{sub}) > 0"""
         for bag in ("event_params", "user_properties") for sub in _SUBS
     ]
@@ -559,6 +559,13 @@ def oracle_sql() -> dict[str, str]:
                    'any' AS column_type, _dt AS first_seen, _dt AS last_seen, n AS n_seen
             FROM found
             QUALIFY row_number() OVER (PARTITION BY source, key, sub_field ORDER BY _dt DESC) = 1""",
+        "registry_merged": found + """
+            SELECT source, key, sub_field, concat_ws('/', source, key) AS column_name,
+                   'any' AS column_type, _dt AS first_seen, _dt AS last_seen, n AS n_seen
+            FROM found
+            QUALIFY row_number() OVER (PARTITION BY source, key, sub_field ORDER BY _dt DESC) = 1""",
+        "registry_replaced": _with(_found(f"_dt < DATE '2024-01-11' OR NOT ({events.LOST})"))
+        + _registry_rows(),
         "registry_upsert": found + f"""
             SELECT * FROM ({_registry_rows()}) WHERE last_seen > DATE '2024-01-20'""",
         "registry_rebuild": found + _registry_rows(),

@@ -20,8 +20,9 @@ from tidemark.operators import (
 from tidemark.operators.registry import DynamicColumn
 from tidemark.plans import build, daily, load, status, upkeep
 from tidemark.plans.app import App
+from tidemark.schema import tables
 from tidemark.shaped import events
-from tidemark.sources import broken, files, folders, partitions, raw
+from tidemark.sources import broken, files, folders, merged, partitions, raw
 
 # From this day on there are only intraday rows; before the other one only final rows.
 FINAL_UNTIL = date(2024, 1, 20)
@@ -571,6 +572,30 @@ def registry_latest(spark, sf_dir):
     return registry.latest(_daily_registry(spark, sf_dir)).drop("updated_at")
 
 
+@query
+def registry_merged(spark, sf_dir):
+    """Each day's findings appended by a run of its own, with merges in between."""
+    path = session.scratch_path(spark, "registry")
+    rows = session.stored(_daily_registry(spark, sf_dir), session.scratch_path(spark, "found"))
+    first, last = span(spark, sf_dir)
+    for day in status.span(first, last):
+        found = rows.where(F.col("first_seen") == F.lit(day))
+        merged.append(found, path, registry.latest, most=4)
+    return registry.latest(merged.read(spark, path, tables.REGISTRY)).drop("updated_at")
+
+
+@query
+def registry_replaced(spark, sf_dir):
+    """The registry's counts after all days, and after some of them again with fewer rows."""
+    app = _loaded_app(spark, sf_dir, "replaced")
+    first, last = span(spark, sf_dir)
+    build.flatten_days(app, first, last, "run-1")
+    fewer = [rows.filter(f"NOT ({events.LOST})") for rows in _sources(spark, sf_dir)]
+    load.load_tables(app, *fewer, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
+    build.flatten_days(app, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
+    return app.registry().drop("updated_at")
+
+
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discovered keys, kept as a table like the per-day counts of an app."""
     found = discover.discover_keys(events.loaded(spark, sf_dir))
