@@ -100,6 +100,20 @@ def test_shared_parts_without_links(spark, make_docs, monkeypatch):
     assert sum(pairs[2:]) < 2000, pairs
 
 
+def test_bits_bound_the_difference():
+    """The bits of two sets, of one band or of two, never differ in more places than the sets."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 500))
+        tokens = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        a = tokens[rng.random(len(tokens)) < 0.9]
+        b = tokens[rng.random(len(tokens)) < rng.choice([0.4, 0.9])]
+        if len(a) and len(b):
+            apart = jaccard.apart(jaccard.parity_bits(a), jaccard.parity_bits(b))
+            assert apart <= len(np.setxor1d(a, b)) and (apart - len(np.setxor1d(a, b))) % 2 == 0
+            assert jaccard.apart(jaccard.parity_bits(a), jaccard.parity_bits(a)) == 0
+
+
 def test_other_limits(make_docs):
     rows = list(enumerate(variants(9, 20, 6, 60, 4)))
     got = jaccard.similar_documents(make_docs(rows), 5, (80, 100)).collect()

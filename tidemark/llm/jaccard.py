@@ -1,8 +1,8 @@
 """N-gram Jaccard join by parity sketches.
 
 A document is its set of distinct word shingles, each a 64-bit hash. Hashes are dealt by value
-over the parts of a size band's partition, and XOR-ed into the part's 64 bits; 256 further bits
-hold the parity of the tokens dealt to each. Each differing token changes one part at most and
+over the parts of a size band's partition, and XOR-ed into the part's 64 bits; further bits, as
+many as the size asks for, hold the parity of the tokens dealt to each. Each differing token changes one part at most and
 flips one parity bit at most, so the number of differing parts and the bits' Hamming distance are
 lower bounds of the symmetric difference, which for linked sets is at most (1 - t) / (1 + t) of the
 sizes' sum.
@@ -13,7 +13,8 @@ remains of it and of any linked one still has an equal part. Bands hold sizes [2
 document near a band's end is dealt by the next band's partition too.
 
 Documents of one part are compared in stars around the least of them (already within a task, so a
-part that a third of all rows share sends one row a task on), and verified on whole sets. Links
+part that a third of all rows share sends one row a task on), first by sizes and parity bits, and
+verified on whole sets. Links
 alone are not enough there, since similarity is not transitive: parts whose documents then lie in
 different components are open, and each such document is compared with one drawn from the part by
 hash. A part has few tokens, so documents that merely share passages have equal parts too; what is
@@ -305,7 +306,10 @@ def fine_keys(h: np.ndarray, n: np.ndarray, similar: tuple[int, int] = SIMILAR)
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
-    """(node, set, w0..w3): the sorted hashes of the chosen classes and their 256 parity bits."""
+    """(node, n, set, bits, w0..w3): the sorted hashes of the chosen classes and their parity bits.
+
+    ``bits`` are as many as the size band asks for, w0..w3 are 256.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -318,13 +322,52 @@ def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
                 sets = [h[ends[k] : ends[k + 1]] for k in mine]
                 odd = [np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1 for s in sets]
                 bits = np.packbits(np.array(odd, np.uint8).reshape(-1, 256), axis=1).view("<i8")
+                whole_bits = pa.array([parity_bits(s) for s in sets], pa.binary())
                 yield pa.record_batch(
-                    [pa.array(nodes[mine]), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]],
-                    ["node", "set", *WORDS],
+                    [pa.array(nodes[mine]), pa.array(n[mine].astype(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary()), whole_bits, *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]],
+                    ["node", "n", "set", "bits", *WORDS],
                 )
 
     texts = docs.hint("merge").join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node", "text").distinct()
-    return texts.select("node", "text").mapInArrow(run, "node long, set binary, " + ", ".join(f"{w} long" for w in WORDS))
+    return texts.select("node", "text").mapInArrow(run, "node long, n long, set binary, bits binary, " + ", ".join(f"{w} long" for w in WORDS))
+
+
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """The parity of the tokens dealt to each of two to four bits a token."""
+    bits = 1 << max(6, len(tokens).bit_length() + 1)
+    place = ((tokens >> np.uint64(16)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """In how many bits two sketches differ; the longer one is folded, as parities add up."""
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    n, m = 8 * len(x), 8 * len(y)
+    while n > m:
+        n //= 2
+        a = (a >> n) ^ (a & ((1 << n) - 1))
+    while m > n:
+        m //= 2
+        b = (b >> m) ^ (b & ((1 << m) - 1))
+    return (a ^ b).bit_count()
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """The pairs (a, b) that sizes and parity bits don't rule out; no whole set is moved."""
+    num, den = similar
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("n", "m", "x", "y"))
+            keep = [
+                den * min(p, q) >= num * max(p, q) and apart(v, w) <= (den - num) * (p + q) // (den + num)
+                for p, q, v, w in zip(n, m, x, y)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = sets.select(F.col("node").alias("a"), "n", F.col("bits").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -397,7 +440,7 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     chosen = classes.join(nodes, F.col("a") == F.col("node")).select("node", "rep").distinct()
     sets = kept(_sets(texts, kept(chosen, "chosen"), size), "sets")
-    found = kept(verified(links, sets, similar), "links")
+    found = kept(verified(kept(plausible(links, sets, similar), "plausible"), sets, similar), "links")
     labels = kept(components(found), "labels")
     members = _open_members(sets, labels, buckets, similar)
     fine = None
@@ -410,7 +453,7 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
             if fine.isEmpty():
                 break
         candidates = kept(more(members if fine is None else fine, similar), "more-candidates")
-        new = kept(verified(candidates, sets, similar), "more-links")
+        new = kept(verified(kept(plausible(candidates, sets, similar), "plausible"), sets, similar), "more-links")
         if not new.isEmpty():
             found = found.unionByName(new)
             ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
