@@ -81,7 +81,7 @@ def compare(got, want, columns):
     assert rows == want
 
 
-@pytest.mark.parametrize("hot", [recurring.HOT, 1])
+@pytest.mark.parametrize("hot", [recurring.HOT_BYTES, 1000])
 def test_suffix_dedup(make_docs, hot):
     rows = corpus(1)
     docs = make_docs(rows).withColumn("sha", F.lit("x")).withColumn("class", F.lit(1)).withColumn("rep", F.lit(1))
@@ -89,13 +89,43 @@ def test_suffix_dedup(make_docs, hot):
     compare(got, plain_bytes(rows), ["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-@pytest.mark.parametrize("hot", [recurring.HOT, 1])
+@pytest.mark.parametrize("hot", [recurring.HOT_BYTES, 1000])
 def test_phrases(make_docs, hot):
     rows = corpus(2)
     docs = make_docs(rows).withColumn("sha", F.lit("x")).withColumn("n", F.lit(1)).withColumn("anchor", F.lit(1))
     compare(phrases.removal(docs, hot), plain_words(rows), ["n_words", "n_removed", "kept_sha256"])
 
 
+def log_like(seed, lines):
+    """One text of lines that have much in common, some of them again."""
+    rng = random.Random(seed)
+    common = " ".join(f"field{k}=value{k}" for k in range(40))
+    return "\n".join(f"{rng.randrange(lines // 2)} {common} user{rng.randrange(lines)} took {k % 7} ms" for k in range(lines))
+
+
+@pytest.mark.parametrize("module,plain,columns", [
+    (suffix_dedup, plain_bytes, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]),
+    (phrases, plain_words, ["n_words", "n_removed", "kept_sha256"]),
+])
+def test_kernels_get_bounded_bytes(make_docs, module, plain, columns, monkeypatch, tmp_path):
+    """A large log and very many texts that share a line: no kernel gets more than a chunk and an anchor."""
+    line = " ".join(f"shared{k}" for k in range(60))
+    rows = [(0, log_like(1, 1200)), (1, log_like(2, 300))] + [(i, f"a{i} {line} z{i}") for i in range(2, 1500)]
+    chunk, hot, kernel = 1 << 16, 1 << 15, module.kernel
+    note = str(tmp_path / "sizes")
+
+    def measured(table):
+        with open(note, "a") as file:
+            file.write(f"{table['data'].combine_chunks().nbytes} ")
+        return kernel(table)
+
+    monkeypatch.setattr(module, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(module, "kernel", measured)
+    compare(module.removal(make_docs(rows), hot), plain(rows), columns)
+    sizes = [int(x) for x in open(note).read().split()]
+    assert sizes and max(sizes) <= 2 * (chunk + hot)
+
+
 def test_texts_that_stay(make_docs):
     rows = [(1, "x" * 150 + "y" * 150), (2, "z" + "x" * 150 + "y" * 150), (3, "short")]
     got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.without_repeats(make_docs(rows)).collect()}

@@ -141,12 +141,12 @@ def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame,
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     earlier = F.coalesce(F.col("reps") < F.col("rep"), F.col("rep").isNull() & F.col("reps").isNotNull())
     found = recurring.judged(
-        cut, shared, kernel, lambda data: canonical(pa.array(data, pa.binary()))[2], WIDTH, earlier, hot, CHUNK_BYTES
+        cut, kernel, lambda data: canonical(pa.array(data, pa.binary()))[2], WIDTH, earlier, hot, CHUNK_BYTES
     )
     return marked, classes, texts, found
 
 
-def removal(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
+def removal(docs: DataFrame, hot: int = recurring.HOT_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
     marked, classes, texts, found = _found(docs, hot)
     done = kept(recurring.with_runs(texts, found, digest, "n_removed long, kept_sha256 string"), "removed")
@@ -161,7 +161,7 @@ def removal(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = recurring.HOT_BYTES) -> DataFrame:
     """(doc_id, kept): the words of each document that stay, joined by one space where any went."""
     marked, classes, texts, found = _found(docs, hot)
     done = recurring.with_runs(texts, found, finish, "n_removed long, kept binary").select("sha", F.col("kept").cast("string").alias("kept"))

@@ -7,8 +7,10 @@ again in its own, if that counts) can hold a recurring window; they alone travel
 that owns its anchor, and equal windows always meet there.
 
 Texts that are equal as a whole are one class, represented by the row with the least id: a large
-group of copies is one text from the start. An anchor in more than ``HOT`` texts is not gathered:
-its windows are compared by 128-bit hashes in an aggregation that combines before its shuffle.
+group of copies is one text from the start. An anchor whose segments, over all texts and within one,
+are more than ``HOT_BYTES`` is not gathered: its windows are compared by 128-bit hashes in an
+aggregation that combines before its shuffle. What a task holds at a time is bounded by that and by
+the size of a chunk.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from tidemark.llm.bpe import slices
 from tidemark.llm.tables import kept
 from tidemark.llm.words import BASE, mixed, prefix_hash, slice_hash
 
-HOT = 4096
+HOT_BYTES = 2 << 20
 BATCH_BYTES = 1 << 20
 PLACE = np.uint64((1 << 32) - 1)  # the upper half of a hash ranks, the lower half tells where
 SEGMENT = "anchor long, sha binary, rep long, times int, starts binary, data binary"
@@ -81,7 +83,7 @@ def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_anchors(docs: DataFrame, units: Callable, width: int, grain: int, within: bool) -> DataFrame:
-    """(anchor, n): the anchors of more than one class of texts, or that one text has again."""
+    """(anchor): the anchors of more than one class of texts, or that one text has again."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(rows):
@@ -100,10 +102,10 @@ def shared_anchors(docs: DataFrame, units: Callable, width: int, grain: int, wit
 
     rows = docs.select("text", "class").mapInArrow(run, "anchor long, owner long, times long")
     found = rows.groupBy("anchor").agg(
-        F.min("owner").alias("low"), F.max("owner").alias("high"), F.max("times").alias("times"), F.count(F.lit(1)).alias("n")
+        F.min("owner").alias("low"), F.max("owner").alias("high"), F.max("times").alias("times")
     )
     several = (F.col("low") < F.col("high")) | (F.lit(within) & (F.col("times") > 1))
-    return kept(found.where(several).select("anchor", "n"), "shared-anchors")
+    return kept(found.where(several).select("anchor"), "shared-anchors")
 
 
 def candidate_texts(docs: DataFrame, classes: DataFrame, shared: DataFrame, units: Callable, width: int, grain: int) -> DataFrame:
@@ -117,7 +119,7 @@ def candidate_texts(docs: DataFrame, classes: DataFrame, shared: DataFrame, unit
             yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], ["anchor", "class"])
 
     has = docs.select("text", "class").mapInArrow(run, "anchor long, class long")
-    of_class = has.join(shared.select("anchor"), "anchor").groupBy("class").agg(F.collect_set("anchor").alias("anchors"))
+    of_class = has.join(shared, "anchor").groupBy("class").agg(F.collect_set("anchor").alias("anchors"))
     wanted = classes.select("sha", "rep", "class").join(of_class, "class").drop("class")
     whole = docs.select("sha", "doc_id", "text").join(kept(wanted, "wanted"), "sha")
     mine = whole.where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("sha", "rep", "text", "anchors")
@@ -191,16 +193,19 @@ def found_rows(table: pa.Table, rows: np.ndarray, runs: list[np.ndarray]) -> pa.
     )
 
 
-def judged(cut: DataFrame, shared: DataFrame, kernel: Callable, hashed: Callable, width: int, recurs, hot: int, chunk: int) -> DataFrame:
+def judged(cut: DataFrame, kernel: Callable, hashed: Callable, width: int, recurs, hot: int, chunk: int) -> DataFrame:
     """(sha, starts, runs): what ``kernel`` finds anchor by anchor, and hot anchors by window hashes.
 
-    ``chunk``: the bytes of segments that ``kernel`` gets at a time, which bound its memory (an
-    anchor that is not hot has ``hot`` segments at most).  ``recurs``: whether a window recurs, from its own ``rep`` and ``times`` and from ``reps``
-    (the least ``rep`` with it) and ``all`` (how often it stands).
+    ``kernel`` gets the segments of whole anchors, ``chunk`` bytes and one anchor at most, which
+    bounds its memory: an anchor that is not hot has ``hot`` bytes at most, however many of them
+    stand in one text.  ``recurs``: whether a window recurs, from its own ``rep`` and ``times`` and
+    from ``reps`` (the least ``rep`` with it) and ``all`` (how often it stands).
     """
-    marked = cut.join(shared.where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot")), "anchor", "left")
-    parted = kept(marked, "segments")
-    cold = parted.where("hot is null").drop("hot")
+    parted = kept(cut.withColumn("size", F.octet_length("data").cast("long")), "segments")
+    sizes = parted.groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") > hot)
+    hot_anchors = kept(sizes.select("anchor"), "hot-anchors")
+    parted = parted.drop("size")
+    cold = parted.join(hot_anchors, "anchor", "left_anti")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in in_chunks(rows, chunk):
@@ -223,7 +228,7 @@ def judged(cut: DataFrame, shared: DataFrame, kernel: Callable, hashed: Callable
                 yield pa.record_batch([*kinds, *columns], ["a", "b", "at", "sha", "starts", "rep", "times"])
 
     wide = kept(
-        parted.where("hot").drop("hot").mapInArrow(windows, "a long, b long, at int, sha binary, starts binary, rep long, times int"), "hot-windows"
+        parted.join(hot_anchors, "anchor", "left_semi").mapInArrow(windows, "a long, b long, at int, sha binary, starts binary, rep long, times int"), "hot-windows"
     )
     least = kept(wide.groupBy("a", "b").agg(F.min("rep").alias("reps"), F.sum("times").alias("all")), "hot-counts")
     hits = wide.join(least, ["a", "b"]).where(recurs).groupBy("sha", "starts").agg(F.sort_array(F.collect_list("at")).alias("at"))

@@ -164,12 +164,12 @@ def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame,
     texts = recurring.candidate_texts(marked, classes, shared, units, WIDTH, GRAIN)
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     found = recurring.judged(
-        cut, shared, kernel, lambda data: units_of(pa.array(data, pa.binary())), WIDTH, F.col("all") > 1, hot, CHUNK_BYTES
+        cut, kernel, lambda data: units_of(pa.array(data, pa.binary())), WIDTH, F.col("all") > 1, hot, CHUNK_BYTES
     )
     return marked, classes, texts, found
 
 
-def removal(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
+def removal(docs: DataFrame, hot: int = recurring.HOT_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     marked, classes, texts, found = _found(docs, hot)
     done = kept(recurring.with_runs(texts, found, digest, "n_removed long, n_spans long, kept_sha256 string"), "removed")
@@ -185,7 +185,7 @@ def removal(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
     )
 
 
-def without_repeats(docs: DataFrame, hot: int = recurring.HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = recurring.HOT_BYTES) -> DataFrame:
     """(doc_id, kept): the bytes of each document that stay."""
     marked, classes, texts, found = _found(docs, hot)
     done = recurring.with_runs(texts, found, finish, "n_removed long, n_spans long, kept binary").select("sha", "kept")
