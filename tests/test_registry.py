@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from datetime import date
 
 import pytest
@@ -73,6 +74,42 @@ def test_names_equal_the_rule_applied_one_by_one(spark, seed):
     assert name(spark, list(triples), taken) == one_by_one(triples, taken)
 
 
+def test_numbers_fill_the_gaps(spark):
+    """Numbers go to the gaps between the taken ones, in order, past 1 and leading zeros."""
+    keys = ["a" + sign for sign in ",;:!?/()[]{}"]
+    triples = {(EP, key, "int_value") for key in keys}
+    taken = ["a__int", "ep_a__int2", "EP_A__INT4", "ep_a__int5", "ep_a__int1", "ep_a__int07", "ep_a__int11", "ep_a__int99"]
+    assert name(spark, list(triples), taken) == one_by_one(triples, taken)
+
+
+def test_many_clashing_keys(spark):
+    """Thousands of keys that clean up to one name, in a few rounds."""
+    signs = "!?.,;:/()[]{}<>|^~+*=%&$#@"
+    rng = random.Random(4)
+    keys = set()
+    while len(keys) < 5000:
+        keys.add("".join(["n", *rng.choices(signs, k=3), rng.choice("AaBb")]))
+    triples = [(EP, key, "int_value") for key in sorted(keys)]
+    name(spark, triples[:10])
+    started = time.time()
+    got = name(spark, triples, ["ep_n____a_int7", "n____b_int"])
+    assert time.time() - started < 10
+    want, used = {}, {"ep_n____a_int7", "n____b_int"}
+    counters = {}
+    for source, key, sub in triples:
+        plain = re.sub("[^0-9A-Za-z_]", "_", key) + "_int"
+        low, number = plain.lower(), counters.get(plain.lower(), 2)
+        options = [plain, f"ep_{plain}"]
+        chosen = next((o for o in options if o.lower() not in used), None)
+        while chosen is None:
+            chosen = f"ep_{plain}{number}" if f"ep_{low}{number}" not in used else None
+            number += 1
+        counters[low] = number
+        used.add(chosen.lower())
+        want[source, key, sub] = chosen
+    assert got == want
+
+
 FOUND = "source string, key string, sub_field string, _dt date, n bigint"
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 

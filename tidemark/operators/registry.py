@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import session
 from tidemark.schema.flat import BASE, METADATA, SOURCES, SUB_FIELDS, reserved_names
 
 TRIPLE = ["source", "key", "sub_field"]
@@ -44,42 +45,32 @@ def stem(source: Column, key: Column) -> Column:
     return F.when(is_user_id, F.lit("up_user_id")).otherwise(clean)
 
 
-def _family(name: Column) -> Column:
-    """What a name has in common with every name it could clash with.
-
-    A clash adds an ``ep_``/``up_`` prefix or a trailing number, so two names can
-    only meet when they are equal without these.
-    """
-    return F.regexp_replace(
-        F.regexp_replace(F.lower(name), "^((ep|up)_)+", ""), "[0-9]+$", ""
-    )
+_NUMBERED = "^(.*[^0-9])([1-9][0-9]{0,8})$"
 
 
-def _give_name(done: Column, row: Column) -> Column:
-    """Fold step: name one row given the names taken so far in its family."""
-    taken = done["taken"]
+def _ranked(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """Numbered names: of the rows (prefixed, at) that share a prefixed name, in order, the k-th
+    gets the k-th number from 2 up that no taken name has.
 
-    def free(name: Column) -> Column:
-        return ~F.array_contains(taken, F.lower(name))
-
-    # Of as many numbers as there are taken names, plus one, at least one is free.
-    numbered = F.transform(
-        F.sequence(F.lit(2), F.size(taken) + 2),
-        lambda n: F.concat(row["prefixed"], n.cast("string")),
-    )
-    name = (
-        F.when(free(row["plain"]), row["plain"])
-        .when(free(row["prefixed"]), row["prefixed"])
-        .otherwise(F.get(F.filter(numbered, free), F.lit(0)))
-    )
-    named = F.struct(
-        row["source"].alias("source"), row["key"].alias("key"),
-        row["sub_field"].alias("sub_field"), name.alias("column_name"),
-    )
-    return F.struct(
-        F.array_append(taken, F.lower(name)).alias("taken"),
-        F.array_append(done["named"], named).alias("named"),
+    The i-th taken number t of a name has t - i - 1 free ones before it; so the k-th row's number
+    is k + 1 plus the taken numbers with fewer than k free ones before them.
+    """
+    stem, number = F.regexp_extract("name", _NUMBERED, 1), F.regexp_extract("name", _NUMBERED, 2)
+    numbers = taken.filter(F.col("name").rlike(_NUMBERED)).select(
+        stem.alias("stem"), number.cast("bigint").alias("number")
+    ).filter("number >= 2")
+    i = F.row_number().over(Window.partitionBy("stem").orderBy("number"))
+    gaps = numbers.select("stem", (F.col("number") - i - 1).alias("value"), F.lit(1).alias("is_taken"))
+    mine = rows.withColumn("stem", F.lower("prefixed"))
+    k = F.row_number().over(Window.partitionBy("stem").orderBy("at"))
+    mine = mine.withColumns({"value": k.cast("bigint"), "is_taken": F.lit(0)})
+    both = mine.unionByName(gaps, allowMissingColumns=True)
+    before = Window.partitionBy("stem").orderBy("value", "is_taken").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    passed = F.sum("is_taken").over(before)
+    named = both.withColumn("number", F.col("value") + 1 + passed).filter("is_taken = 0")
+    return named.select(*TRIPLE, F.concat("prefixed", F.col("number").cast("string")).alias("column_name"))
 
 
 def name_columns(new: DataFrame, taken: DataFrame) -> DataFrame:
@@ -91,42 +82,46 @@ def name_columns(new: DataFrame, taken: DataFrame) -> DataFrame:
     Names are given in a fixed order -- event_params first, then by key, then by
     sub-field -- and compared without case, as Spark resolves columns.
 
-    Only names of one family can meet, so each family is settled by itself, in order.
+    All rows claim at once, a name goes to the first of its claimants in that order, and those
+    who lose go on to their next name, until nobody loses: as every name prefers the same order,
+    that is what giving names one by one comes to.  A round per nesting of prefixes is enough.
+    Plain and prefixed names never end in a digit, so numbers are given at last, by ranks.
     """
     source, key = F.col("source"), F.col("key")
     suffixes = {sub: suffix for sub, (suffix, _) in SUB_FIELDS.items()}
     positions = {sub: str(i) for i, sub in enumerate(SUB_FIELDS)}
-    candidates = (
-        new.select(*TRIPLE)
-        .withColumn("plain", F.concat(
-            stem(source, key), F.lit("_"), _literal_map(suffixes, F.col("sub_field"))))
-        .withColumn("prefixed", F.concat(
-            _literal_map(SOURCES, source), F.lit("_"), F.col("plain")))
-        .withColumn("family", _family(F.col("plain")))
-        .groupBy("family")
-        .agg(F.sort_array(F.collect_list(F.struct(
-            "source", "key", _literal_map(positions, F.col("sub_field")).alias("position"),
-            "sub_field", "plain", "prefixed",
-        ))).alias("rows"))
-    )
     fixed = F.explode(F.array(*[F.lit(name) for name in reserved_names()]))
     used = (
         taken.select("column_name")
         .unionByName(new.sparkSession.range(1).select(fixed.alias("column_name")))
-        .groupBy(_family(F.col("column_name")).alias("family"))
-        .agg(F.collect_set(F.lower("column_name")).alias("names"))
+        .select(F.lower("column_name").alias("name")).distinct()
     )
-    start = F.struct(
-        F.coalesce("names", F.array().cast("array<string>")).alias("taken"),
-        F.array().cast(
-            "array<struct<source:string,key:string,sub_field:string,column_name:string>>"
-        ).alias("named"),
-    )
-    return (
-        candidates.join(used, "family", "left")
-        .select(F.explode(F.aggregate("rows", start, _give_name)["named"]).alias("r"))
-        .select("r.*")
+    rows = (
+        new.select(*TRIPLE)
+        .withColumn("plain", F.concat(
+            stem(source, key), F.lit("_"), _literal_map(suffixes, F.col("sub_field"))))
+        .withColumn("prefixed", F.concat(
+            _literal_map(SOURCES, source), F.lit("_"), F.col("plain")))
+        .withColumn("at", F.struct("source", "key", _literal_map(positions, F.col("sub_field"))))
+        .withColumns({"level": F.lit(0), "lost": F.lit(True)})
     )
+    spark = new.sparkSession
+    while True:
+        claiming = rows.filter("level < 2").withColumn(
+            "name", F.lower(F.when(F.col("level") == 0, F.col("plain")).otherwise(F.col("prefixed")))
+        )
+        first = F.min("at").over(Window.partitionBy("name"))
+        told = claiming.join(used.withColumn("used", F.lit(True)), "name", "left").withColumn(
+            "lost", F.col("used").isNotNull() | (F.col("at") != first)
+        ).drop("used", "name")
+        told = told.withColumn("level", F.col("level") + F.col("lost").cast("int"))
+        settled = rows.filter("level = 2").withColumn("lost", F.lit(False))
+        rows = session.stored(told.unionByName(settled), session.scratch_path(spark, "names"))
+        if rows.filter("lost").isEmpty():
+            break
+    given = F.when(F.col("level") == 0, F.col("plain")).otherwise(F.col("prefixed"))
+    whole = rows.filter("level < 2").select(*TRIPLE, given.alias("column_name"))
+    return whole.unionByName(_ranked(rows.filter("level = 2").select(*TRIPLE, "prefixed", "at"), used))
 
 
 def _with_names(seen: DataFrame, known: DataFrame) -> DataFrame:

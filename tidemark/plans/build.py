@@ -60,10 +60,12 @@ def sync_registry(app: App, raw: DataFrame, found: set[date], run_id: str) -> li
     partial = months_of(app, found)
     partial = app.spark.createDataFrame(partial.collect(), partial.schema)
     unnamed = registry.seen_months(partial).join(known, registry.TRIPLE, "left_anti")
-    rows = registry.from_seen(known, unnamed)
-    rows = app.spark.createDataFrame(rows.collect(), rows.schema)
-    new = [r["column_name"] for r in rows.orderBy(*registry.TRIPLE).select("column_name").collect()]
-    if new:
+    found_now, new = unnamed.collect(), []
+    if found_now:
+        unnamed = app.spark.createDataFrame(found_now, unnamed.schema)
+        rows = registry.from_seen(known, unnamed).orderBy(*registry.TRIPLE)
+        rows = app.spark.createDataFrame(rows.collect(), rows.schema)
+        new = [r["column_name"] for r in rows.select("column_name").collect()]
         merged.append(
             rows.withColumn("updated_at", F.current_timestamp()),
             app.path("flat_schema_registry"), registry.latest,
