@@ -5,8 +5,11 @@ A verdict is ``ok``, ``warn`` or ``fail``, one row per day, for any number of da
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import params
 
@@ -65,6 +68,44 @@ def day_counts(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy("_dt").agg(F.count("*").alias(name))
 
 
+def fingerprints(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows per day and a fingerprint of their values, whatever the order of rows: _dt, rows, print.
+
+    Two 64-bit hashes of each row are summed up, exactly and before the shuffle, so equal rows
+    count as often as they stand.  Nested values are hashed as JSON, which tells a NULL part from
+    an empty one and from its neighbours.
+    """
+    names = [c for c in (columns or df.columns) if c != "_dt"]
+    plain = [F.col(c) for c in names if not isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType))]
+    nested = [F.to_json(F.struct(c)) for c in names if isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType))]
+    absent = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in names])
+    values = [absent, *plain, *nested]
+
+    def total(hashed: Column) -> Column:
+        return F.sum(hashed.cast("decimal(20,0)")).cast("string")
+
+    return df.groupBy("_dt").agg(
+        F.count("*").alias("rows"),
+        F.concat_ws("/", total(F.xxhash64(*values)), total(F.xxhash64(F.lit("b"), *values))).alias("print"),
+    )
+
+
+def reconcile_content(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Fingerprints of two tables day by day: _dt, left_rows, right_rows, verdict.
+
+    ``fail`` where a day has other rows on the two sides, be they as many, or is on one only.
+    """
+    here = left.select("_dt", F.col("rows").alias("left_rows"), F.col("print").alias("left_print"))
+    there = right.select("_dt", F.col("rows").alias("right_rows"), F.col("print").alias("right_print"))
+    both = here.join(there, "_dt", "full_outer")
+    differs = ~F.col("left_print").eqNullSafe(F.col("right_print")) | (F.col("left_rows") != F.col("right_rows"))
+    return both.select(
+        "_dt",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("left_rows", "right_rows")],
+        _verdict(differs, F.lit(False)).alias("verdict"),
+    )
+
+
 def _paired(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two per-day counts side by side, 0 where a day is on one side only."""
     both = left.join(right, "_dt", "full_outer")

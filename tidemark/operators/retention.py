@@ -26,6 +26,43 @@ def retention(user_daily: DataFrame) -> DataFrame:
     )
 
 
+def day_sets(user_daily: DataFrame) -> DataFrame:
+    """The days of each user by month (``_dt``): bit d - 1 of ``active`` and of ``fresh`` for day d."""
+    bit = F.expr("shiftleft(1, dayofmonth(_dt) - 1)")
+    return user_daily.groupBy("user_pseudo_id", F.trunc("_dt", "month").alias("month")).agg(
+        F.bit_or(bit).alias("active"),
+        F.bit_or(F.when(F.col("is_new") == 1, bit).otherwise(F.lit(0))).alias("fresh"),
+    ).withColumnRenamed("month", "_dt")
+
+
+def _days_of(month: Column, bits: Column) -> Column:
+    """The days whose bits are set."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda b: F.getbit(bits.cast("bigint"), b) == 1)
+    return F.transform(places, lambda b: F.date_add(month, b))
+
+
+def retention_of_sets(sets: DataFrame) -> DataFrame:
+    """As ``retention``, from the kept day sets; a user's months are a few numbers.
+
+    Nothing is joined: each user's days are read off its own bits.  Where the sets are dealt by
+    user, users are not shuffled either.
+    """
+    months = F.collect_list(F.struct("_dt", "active", "fresh"))
+    users = sets.groupBy("user_pseudo_id").agg(months.alias("months"))
+    days = {
+        kind: F.flatten(F.transform("months", lambda m: _days_of(m["_dt"], m[kind])))  # noqa: B023
+        for kind in ("active", "fresh")
+    }
+    pairs = users.select(days["active"].alias("days"), F.explode(days["fresh"]).alias("cohort_dt")).select(
+        "cohort_dt", F.explode("days").alias("day")
+    )
+    return (
+        pairs.filter("day >= cohort_dt")
+        .groupBy("cohort_dt", F.date_diff("day", "cohort_dt").alias("day_n"))
+        .agg(F.count("*").alias("retained_users"))
+    )
+
+
 def retention_percent(retained: DataFrame, days: tuple[int, ...] = (1, 7)) -> DataFrame:
     """Cohort size, and the share of it still active on the given days, in percent.
 

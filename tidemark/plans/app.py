@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import quality, registry
+from tidemark.operators import quality, registry, retention
 from tidemark.operators.marts import MARTS
 from tidemark.operators.registry import DynamicColumn
 from tidemark.schema import tables
 from tidemark.schema.raw import STORED_RAW
 from tidemark.sources import merged, partitions
+from tidemark.sources.buckets import BucketedDays
 
 
 @dataclass(frozen=True)
@@ -66,11 +67,13 @@ class App:
             raise ValueError(f"no mart named {name!r}")
         return partitions.read_days(self.spark, self.path(name), _MART_SCHEMAS[name], first, last)
 
-    def retention(self) -> DataFrame:
-        """The retention view, computed when read."""
-        from tidemark.operators.retention import retention
+    def user_days(self) -> BucketedDays:
+        """The days of each user as bits, by month and dealt by user."""
+        return BucketedDays(self.spark, self.path("user_days"), tables.USER_DAYS, "user_pseudo_id")
 
-        return retention(self.mart("mart_user_daily"))
+    def retention(self) -> DataFrame:
+        """The retention view, computed when read from the kept day sets."""
+        return retention.retention_of_sets(self.user_days().rows())
 
     def daily_log(self) -> DataFrame:
         """How each day of each daily run ended."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days
-from tidemark.operators import discover, flatten, marts, quality, registry
+from tidemark.operators import discover, flatten, marts, quality, registry, retention
 from tidemark.operators.marts import EventNames
 from tidemark.plans import status
 from tidemark.plans.app import App
@@ -111,6 +111,14 @@ def try_flatten(app: App, first, last, run_id: str, only=None) -> Flattened:
     return Flattened(outcomes, new_columns)
 
 
+def sync_user_days(app: App, found: set[date]) -> None:
+    """Bring the day sets of the months of the given days up to date with the per-user mart."""
+    months = {d.replace(day=1) for d in found}
+    users = app.mart("mart_user_daily", min(months), _last_day(max(months)))
+    sets = retention.day_sets(users.select("user_pseudo_id", "_dt", "is_new"))
+    app.user_days().replace(sets, months)
+
+
 def build_marts(
     app: App, first, last, run_id: str, names: EventNames = EventNames()
 ) -> dict[date, str]:
@@ -147,6 +155,7 @@ def try_marts(
         # leave no executor idle.
         with ThreadPoolExecutor(len(marts.MARTS)) as pool:
             list(pool.map(build_one, marts.MARTS))
+        sync_user_days(app, found)
         flat_counts = app.day_counts("events_flat", "flat_rows", a, b).filter(
             F.col("_dt").isin(sorted(found))
         )

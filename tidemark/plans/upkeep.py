@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -55,8 +56,8 @@ def compact_days(
 
     Rows are cut into ranges of the sort key, so a large day -- or an event name that
     makes up most of it -- is spread over as many tasks as its bytes ask for.  They are
-    written beside the table and counted; only then does each new day take the place of
-    the old one, which is deleted last.  Whatever breaks, one whole copy of a day stays:
+    written beside the table and held against the stored ones, by count and fingerprint;
+    only then does each new day take the place of the old one, which is deleted last.  Whatever breaks, one whole copy of a day stays:
     in place, or where ``recover`` finds it (which the next compaction calls).
     """
     first, last = days.check_range(first, last)
@@ -74,9 +75,9 @@ def compact_days(
     written = partitions.replace_days(
         rows.repartitionByRange(pieces, "_dt", *SORT_KEY), fresh, stored, SORT_KEY, rebalance=False
     )
-    old = quality.day_counts(partitions.read_days(app.spark, table, "_dt date", first, last), "old")
-    new = quality.day_counts(partitions.read_days(app.spark, fresh, "_dt date", first, last), "new")
-    wrong = old.join(new, "_dt", "full_outer").filter("NOT old <=> new").collect()
+    again = partitions.read_days(app.spark, fresh, rows.schema, first, last)
+    compared = quality.reconcile_content(quality.fingerprints(rows), quality.fingerprints(again))
+    wrong = compared.filter("verdict = 'fail'").collect()
     if wrong:  # one row per calendar day at most
         raise CountsDiffer(f"rewritten days differ, the stored ones stay: {wrong}")
     for day in sorted(written):
@@ -88,10 +89,11 @@ def compact_days(
     return written
 
 
-def compact_last_week(app: App, day: str | date) -> set[date]:
-    """Compact the seven days before a day."""
+def compact_last_week(app: App, day: str | date, names: Sequence[str] = ("events_raw", "events_flat")) -> set[date]:
+    """Compact the seven days before a day, of the raw and of the flat table."""
     day = days.check_day(day)
-    return compact_days(app, day - timedelta(days=7), day - timedelta(days=1))
+    done = [compact_days(app, day - timedelta(days=7), day - timedelta(days=1), name=name) for name in names]
+    return set().union(*done)
 
 
 def storage_total(app: App) -> DataFrame:

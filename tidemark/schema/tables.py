@@ -14,6 +14,8 @@ KEY_MONTHS = (
     "n_seen bigint, _dt date"
 )
 
+USER_DAYS = "user_pseudo_id string, active int, fresh int, _dt date"
+
 RUN_LOG = (
     "event_date date, source_table string, is_intraday int, strategy string, "
     "source_row_count bigint, files_read bigint, bytes_read bigint, rows_inserted bigint, "

@@ -604,4 +604,16 @@ def oracle_sql() -> dict[str, str]:
                        END) AS warnings
             FROM calendar LEFT JOIN m ON day = _dt""",
         "stored_retention": users + _RETENTION,
+        "retention_incremental": _with(
+            _flat(),
+            f"left_flat AS (SELECT * FROM flat WHERE _dt < DATE '2024-01-11' OR NOT ({events.LOST}))",
+            f"users AS ({_USER_DAILY.replace('FROM flat', 'FROM left_flat')})",
+        ) + _RETENTION,
+        "content_reconcile": raw + f"""
+            SELECT _dt, count(*) AS left_rows, count(*) FILTER (NOT ({events.LOST})) AS right_rows,
+                   CASE WHEN bool_or({events.LOST}
+                                     OR day(_dt) % 5 = 1 AND event_bundle_sequence_id % 7 = 0
+                                     OR day(_dt) % 5 = 2 AND event_bundle_sequence_id % 97 = 0)
+                        THEN 'fail' ELSE 'ok' END AS verdict
+            FROM loaded GROUP BY _dt""",
     }

@@ -543,6 +543,21 @@ def flat_reconcile(spark, sf_dir):
     )
 
 
+@query
+def content_reconcile(spark, sf_dir):
+    """Whole rows of two tables day by day: the same in another order, altered, or lost."""
+    rows = events.loaded(spark, sf_dir)
+    day, number = F.dayofmonth("_dt"), F.col("event_bundle_sequence_id")
+    entry = F.struct(F.lit("k").alias("key"), F.get("event_params", F.lit(0))["value"].alias("value"))
+    other = rows.withColumns({
+        "platform": F.when((day % 5 == 1) & (number % 7 == 0), F.lit("WEB")).otherwise(F.col("platform")),
+        "event_params": F.when(
+            (day % 5 == 2) & (number % 97 == 0), F.array(entry)
+        ).otherwise(F.col("event_params")),
+    }).filter(f"NOT ({events.LOST})").repartition(7, "event_timestamp")
+    return quality.reconcile_content(quality.fingerprints(rows), quality.fingerprints(other))
+
+
 @query
 def mart_reconcile(spark, sf_dir):
     return quality.reconcile_marts(
@@ -697,3 +712,18 @@ def stored_retention(spark, sf_dir):
     build.flatten_days(app, *span(spark, sf_dir), "run-1")
     build.build_marts(app, *span(spark, sf_dir), "run-1")
     return app.retention()
+
+
+@query
+def retention_incremental(spark, sf_dir):
+    """The retention view from the kept day sets, after some days were replaced."""
+    app = _loaded_app(spark, sf_dir, "day_sets")
+    first, last = span(spark, sf_dir)
+    build.flatten_days(app, first, last, "run-1")
+    build.build_marts(app, first, last, "run-1")
+    fewer = [rows.filter(f"NOT ({events.LOST})") for rows in _sources(spark, sf_dir)]
+    again = (INTRADAY_FROM, max(last, INTRADAY_FROM))
+    load.load_tables(app, *fewer, *again, "run-2")
+    build.flatten_days(app, *again, "run-2")
+    build.build_marts(app, *again, "run-2")
+    return app.retention()
