@@ -15,14 +15,12 @@ document near a band's end is dealt by the next band's partition too.
 Documents of one part are compared in stars around the least of them (already within a task, so a
 part that a third of all rows share sends one row a task on), first by sizes and parity bits, and
 verified on whole sets. Links
-alone are not enough there, since similarity is not transitive: parts whose documents then lie in
-different components are open, and each such document is compared with one drawn from the part by
-hash. A part has few tokens, so documents that merely share passages have equal parts too; what is
-still open then gets fine sketches instead of being compared pairwise. Each fine sketch is the XOR
-of the tokens that a hash function of its own puts into a small range, so wide that a linked pair
-differs in none of them with the probability ``SURVIVES``, and there are as many as make such a pair
-miss all of them with ``MISS`` at most. Documents far below the limit hardly ever have one in
-common. Under a fine sketch documents of different components are compared in stars, and only those
+alone are not enough there, since similarity is not transitive, and a part has few tokens, so
+documents that merely share passages have equal parts too. Instead of being compared pairwise, the
+documents that met in some part get fine sketches. Each is the XOR of the tokens that a hash
+function of its own puts into a range, so wide that a linked pair differs in none of them with the
+probability ``SURVIVES``, and there are as many as make such a pair miss all of them with ``MISS``
+at most. Documents far below the limit hardly ever have one in common. Under a fine sketch documents of different components are compared in stars, and only those
 still apart after that pairwise, within the join, by sizes and bits. Documents with equal sets are
 one class throughout.
 
@@ -51,7 +49,7 @@ from tidemark.llm.words import mixed, words
 SHINGLE = 4
 SIMILAR = (85, 100)
 LOAD = 5.0  # tokens a part at a band's upper end
-SURVIVES, MISS = 0.08, 1e-10
+SURVIVES, MISS = 0.25, 1e-10
 STAR = 256  # sets compared with one set in one group
 BATCH_BYTES = 2 << 20
 WORDS = ("w0", "w1", "w2", "w3")
@@ -167,15 +165,6 @@ def starred(keys: np.ndarray, nodes: np.ndarray) -> tuple:
     return keys[first], nodes[first], a, b
 
 
-def distinct(keys: np.ndarray, nodes: np.ndarray) -> tuple:
-    """Each entry once, no links."""
-    order = np.lexsort((nodes, keys))
-    k, v = keys[order], nodes[order]
-    fresh = np.ones(len(k), bool)
-    fresh[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
-    return k[fresh], v[fresh], k[:0], v[:0]
-
-
 def _dealt(rows: DataFrame, column: str, per_batch, reduced, buckets: int) -> DataFrame:
     """Entries (key, node) sent to the task that owns the key's range; a row holds many entries.
 
@@ -225,16 +214,6 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _pairs(np.ascontiguousarray(links[:, 0]), np.ascontiguousarray(links[:, 1]), ("a", "b"))
 
 
-def _mixed_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys under which more than one label stands."""
-    keys, labels, a, b = _gather(batches)
-    order = np.argsort(keys, kind="stable")
-    k, v = keys[order], labels[order]
-    same = k[1:] == k[:-1]
-    found = np.unique(k[1:][same & (v[1:] != v[:-1])])
-    yield pa.record_batch([pa.array(found.view(np.int64))], ["key"])
-
-
 def sizes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, a, b): the size and fingerprints of each document's set."""
 
@@ -267,11 +246,6 @@ def _set_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array([len(s) for s in sets], np.int64)
 
 
-def _of_sets(batch: pa.RecordBatch, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    h, n = _set_arrays(batch.column("set"))
-    return part_keys(h, np.repeat(np.arange(len(n)), n), n, similar)
-
-
 def fine_keys(h: np.ndarray, n: np.ndarray, similar: tuple[int, int] = SIMILAR) -> tuple[np.ndarray, np.ndarray]:
     """(keys, set numbers): the fine sketches of sets that lie one after the other in ``h``.
 
@@ -442,22 +416,17 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     sets = kept(_sets(texts, kept(chosen, "chosen"), size), "sets")
     found = kept(verified(kept(plausible(links, sets, similar), "plausible"), sets, similar), "links")
     labels = kept(components(found), "labels")
-    members = _open_members(sets, labels, buckets, similar)
-    fine = None
-    for more in (_hub_links, _fine_links, _cross_links):
-        if more is not _hub_links:
-            if fine is None:
-                fine = _fine_members(members, sets, labels, similar)
-            else:
-                fine = _still_open(fine, labels)
-            if fine.isEmpty():
-                break
-        candidates = kept(more(members if fine is None else fine, similar), "more-candidates")
-        new = kept(verified(kept(plausible(candidates, sets, similar), "plausible"), sets, similar), "more-links")
-        if not new.isEmpty():
-            found = found.unionByName(new)
+    fine = _fine_members(sets, labels, similar)
+    for more in (_fine_links, _cross_links):
+        candidates = kept(plausible(kept(more(fine, similar), "more-candidates"), sets, similar), "plausible")
+        new = kept(verified(candidates, sets, similar), "more-links")
+        found = found.unionByName(new)
+        if more is _fine_links:
             ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
             labels = kept(components(ends.unionByName(new)), "labels")
+            fine = _still_open(fine, labels)
+    ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    labels = kept(components(ends.unionByName(new)), "labels")
     ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node")))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     placed = classes.join(labels, F.col("a") == F.col("node"), "left").join(degrees, "node", "left")
@@ -474,31 +443,6 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     )
 
 
-def _open_members(sets: DataFrame, labels: DataFrame, buckets: int, similar: tuple[int, int]) -> DataFrame:
-    """(key, n, node, label, w0..w3): the documents of parts that hold more than one component."""
-    marked = kept(
-        sets.hint("merge").join(labels, "node", "left").select("node", "set", *WORDS, F.coalesce("label", "node").alias("label")), "marked"
-    )
-
-    def labelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        keys, owner = _of_sets(batch, similar)
-        return keys, batch.column("label").to_numpy().view(np.uint64)[owner]
-
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "set", BATCH_BYTES)):
-            keys, owner = _of_sets(batch, similar)
-            n = np.array([len(s) // 8 for s in batch.column("set").to_pylist()], np.int64)
-            names = ["node", "label", *WORDS]
-            rest = [batch.column(name).take(pa.array(owner)) for name in names]
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n[owner]), *rest], ["key", "n", *names])
-
-    raw = _dealt(marked.select("set", "label"), "set", labelled, distinct, buckets)
-    open_keys = kept(raw.mapInArrow(_mixed_keys, "key long").distinct(), "open-keys")
-    kinds = "key long, n long, node long, label long, " + ", ".join(f"{w} long" for w in WORDS)
-    every = marked.select("set", "node", "label", *WORDS).mapInArrow(both, kinds)
-    return kept(every.hint("merge").join(open_keys, "key", "left_semi"), "open-members")
-
-
 def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members under keys that still hold several components, by their labels of now."""
     names = labels.withColumnRenamed("label", "now")
@@ -507,21 +451,19 @@ def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return kept(now.join(kept(still.select("key"), "still-open-keys"), "key", "left_semi"), "still-open")
 
 
-def _fine_members(members: DataFrame, sets: DataFrame, labels: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """As ``members``, for the documents of parts still open, under their fine sketches."""
-    facts = ["node", "n", *WORDS]
-    nodes = kept(_still_open(members, labels).groupBy("node").agg(*[F.first(c).alias(c) for c in facts[1:]]), "open-nodes")
+def _fine_members(sets: DataFrame, labels: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """(key, n, node, label, w0..w3): documents under the fine sketches that hold several components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "set", BATCH_BYTES)):
             keys, owner = fine_keys(*_set_arrays(batch.column("set")), similar)
             yield pa.record_batch([pa.array(keys.view(np.int64)), batch.column("node").take(pa.array(owner))], ["key", "node"])
 
-    mine = sets.select("node", "set").hint("merge").join(nodes.select("node"), "node", "left_semi")
-    entries = kept(mine.mapInArrow(run, "key long, node long"), "fine-entries")
+    entries = kept(sets.select("node", "set").mapInArrow(run, "key long, node long"), "fine-entries")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     met = kept(entries.join(kept(shared.select("key"), "shared-keys"), "key", "left_semi"), "met-entries")
-    return _still_open(met.join(nodes, "node").select("key", *facts, F.lit(None).cast("long").alias("label")), labels)
+    facts = sets.select("node", "n", *WORDS)
+    return _still_open(met.join(facts, "node").select("key", "n", "node", *WORDS, F.lit(None).cast("long").alias("label")), labels)
 
 
 def _may_link(x: str, y: str, similar: tuple[int, int] = SIMILAR) -> Column:
@@ -542,23 +484,12 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.greatest(*ends).alias("a"), F.least(*ends).alias("b")]
 
 
-def _with_hubs(members: DataFrame, hubs: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Pairs of each document with its key's hub."""
-    hubs = kept(hubs.select("key", "hub.*"), "hubs")
-    pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y", similar))
-    return pairs.select(*_pair("x", "y")).distinct()
-
-
-def _hub_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Each document of an open part with a document drawn from it by hash: another one in each part."""
-    drawn = F.min_by(F.struct("node", "label", "n", *WORDS), F.xxhash64("key", "node"))
-    return _with_hubs(members, members.groupBy("key").agg(drawn.alias("hub")), similar)
-
-
 def _fine_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Each document with that of the least component under its fine sketch."""
-    least = F.min(F.struct("label", "node", "n", *WORDS))
-    return _with_hubs(members, members.groupBy("key").agg(least.alias("hub")), similar)
+    least = F.min(F.struct("label", "node", "n", *WORDS)).alias("hub")
+    hubs = kept(members.groupBy("key").agg(least).select("key", "hub.*"), "hubs")
+    pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y", similar))
+    return pairs.select(*_pair("x", "y")).distinct()
 
 
 def _cross_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
