@@ -94,3 +94,19 @@ def test_held_out_accuracy(spark):
     assert len(got) > 30
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
     assert np.mean([r.accepted for r in got]) > 0.97
+
+
+def test_few_distinct_texts_are_learned(spark):
+    """A language of one text, and one whose text has very many copies: both learned, few rows drawn."""
+    rows = [("the quick brown fox jumps over the lazy dog " * 20, "en")] * 3000
+    rows += [("le renard brun saute par dessus le chien paresseux " * 20, "fr")]
+    rows += [(f"der schnelle braune fuchs {k} springt ueber den faulen hund " * 20, "de") for k in range(40)]
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(rows)], "doc_id long, text string, lang string")
+    for chars in (100, 2000, langid.SAMPLE_CHARS):
+        drawn = langid.sample(docs, chars)
+        assert drawn.count() <= 42
+        assert drawn.where("not kept_out").select("lang").distinct().count() == 3
+        model = langid.train(docs, chars)
+        assert model.langs == ["de", "en", "fr"]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs.where("doc_id > 2999"), model).collect()}
+    assert got[3000] == "fr" and got[3001] == "de"

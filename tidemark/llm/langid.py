@@ -218,15 +218,24 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
 
 
 def sample(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(text, lang, kept_out): whole labelled texts, about ``chars`` characters a language, by hash."""
+    """(text, lang, kept_out): distinct labelled texts, about ``chars`` characters a language, by hash.
+
+    A text counts once, however many copies it has. The text that hashes lowest in its language is
+    always drawn and never kept out, so each language is learned.
+    """
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
-    share = F.lit(0.0)
+    rows = rows.withColumn("h", F.xxhash64("text", F.lit(11)))
+    texts = rows.groupBy("lang", "h").agg(F.max(F.length("text")).alias("n"))
+    sizes = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.min("h").alias("least")).collect()  # a row a language
+    share, first = F.lit(0.0), F.lit(False)
     for row in sizes:
-        share = F.when(F.col("lang") == row.lang, min(1.0, chars / max(row.n, 1))).otherwise(share)
-    place = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1_000_003)) / 1_000_003
+        mine = F.col("lang") == row.lang
+        share = F.when(mine, min(1.0, chars / max(row.n, 1))).otherwise(share)
+        first = F.when(mine, F.col("h") == row.least).otherwise(first)
+    place = F.pmod("h", F.lit(1_000_003)) / 1_000_003
     again = F.pmod(F.xxhash64("text", F.lit(12)), F.lit(1_000_003)) / 1_000_003
-    return rows.where(place < share).withColumn("kept_out", again < CALIBRATION)
+    drawn = rows.where((place < share) | first).dropDuplicates(["lang", "h"])
+    return drawn.select("text", "lang", ((again < CALIBRATION) & ~first).alias("kept_out"))
 
 
 def train(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> Model:
