@@ -142,10 +142,10 @@ def halves(docs: DataFrame) -> list:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; one row where id and text repeat."""
-    stay = dedup(docs, halves(docs)).where("kept").select(
-        F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("digest")
-    )
-    (mine,) = free_names(docs, "digest")
-    marked = docs.withColumn(mine, digest(F.col("text")))
-    same = [marked["doc_id"].eqNullSafe(stay["id"]), marked[mine] == stay["digest"]]
-    return marked.join(stay, same, "left_semi").dropDuplicates(["doc_id", mine]).drop(mine)
+    names = free_names(docs, "id", "no_id", "digest")
+    of = lambda key: [F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull(), key]
+    stay = dedup(docs, halves(docs)).where("kept")
+    stay = stay.select(*[c.alias(n) for c, n in zip(of(F.unhex("text_sha256")), names)])
+    marked = docs.withColumns(dict(zip(names, of(digest(F.col("text"))))))
+    # joined and told apart by the same columns: rows are shuffled once
+    return marked.join(stay, names, "left_semi").dropDuplicates(names).select(*[marked[c] for c in docs.columns])

@@ -386,8 +386,15 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, similar: tuple[int, int] = SI
     """One row of each component (that of its least id) and all that have no shingles, with their columns."""
     placed = _placed(docs, size, similar)
     stay = placed.where("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min(F.struct("a", "b")).alias("s"))
-    stay = kept(stay.select(F.col("component_id").alias("id"), F.col("s.a").alias("a"), F.col("s.b").alias("b")), "stays")
-    n_name, a_name, b_name = free_names(docs, "n", "a", "b")
+    names = free_names(docs, "n", "a", "b", "id", "no_id")
+    n_name, a_name, b_name, id_name, none_name = names
+
+    def keyed(id_column: str) -> dict[str, Column]:
+        return {id_name: F.coalesce(F.col(id_column), F.lit(0)), none_name: F.col(id_column).isNull()}
+
+    keys = [id_name, none_name, a_name, b_name]
+    stay = stay.withColumns({**keyed("component_id"), a_name: F.col("s.a"), b_name: F.col("s.b")})
+    stay = kept(stay.select(*keys), "stays")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -396,10 +403,11 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, similar: tuple[int, int] = SI
                 n, a, b = prints(h, t, batch.num_rows)
                 yield pa.record_batch([*batch.columns, pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], [*batch.schema.names, n_name, a_name, b_name])
 
-    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in (n_name, a_name, b_name)]]))
-    same = [marked["doc_id"].eqNullSafe(stay["id"]), marked[a_name] == stay["a"], marked[b_name] == stay["b"]]
-    one = marked.where(marked[n_name] > 0).join(stay, same, "left_semi").dropDuplicates(["doc_id", a_name, b_name])
-    return one.unionByName(marked.where(marked[n_name] == 0)).select(*docs.columns)
+    more = [T.StructField(c, T.LongType()) for c in (n_name, a_name, b_name)]
+    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *more])).withColumns(keyed("doc_id"))
+    # joined and told apart by the same columns: rows are shuffled once
+    one = marked.where(F.col(n_name) > 0).join(stay, keys, "left_semi").dropDuplicates(keys)
+    return one.select(*docs.columns).unionByName(marked.where(F.col(n_name) == 0).select(*docs.columns))
 
 
 def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
