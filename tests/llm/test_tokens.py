@@ -44,16 +44,38 @@ def test_coder(texts):
         assert coder.decode(ids).decode() == decoded
 
 
-@pytest.mark.parametrize("unsplit", [64, bpe.UNSPLIT])
-def test_bpe(make_docs, library, unsplit):
+@pytest.mark.parametrize("unsplit,long,part", [(64, 100, 40), (bpe.UNSPLIT, 1000, 200), (bpe.UNSPLIT, bpe.LONG, bpe.PART)])
+def test_bpe(make_docs, library, unsplit, long, part):
     docs = make_docs(ODD).withColumn("ids", F.lit(1)).withColumn("copies", F.lit(2))
-    got = bpe.decode(bpe.encode(docs, PATH, unsplit), PATH).collect()
+    got = bpe.decode(bpe.encode(docs, PATH, unsplit, long, part), PATH).collect()
     assert sorted(r.doc_id for r in got) == list(range(len(ODD)))
     for r in got:
         ids, text = expected(library, ODD[r.doc_id])
         assert (r.n_tokens, np.frombuffer(r.ids, "<u4").tolist(), r.text) == (len(ids), ids, text)
 
 
+def test_tree_of_long_texts(make_docs, library):
+    """Long texts of words, signs, marks and special tokens, cut anywhere."""
+    rng = random.Random(3)
+    bits = ["word", "it's", "'s", "<|endoftext|>", "<|start", "é", "é", "日本", "  ", "\n", "1234", "...", "!?", "aaaa", "\x01", "x.y,", " "]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(n)) for n in (60, 900, 4000, 12_000)]
+    docs = make_docs([(i, t) for i, t in enumerate(texts)] + [(2, texts[2])])
+    rows = bpe.encode(docs, PATH, bpe.UNSPLIT, 200, 64).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, 2, 2, 3]
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == expected(library, texts[r.doc_id])[0]
+
+
+def test_two_generations(library):
+    """A small cache that is renewed all the time gives the same ids."""
+    rng = random.Random(5)
+    coder = bpe.Coder(PATH, cached=40)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) + rng.choice(["", ".", ",", "!", "\x01"]) for _ in range(30)) for _ in range(600)]
+    for text, ids in zip(texts, coder.encode([t.encode() for t in texts])):
+        assert ids.tolist() == expected(library, text)[0]
+    assert len(coder.seen) + len(coder.older) < 2000
+
+
 def test_bpe_repeated_rows_and_nothing(make_docs):
     rows = [(1, "xy" * 100), (1, "xy" * 100), (None, "xy" * 100), (None, "a"), (1, "b")]
     assert bpe.encode(make_docs(rows), PATH, 64).count() == 5
@@ -66,13 +88,11 @@ def test_tree_of_joins(library):
     for n in range(60):
         alphabet = rng.choice(["ab", "the ing and tion er".replace(" ", ""), "!.'s-", "aé1'", "0123456789", "日本語a", "éa"])
         text = "".join(rng.choices(alphabet, k=rng.randint(64, 900)))
-        whole = []
-        for section in range(3):
-            cuts = [c for c in bpe.parts_of(text, 48) if c[0] == section]
-            parts = [(p, t, bpe.located(library, t, p)) for _, p, t in cuts]
-            if parts:
-                whole += bpe.concatenate(library, parts).tolist()
-        assert whole == library.encode(text, add_special_tokens=False).ids, text
+        parts = [(p, t, bpe.located(library, t, p)) for p, t in bpe.parts_of(text, 48)]
+        while len(parts) > 1:
+            pairs = zip(parts[::2], parts[1::2], strict=True)
+            parts = [(p, a + b, bpe.join(library, a + b, p, x, q, y)) for (p, a, x), (q, b, y) in pairs]
+        assert parts[0][2][:, 2].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 @pytest.mark.parametrize("most", [1, 2, 1000, 49_408, 2**32 - 1])

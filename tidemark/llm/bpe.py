@@ -2,14 +2,15 @@
 
 A tokenizer whose pre-tokenizer drops white space codes each run between ASCII white space on its
 own, so a task keeps the codes of the runs it has met and looks further ones up; the library codes
-only new runs. Other tokenizers code whole texts by the library.
-
-Long unsplit text (a run of ``UNSPLIT`` characters or more without white space) is coded by tree
-concatenation: the run is halved until its parts are short, the parts are coded in parallel as
-rows of their own, and neighbours are joined up the tree. At a join the text around it is coded
-again in a growing window until the window's codes agree with both sides' (same place, same id,
-several in a row), and is spliced there; a window that has grown over both sides is the code
-itself. Adjacent codes that agree with a longer coding on both sides stay valid, because whether
+only new runs, many of them in one text with a mark between them. Other tokenizers code whole texts
+by the library.
+
+Long unsplit text (``LONG`` characters or more, or a run of ``UNSPLIT`` without white space) is
+coded by tree concatenation: the text is halved until its parts are short, the parts are coded in
+parallel as rows of their own, and neighbours are joined up the tree, all joins of a level in
+parallel. At a join the text around it is coded again in a growing window until the window's codes
+agree with both sides' (same place, same id, several in a row), and is spliced there; a window that
+has grown over both sides is the code itself. Adjacent codes that agree with a longer coding on both sides stay valid, because whether
 a sequence is the code of its text hangs on neighbouring pairs only.
 
 Ids travel as bytes, little-endian unsigned 32-bit, so no row holds an array object per id.
@@ -30,9 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import kept
+
 UNSPLIT = 8192
+LONG = 32_768
+PART = 8192
 AGREE = 4
-CACHED_RUNS = 150_000
+MARK = "\x01"
+MARKED = 2048  # runs coded in one text
+CACHED_RUNS = 400_000
 BATCH_BYTES = 8 << 20
 CODED = "doc_id long, n_tokens long, ids binary"
 
@@ -62,23 +69,55 @@ class Coder:
         self.lowers = self.by_run and '"Lowercase"' in json.dumps(spec["normalizer"])
         ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
         self.kind = np.uint16 if max(ids.values()) < 1 << 16 else np.uint32
+        # two generations: what a text asked for lately is in the newer one
         self.seen: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.words = {i: w.encode() for w, i in ids.items()} if spec["decoder"] is None else None
 
     @cached_property
     def tokenizer(self):
         return load(self.path)
 
+    @cached_property
+    def mark(self) -> int | None:
+        """The id that the mark always has, if it is one id, however it is surrounded."""
+        ids = self.tokenizer.encode(f"a {MARK} . {MARK} 1", add_special_tokens=False).ids
+        alone = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        return alone[0] if len(alone) == 1 and ids.count(alone[0]) == 2 else None
+
     def _code(self, texts: list[bytes]) -> list[bytes]:
         whole = [t.decode("utf-8", "replace") for t in texts]
         coded = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
         return [np.array(c.ids, self.kind).tobytes() for c in coded]
 
+    def _code_runs(self, runs: list[bytes]) -> list[bytes]:
+        """As ``_code``, for runs without white space: many of them are coded as one text."""
+        if self.mark is None or any(MARK.encode() in r for r in runs):
+            return self._code(runs)
+        out: list[bytes] = []
+        groups = [runs[k : k + MARKED] for k in range(0, len(runs), MARKED)]
+        joined = [f" {MARK} ".join([r.decode("utf-8", "replace") for r in g]) for g in groups]
+        for group, coded in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(coded.ids, self.kind)
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) != len(group) - 1:
+                out += self._code(group)
+                continue
+            data, size = ids.tobytes(), ids.itemsize
+            cuts = [0, *((ends + 1) * size).tolist()]
+            stops = [*(ends * size).tolist(), len(data)]
+            out += [data[i:j] for i, j in zip(cuts, stops)]
+        return out
+
     def _learn(self, runs: set[bytes]) -> None:
         """Code the runs; a last stop or comma after a letter is a piece of its own."""
+        older = self.older
+        for r in runs & older.keys():
+            self.seen[r] = older[r]
+        runs = runs - older.keys()
         tails = [r for r in runs if len(r) > 1 and r[-1] in b".," and r[-2:-1].isalpha()]
         new = list((runs.difference(tails) | {r[:-1] for r in tails} | {b".", b","}) - self.seen.keys())
-        self.seen.update(zip(new, self._code(new)))
+        self.seen.update(zip(new, self._code_runs(new)))
         for r in tails:
             self.seen[r] = self.seen[r[:-1]] + self.seen[r[-1:]]
 
@@ -88,9 +127,9 @@ class Coder:
             for text in texts:
                 yield np.frombuffer(self._code([text or b""])[0], self.kind).astype("<u4")
             return
-        if len(self.seen) > self.cached:
-            self.seen.clear()
         for start in range(0, len(texts), 256):
+            if 2 * len(self.seen) > self.cached:
+                self.seen, self.older = {}, self.seen
             runs = []
             for text in texts[start : start + 256]:
                 text = text or b""
@@ -148,28 +187,16 @@ def _encoder(path: str) -> Callable:
     return run
 
 
-def parts_of(text: str, unsplit: int) -> Iterator[tuple[int, int, str]]:
-    """(section, place, part): a text as sections, the long runs among them halved.
+def parts_of(text: str, part: int) -> list[tuple[int, str]]:
+    """(first character, part): a text halved until its parts have ``part`` characters at most.
 
-    Ordinary sections have place -1. A run's parts have their first character's place in the run.
+    As many parts as a power of two, so that neighbours pair up on every level.
     """
-    import re
-
-    section = at = 0
-    for run in re.finditer(r"[^ \t\n\r\x0b\x0c]{%d,}" % unsplit, text):
-        if run.start() > at:
-            yield section, -1, text[at : run.start()]
-        todo = [(0, len(run[0]))]
-        while todo:
-            low, high = todo.pop()
-            if high - low <= max(2, unsplit // 2):
-                yield section + 1, low, run[0][low:high]
-            else:
-                middle = (low + high) // 2
-                todo += [(middle, high), (low, middle)]
-        section, at = section + 2, run.end()
-    if at < len(text):
-        yield section, -1, text[at:]
+    count = 1
+    while count * part < len(text):
+        count *= 2
+    cuts = [len(text) * k // count for k in range(count + 1)]
+    return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 #: A part's codes: rows (first character, past the last character, id).
@@ -206,72 +233,74 @@ def join(tokenizer, text: str, first: int, left: np.ndarray, cut: int, right: np
         reach *= 2
 
 
-def concatenate(tokenizer, parts: list[tuple[int, str, np.ndarray]], agree: int = AGREE) -> np.ndarray:
-    """Join the parts of one run pairwise, level by level."""
-    while len(parts) > 1:
-        joined = []
-        for k in range(0, len(parts) - 1, 2):
-            (first, a, left), (cut, b, right) = parts[k], parts[k + 1]
-            joined.append((first, a + b, join(tokenizer, a + b, first, left, cut, right, agree)))
-        parts = joined + parts[len(parts) - len(parts) % 2 :]
-    return parts[0][2][:, 2]
+TREE = "doc_id long, copies long, digest binary, n int, at int, place long, part string, codes binary"
 
 
-def _encode_long(long: DataFrame, path: str, unsplit: int) -> DataFrame:
-    keys = ["doc_id", "copies", "digest"]
+def _encode_long(long: DataFrame, path: str, part: int) -> DataFrame:
+    """(doc_id, n_tokens, ids) of long texts, by tree concatenation; one join of two parts a row."""
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                cuts = list(parts_of(row.text, unsplit))
-                yield pd.DataFrame(cuts, columns=["section", "place", "part"]).assign(
-                    doc_id=row.doc_id, copies=row.copies, digest=row.digest
-                )[[*keys, "section", "place", "part"]]
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                parts = parts_of(row["text"], part)
+                rest = {k: [row[k]] * len(parts) for k in ("doc_id", "copies", "digest")}
+                places, texts = zip(*parts)
+                yield pa.RecordBatch.from_pydict(
+                    {**rest, "n": [len(parts)] * len(parts), "at": list(range(len(parts))), "place": places, "part": texts},
+                    schema=pa.schema([
+                        ("doc_id", pa.int64()), ("copies", pa.int64()), ("digest", pa.binary()), ("n", pa.int32()),
+                        ("at", pa.int32()), ("place", pa.int64()), ("part", pa.string()),
+                    ]),
+                )
 
-    def code(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = coder_of(path)
-        for frame in frames:
-            codes = []
-            for row in frame.itertuples(index=False):
-                if row.place < 0:
-                    codes.append(next(coder.encode([row.part.encode()])).tobytes())
-                else:
-                    codes.append(located(coder.tokenizer, row.part, row.place).tobytes())
-            yield frame.assign(codes=codes)
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = coder_of(path).tokenizer
+        for whole in batches:
+            for batch in slices(whole, "part"):
+                pairs = zip(batch.column("part").to_pylist(), batch.column("place").to_pylist())
+                codes = [located(tokenizer, text, place).tobytes() for text, place in pairs]
+                yield pa.record_batch([*batch.columns, pa.array(codes, pa.binary())], [*batch.schema.names, "codes"])
 
     def up(frame: pd.DataFrame) -> pd.DataFrame:
-        tokenizer = load(path)
-        ids = []
-        for _, rows in frame.sort_values(["section", "place"]).groupby("section", sort=True):
-            if rows["place"].iloc[0] < 0:
-                ids.append(np.frombuffer(rows["codes"].iloc[0], "<u4"))
-                continue
-            parts = [
-                (r.place, r.part, np.frombuffer(r.codes, np.int64).reshape(-1, 3))
-                for r in rows.itertuples(index=False)
-            ]
-            ids.append(concatenate(tokenizer, parts).astype("<u4"))
-        whole = np.concatenate(ids)
-        return frame.iloc[:1][["doc_id", "copies"]].assign(n_tokens=len(whole), ids=whole.tobytes())
-
-    spread = "doc_id long, copies long, digest binary, section int, place long, part string"
-    rows = (
-        long.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("digest", F.unhex(F.sha2("text", 256)))
-        .mapInPandas(cut, spread)
-        .repartition("doc_id", "digest", "section", "place")
-        .mapInPandas(code, spread + ", codes binary")
+        frame = frame.sort_values("at")
+        if len(frame) == 2:
+            a, b = frame.itertuples(index=False)
+            text = a.part + b.part
+            codes = [np.frombuffer(x.codes, np.int64).reshape(-1, 3) for x in (a, b)]
+            whole = join(coder_of(path).tokenizer, text, a.place, codes[0], b.place, codes[1])
+            frame = frame.iloc[:1].assign(part=text, codes=np.ascontiguousarray(whole).tobytes())
+        return frame.assign(n=frame["n"] // 2, at=frame["at"] // 2)[[x.split()[0] for x in TREE.split(", ")]]
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(c, np.int64).reshape(-1, 3)[:, 2].astype("<u4") for c in batch.column("codes").to_pylist()]
+            columns = [pa.array([len(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("copies"), *columns], ["doc_id", "copies", "n_tokens", "ids"])
+
+    distinct = long.withColumn("digest", F.unhex(F.sha2("text", 256))).groupBy("doc_id", "digest").agg(
+        F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")
     )
-    done = rows.groupBy(*keys).applyInPandas(up, "doc_id long, copies long, n_tokens long, ids binary")
-    return done.select("doc_id", "n_tokens", "ids", F.explode(F.expr("array_repeat(0, int(copies))"))).drop("col")
-
-
-def encode(docs: DataFrame, path: str, unsplit: int = UNSPLIT) -> DataFrame:
+    parts = distinct.select("doc_id", "copies", "digest", "text").mapInArrow(cut, TREE.removesuffix(", codes binary"))
+    parts = parts.repartition("doc_id", "digest", "at").mapInArrow(code, TREE)
+    tree, whole = kept(parts, "parts"), None
+    most = tree.agg(F.max("n")).first()[0] or 1
+    for _ in range(most.bit_length() - 1):
+        done = tree.where("n = 1")
+        whole = done if whole is None else whole.unionByName(done)
+        joins = tree.where("n > 1").groupBy("doc_id", "copies", "digest", F.expr("at div 2"))
+        tree = kept(joins.applyInPandas(up, TREE), "joined")
+    whole = tree if whole is None else whole.unionByName(tree)
+    found = whole.select("doc_id", "copies", "codes").mapInArrow(ids, "doc_id long, copies long, n_tokens long, ids binary")
+    return found.select("doc_id", "n_tokens", "ids", F.explode(F.expr("array_repeat(0, int(copies))"))).drop("col")
+
+
+def encode(docs: DataFrame, path: str, unsplit: int = UNSPLIT, long: int = LONG, part: int = PART) -> DataFrame:
     """(doc_id, n_tokens, ids): the whole texts of (doc_id, text) coded by the tokenizer at ``path``."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    long = (F.length("text") >= unsplit) & F.col("text").rlike(r"[^ \t\n\r\x0B\f]{%d}" % unsplit)
-    short = rows.where(~long).mapInArrow(_encoder(path), CODED)
-    return short.unionByName(_encode_long(rows.where(long), path, unsplit))
+    run = (F.length("text") >= unsplit) & F.col("text").rlike(r"[^ \t\n\r\x0B\f]{%d}" % unsplit)
+    is_long = (F.length("text") >= long) | run
+    short = rows.where(~is_long).mapInArrow(_encoder(path), CODED)
+    return short.unionByName(_encode_long(rows.where(is_long), path, min(part, unsplit)))
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:

@@ -207,22 +207,28 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     is as large as the shuffle's partitions are set to be.
     """
 
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = coder_of(tokenizer)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts = batch.column("text").cast(pa.binary()).to_pylist()
+                ids = pa.array([c.astype(coder.kind).tobytes() for c in coder.encode(texts)], pa.binary())
+                yield pa.record_batch([batch.column("doc_id"), batch.column("tie"), ids], ["doc_id", "tie", "ids"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, writer, path = coder_of(tokenizer), None, ""
+        writer, path, kind = None, "", coder_of(tokenizer).kind
         store, root = _store(folder)
         part = TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                if writer is None:
-                    store.create_dir(root)
-                    path = f"{root}/{part:06d}-{uuid.uuid4().hex}.tok"
-                    writer = Writer(store.open_output_stream(path))
-                texts = batch.column("text").cast(pa.binary()).to_pylist()
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts)):
-                    writer.add(doc_id, np.concatenate([ids, end]))
+        for batch in batches:
+            if writer is None:
+                store.create_dir(root)
+                path = f"{root}/{part:06d}-{uuid.uuid4().hex}.tok"
+                writer = Writer(store.open_output_stream(path))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+                writer.add(doc_id, np.concatenate([np.frombuffer(ids, kind).astype(np.uint32), end]))
         if writer is not None:
             n_blocks, n_bytes = writer.close()
             values = (part, path.rsplit("/", 1)[1], len(writer.doc_ids), writer.n_ids, n_blocks, n_bytes)
@@ -230,10 +236,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
             names = [x.split()[0] for x in MANIFEST.split(", ")]
             yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange("doc_id", "_tie")
-    written = ordered.sortWithinPartitions("doc_id", "_tie").select("doc_id", "text").mapInArrow(run, MANIFEST)
-    return kept(written, "token-manifest")
+    # coded where the texts lie; what is sorted and shuffled is ids, of two bytes each if they fit
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    coded = kept(rows.mapInArrow(code, "doc_id long, tie long, ids binary"), "coded")
+    ordered = coded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    return kept(ordered.select("doc_id", "ids").mapInArrow(run, MANIFEST), "token-manifest")
 
 
 def read(manifest: DataFrame, folder: str, digest: bool = False) -> DataFrame:
