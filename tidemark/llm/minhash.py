@@ -7,16 +7,17 @@ documents that agree on a whole band meet under its key. There are as many bands
 pair miss all of them with a probability of ``MISS`` at most, worst case at the limit itself.
 
 What meets is verified twice. Signatures first: one byte of each minimum is kept, and pairs whose
-agreement is ``SLACK`` standard deviations under what a link has go. Then the whole sets: only
-pairs that are similar enough by exact count are links. Components are found by alternating large
+agreement is ``SLACK`` standard deviations under what a link has go; so do pairs whose sizes, or
+the parities of the tokens dealt to ``PARITIES`` bits, differ by more than a link can. Then the
+whole sets: only pairs that are similar enough by exact count are links. Components are found by alternating large
 and small stars.
 
 No group is expanded into pairs: under each key the others are compared with the least of them.
 Similarity is not transitive, so keys under which several components then stand are open. Their
 documents get finer bands (``FINE`` minima each, again as many as ``MISS`` asks for), under which
-only documents near the limit still meet; there they are compared with the least one again, and
-only what then still lies in different components under one fine key is compared pairwise, within
-the join, by sizes and signatures. Those comparisons grow with the square of a group only where
+only documents near the limit still meet; there they are compared with one of the least component,
+then with one of the greatest, and only what then still lies in different components under one fine
+key is compared pairwise, within the join, by sizes, signatures and parities. Those comparisons grow with the square of a group only where
 very many documents are just below the limit to each other and not linked.
 
 Documents with equal sets are one class throughout, however many they are. Nulls, empty texts and
@@ -47,6 +48,7 @@ SIMILAR = (85, 100)
 ROWS, FINE = 4, 16
 MISS = 1e-10
 SIGNATURE = 128
+PARITIES = 1024
 SLACK = 6.5
 STAR = 256  # sets compared with one set in one group
 BATCH_BYTES = 2 << 20
@@ -95,6 +97,13 @@ def band_keys(least: np.ndarray, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parities(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """(sets, longs): the parity of the tokens that each of ``PARITIES`` bits gets."""
+    place = ((hashes >> np.uint64(20)) % np.uint64(PARITIES)).astype(np.int64)
+    odd = np.bincount(owner * PARITIES + place, minlength=n * PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, PARITIES), axis=1).view(np.int64)
+
+
 def _lists(values: np.ndarray, has: np.ndarray) -> pa.ListArray:
     """One row of ``values`` for each row that ``has`` one, an empty list for the others."""
     ends = np.cumsum(np.where(has, values.shape[1], 0))
@@ -102,7 +111,7 @@ def _lists(values: np.ndarray, has: np.ndarray) -> pa.ListArray:
 
 
 def signed(texts: DataFrame, size: int = SHINGLE, similar: Limit = SIMILAR) -> DataFrame:
-    """(doc_id, n_shingles, a, b, signature, bands): fingerprints of each document's set.
+    """(doc_id, n_shingles, a, b, signature, parities, bands): fingerprints of each document's set.
 
     ``signature`` holds a byte of each of the first ``SIGNATURE`` minima, eight to a long.
     """
@@ -119,11 +128,11 @@ def signed(texts: DataFrame, size: int = SHINGLE, similar: Limit = SIMILAR) -> D
                 low = np.ascontiguousarray(least[:, :SIGNATURE].astype(np.uint8)).view(np.int64)
                 columns = [
                     batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                    _lists(low, has), _lists(band_keys(least[:, : bands * ROWS], ROWS), has),
+                    _lists(low, has), _lists(parities(h, t, batch.num_rows)[has], has), _lists(band_keys(least[:, : bands * ROWS], ROWS), has),
                 ]
-                yield pa.record_batch(columns, ["doc_id", "n_shingles", "a", "b", "signature", "bands"])
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "a", "b", "signature", "parities", "bands"])
 
-    schema = "doc_id long, n_shingles long, a long, b long, signature array<long>, bands array<long>"
+    schema = "doc_id long, n_shingles long, a long, b long, signature array<long>, parities array<long>, bands array<long>"
     return texts.mapInArrow(run, schema)
 
 
@@ -146,18 +155,22 @@ def may_link(similar: Limit, x: str, y: str) -> Column:
     num, den = similar
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
     alike = agreement(F.col(f"{x}.signature"), F.col(f"{y}.signature"))
-    return (den * F.least(n, m) >= num * F.greatest(n, m)) & (alike >= least_agreement(similar))
+    bits = [F.get(F.col(f"{x}.parities"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{y}.parities"), F.lit(k))) for k in range(PARITIES // 64)]
+    apart = reduce(lambda p, q: p + q, [F.bit_count(b) for b in bits])
+    near = apart <= F.floor((den - num) * (n + m) / (den + num))
+    return (den * F.least(n, m) >= num * F.greatest(n, m)) & near & (alike >= least_agreement(similar))
 
 
-def starred(entries: DataFrame, facts: DataFrame, similar: Limit) -> DataFrame:
-    """Pairs (a, b) of the documents under each key with the least of them, by sizes and signatures.
+def starred(entries: DataFrame, facts: DataFrame, similar: Limit, least: bool = True) -> DataFrame:
+    """Pairs (a, b) of the documents under each key with one of the least (or greatest) component.
 
     Documents that are known to be in one component with it are left out. ``entries``: (key, node,
-    n, label), stored; ``facts``: (node, n, signature), stored.
+    n, label), stored; ``facts``: (node, n, signature, parities), stored.
     """
     num, den = similar
-    hubs = entries.groupBy("key").agg(F.min(F.struct("label", "node", "n")).alias("hub"), F.max("label").alias("high"))
-    hubs = hubs.where("hub.label < high").select("key", "hub.*").toDF("key", "hub_label", "b", "m")
+    low, high = F.min(F.struct("label", "node", "n")).alias("low"), F.max(F.struct("label", "node", "n")).alias("high")
+    hubs = entries.groupBy("key").agg(low, high).where("low.label < high.label")
+    hubs = hubs.select("key", "low.*" if least else "high.*").toDF("key", "hub_label", "b", "m")
     near = (F.col("label") != F.col("hub_label")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))
     hubs = kept(hubs, "hubs")
     pairs = kept(entries.join(hubs, "key").where(near).select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
@@ -258,14 +271,16 @@ def links_between(facts: DataFrame, entries: DataFrame, sets: DataFrame, similar
         return links, labels
     fine = fine_entries(sets, nodes, similar).join(facts.select("node", "n"), "node")
     fine = _open(kept(fine.select("key", "node", "n"), "fine-entries"), labels)
-    more = kept(verified(kept(starred(fine, facts, similar), "fine-candidates"), sets, similar), "fine-links")
-    labels = _relabelled(labels, more)
-    left = kept(_open(fine.drop("label"), labels).join(facts.select("node", "signature"), "node"), "left-entries")
+    for least in (True, False):
+        more = kept(verified(kept(starred(fine, facts, similar, least), "fine-candidates"), sets, similar), "fine-links")
+        links, labels = links.unionByName(more), _relabelled(labels, more)
+        fine = _open(fine.drop("label"), labels)
+    left = kept(fine.join(facts.drop("n"), "node"), "left-entries")
     x, y = left.alias("x"), left.alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") > F.col("y.label")) & may_link(similar, "x", "y"))
     pairs = kept(cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "cross-candidates")
     last = kept(verified(pairs, sets, similar), "cross-links")
-    return links.unionByName(more).unionByName(last).distinct(), _relabelled(labels, last)
+    return links.unionByName(last).distinct(), _relabelled(labels, last)
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, similar: Limit = SIMILAR) -> DataFrame:
@@ -281,7 +296,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, similar: Limit = SIM
     # ids are part of the key, so a group of very many copies is spread over the tasks
     mine = [known["a"] == classes["a"], known["b"] == classes["b"], known["doc_id"].eqNullSafe(classes["rep"])]
     facts = known.join(classes.select("a", "b", "rep"), mine).select(
-        known["a"].alias("node"), "rep", F.col("n_shingles").alias("n"), "signature", "bands"
+        known["a"].alias("node"), "rep", F.col("n_shingles").alias("n"), "signature", "parities", "bands"
     )
     facts = kept(facts.dropDuplicates(["node"]), "facts")
     entries = kept(facts.select(F.explode("bands").alias("key"), "node", "n"), "entries")
@@ -289,7 +304,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, similar: Limit = SIM
     entries = kept(entries.join(kept(shared, "shared-keys"), "key", "left_semi"), "met-entries")
     chosen = entries.select("node").distinct().join(facts.select("node", "rep"), "node")
     sets = kept(sets_of(texts, kept(chosen, "chosen"), size), "sets")
-    links, labels = links_between(facts.select("node", "n", "signature"), entries, sets, similar)
+    links, labels = links_between(facts.select("node", "n", "signature", "parities"), entries, sets, similar)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     placed = classes.withColumnRenamed("a", "node").join(labels, "node", "left").join(degrees, "node", "left")
