@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.schema.flat import BASE
 from tidemark.schema.raw import PARAM_VALUE, PROPERTY_VALUE, RAW
-from tidemark.shaped import events
+from tidemark.shaped import canonical, events
 
 _TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
@@ -348,16 +348,11 @@ def oracle_sql() -> dict[str, str]:
     users = _with(_flat(), f"users AS ({_USER_DAILY})")
     exported = _with(_exported())
     counts = "SELECT _dt, count(*) AS rows FROM loaded GROUP BY _dt"
-    size = "CAST(len({0}) AS INTEGER)".format
+    whole = ", ".join(canonical.whole_row(spark=False))
     retained = _with(_flat(), f"users AS ({_USER_DAILY})", f"retained AS ({_RETENTION})")
     return {
         "raw_scan": exported + f"""
-            SELECT event_date, event_timestamp, event_name, stream_id, user_pseudo_id,
-                   is_active_user, device.web_info.browser AS browser,
-                   CAST(NULL AS VARCHAR) AS ad_format,
-                   CAST(NULL AS BIGINT) AS event_original_occurrence_timestamp,
-                   {size('event_params')} AS n_params, {size('items')} AS n_items,
-                   items[1].price AS first_price, ecommerce.unique_items AS unique_items
+            SELECT {', '.join(canonical.whole_row(False, ('publisher', 'event_original_occurrence_timestamp')))}
             FROM exported""",
         "mixed_type_scan": exported + f"""
             SELECT {', '.join(f.name for f in RAW.fields if f.dataType.simpleString() in _TYPES)},
@@ -374,12 +369,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, day(_dt) % 3 = 1 AND part = day(_dt) % 5 AS broken
                   FROM (SELECT CAST(ts AS DATE) AS _dt, event_id % 5 AS part, count(*) AS rows
                         FROM events GROUP BY ALL))""",
-        "raw_defaults": raw + f"""
-            SELECT event_timestamp, event_name, platform, event_date,
-                   {size('event_params')} AS n_params, {size('user_properties')} AS n_properties,
-                   {size('items')} AS n_items,
-                   array_to_string(list_transform(event_params, lambda p: p.key), '|') AS keys
-            FROM loaded""",
+        "raw_defaults": raw + f"SELECT {whole}, _dt FROM loaded",
         "day_layouts": """
             SELECT CAST(ts AS DATE) AS _dt,
                    CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-20'
@@ -390,14 +380,12 @@ def oracle_sql() -> dict[str, str]:
         "file_statistics": """
             SELECT DISTINCT CAST(ts AS DATE) AS _dt, CAST(1 AS BIGINT) AS files, TRUE AS has_bytes
             FROM events""",
-        "final_over_intraday": exported + """
-            SELECT _dt, CASE WHEN _dt <= DATE '2024-01-20' THEN 0 ELSE 1 END AS _is_intraday,
-                   event_timestamp, event_name, user_pseudo_id FROM exported""",
+        "final_over_intraday": exported + f"""
+            SELECT _dt, CASE WHEN _dt <= DATE '2024-01-20' THEN 0 ELSE 1 END AS _is_intraday, {whole}
+            FROM exported""",
         "raw_load": chosen + f"""
-            SELECT event_date, event_timestamp, event_name, user_id, user_pseudo_id, platform,
-                   event_value_in_usd, is_active_user, geo.country AS country,
-                   {size('event_params')} AS n_params, TRUE AS has_ingested_at, _dt,
-                   'run-1' AS _run_id, 'events' AS _source_table, _is_intraday
+            SELECT {whole}, TRUE AS has_ingested_at, _dt, 'run-1' AS _run_id,
+                   'events' AS _source_table, _is_intraday
             FROM chosen""",
         "replace_days": """
             SELECT CAST(ts AS DATE) AS _dt,
@@ -405,8 +393,7 @@ def oracle_sql() -> dict[str, str]:
                    END AS _run_id,
                    count(*) AS rows
             FROM events GROUP BY ALL""",
-        "snapshot_export": exported + """
-            SELECT event_name, event_timestamp, user_pseudo_id FROM exported""",
+        "snapshot_export": exported + f"SELECT {whole} FROM exported",
         "run_log": _with(_raw(), _CHOSEN, _CALENDAR, """
             per_day AS (SELECT _dt, _is_intraday, count(*) AS n FROM chosen GROUP BY ALL)""") + """
             SELECT day AS event_date,
@@ -474,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
                    array_to_string(list_transform(event_params, lambda p: p.key), '|') AS keys
             FROM loaded WHERE event_name = 'send_prompt'""",
         "param_count": raw + f"""
-            SELECT event_timestamp, {size('event_params')} AS n_params,
+            SELECT event_timestamp, CAST(len(event_params) AS INTEGER) AS n_params,
                    len(event_params) = 0 AS is_empty FROM loaded""",
         "kpi_missing_dynamic": _with(_flat(), """
             bare AS (SELECT * REPLACE (CAST(NULL AS BIGINT) AS ga_session_id_int,

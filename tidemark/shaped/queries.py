@@ -21,7 +21,7 @@ from tidemark.operators.registry import DynamicColumn
 from tidemark.plans import build, daily, load, status, upkeep
 from tidemark.plans.app import App
 from tidemark.schema import tables
-from tidemark.shaped import events
+from tidemark.shaped import canonical, events
 from tidemark.sources import broken, files, folders, merged, partitions, raw
 
 # From this day on there are only intraday rows; before the other one only final rows.
@@ -129,18 +129,9 @@ def _exported_files(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def raw_scan(spark, sf_dir):
+    """Whole rows, nested parts as one text each."""
     rows = raw.scan(spark, f"{_exported_files(spark, sf_dir)}/dt=*")
-    return rows.select(
-        "event_date", "event_timestamp", "event_name", "stream_id", "user_pseudo_id",
-        "is_active_user",
-        F.col("device.web_info.browser").alias("browser"),
-        F.col("publisher.ad_format").alias("ad_format"),
-        "event_original_occurrence_timestamp",
-        F.size("event_params").alias("n_params"),
-        F.size("items").alias("n_items"),
-        F.col("items")[0]["price"].alias("first_price"),
-        F.col("ecommerce.unique_items").alias("unique_items"),
-    )
+    return rows.selectExpr(*canonical.whole_row(spark=True))
 
 
 def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
@@ -201,13 +192,8 @@ def broken_files(spark, sf_dir):
 
 @query
 def raw_defaults(spark, sf_dir):
-    return events.loaded(spark, sf_dir).select(
-        "event_timestamp", "event_name", "platform", "event_date",
-        F.size("event_params").alias("n_params"),
-        F.size("user_properties").alias("n_properties"),
-        F.size("items").alias("n_items"),
-        F.array_join(params.keys(F.col("event_params")), "|").alias("keys"),
-    )
+    """Whole rows as they are stored, nested parts as one text each."""
+    return events.loaded(spark, sf_dir).selectExpr(*canonical.whole_row(spark=True), "_dt")
 
 
 @query
@@ -238,19 +224,15 @@ def file_statistics(spark, sf_dir):
 @query
 def final_over_intraday(spark, sf_dir):
     chosen = raw.prefer_final(*_sources(spark, sf_dir))
-    return chosen.select("_dt", "_is_intraday", "event_timestamp", "event_name", "user_pseudo_id")
+    return chosen.selectExpr("_dt", "_is_intraday", *canonical.whole_row(spark=True))
 
 
 @query
 def raw_load(spark, sf_dir):
     chosen = raw.prefer_final(*_sources(spark, sf_dir))
     stored = raw.load_columns(chosen, "run-1", "events", F.col("_is_intraday"))
-    return stored.select(
-        "event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id", "platform",
-        "event_value_in_usd", "is_active_user",
-        F.col("geo.country").alias("country"),
-        F.size("event_params").alias("n_params"),
-        F.col("_ingested_at").isNotNull().alias("has_ingested_at"),
+    return stored.selectExpr(
+        *canonical.whole_row(spark=True), "_ingested_at IS NOT NULL AS has_ingested_at",
         "_dt", "_run_id", "_source_table", "_is_intraday",
     )
 
@@ -272,7 +254,7 @@ def snapshot_export(spark, sf_dir):
     rows = events.exported(spark, sf_dir)
     for _ in range(2):
         target = partitions.export_snapshot(rows, root, FINAL_UNTIL)
-    return raw.scan(spark, target).select("event_name", "event_timestamp", "user_pseudo_id")
+    return raw.scan(spark, target).selectExpr(*canonical.whole_row(spark=True))
 
 
 @query
