@@ -132,12 +132,23 @@ def test_question_without_answer_is_found(spark, make_docs):
     assert kept == set(range(len(docs))) - {d for d, _ in want}
 
 
+def test_scores_do_not_hang_on_the_shards(spark, make_docs):
+    """Many small indexes give the rows and scores of one."""
+    items, docs = question_copies()
+    frame = spark.createDataFrame(items, "item_id long, question string, answer string")
+    found = [
+        {(r.doc_id, r.item_id): (round(r.score, 9), r.question_overlap, r.full) for r in decontam.contaminated(make_docs(docs), frame, n).collect()}
+        for n in (decontam.SHARD_WORDS, 60)
+    ]
+    assert found[0] == found[1] and len(found[0]) > 30
+
+
 def test_odd_rows(spark, make_docs):
     item = "One two three four five six seven eight nine ten eleven twelve. Thirteen."
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "..."), (1, item), (None, item)], "item_id long, text string")
-    docs = make_docs([None, "", item.upper(), "x " * 60_000 + item + " y" * 60_000, "one two three four five", (7, item), (7, item), (None, item)][:5])
-    got = sorted((r.doc_id, r.item_id, r.full) for r in decontam.contaminated(docs, items).collect())
-    assert got == [(d, i, True) for d in (2, 3) for i in (-1, 1, 1)]
+    docs = make_docs([None, "", item.upper(), "x " * 60_000 + item + " y" * 60_000, "one two three four five", (7, item), (7, item), (None, item)])
+    got = sorted((-9 if r.doc_id is None else r.doc_id, r.item_id, r.full) for r in decontam.contaminated(docs, items).collect())
+    assert got == sorted((d, i, True) for d in (-9, 2, 3, 7, 7) for i in (-1, 1, 1))
     assert sorted(r.doc_id for r in decontam.clean(docs, items).collect()) == [0, 1, 4]
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
     assert decontam.contaminated(docs.limit(0), items).count() == 0

@@ -37,10 +37,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
+from tidemark.llm.tables import kept
 from tidemark.llm.words import Words, mixed, words
 
 STRIDE = 64
@@ -89,9 +90,23 @@ def fingerprint(hashes: np.ndarray) -> tuple[int, np.ndarray]:
     return size, np.unique(grams(hashes, size)) if size else hashes
 
 
-def share(part: tuple[int, np.ndarray], hashes: np.ndarray) -> float:
-    """How much of an item's part occurs among a document's words."""
-    return float(np.isin(part[1], grams(hashes, part[0])).mean()) if part[0] else 0.0
+class Shingles:
+    """A document's shingles, worked out once for each size that is asked for."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.known = hashes, {}
+
+    def share(self, part: tuple[int, np.ndarray]) -> float:
+        """How much of an item's part occurs among the document's words."""
+        size, wanted = part
+        if not size:
+            return 0.0
+        if size not in self.known:
+            self.known[size] = np.unique(grams(self.hashes, size))
+        own = self.known[size]
+        if not len(own):
+            return 0.0
+        return float((own[np.minimum(np.searchsorted(own, wanted), len(own) - 1)] == wanted).mean())
 
 
 @dataclass
@@ -133,8 +148,21 @@ def question_keys(parts: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.nda
     return out
 
 
-def build(items: list[tuple[int | None, str, str]], threshold: float = THRESHOLD) -> Index | None:
-    """An index of (item id, question, answer)."""
+@dataclass
+class Statistics:
+    """What scores need to know of all items, whichever of them an index holds."""
+
+    n: int
+    length: float
+    """Words of an item that has any, on average."""
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def build(
+    items: list[tuple[int | None, str, str]], threshold: float = THRESHOLD, statistics: Statistics | None = None
+) -> Index | None:
+    """An index of (item id, question, answer); without ``statistics`` they are all there are."""
     whole = words(pa.array([f"{q or ''}\n{a or ''}" for _, q, a in items], pa.string()), True, BREAK)
     some = np.flatnonzero(np.diff(whole.first) > 0)
     if not len(some):
@@ -145,8 +173,10 @@ def build(items: list[tuple[int | None, str, str]], threshold: float = THRESHOLD
     term, item = pair // len(items), pair % len(items)
     length = np.diff(whole.first)
     df = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((len(some) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (1 + K1) / (tf + K1 * (1 - B + B * length[item] / length[some].mean()))
+    every = statistics or Statistics(len(some), float(length[some].mean()), terms, df)
+    of_all = every.df[np.searchsorted(every.terms, terms)]
+    idf = np.log1p((every.n - of_all + 0.5) / (of_all + 0.5))
+    impact = idf[term] * tf * (1 + K1) / (tf + K1 * (1 - B + B * length[item] / every.length))
     least = np.ones(len(items))
     of_word = np.searchsorted(terms, whole.hashes)
     for k in some:
@@ -257,24 +287,67 @@ def hits(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, f
     text, item, score = retrieve(index, found)
     scores = dict(zip((text * len(index.items) + item).tolist(), score.tolist()))
     out = []
+    last, there = -1, Shingles(found.hashes[:0])
     for pair in sorted({*scores, *asking(index, found).tolist()}):
         t, i = divmod(pair, len(index.items))
-        there = found.hashes[found.first[t] : found.first[t + 1]]
-        asked = share(index.question[i], there)
+        if t != last:
+            last, there = t, Shingles(found.hashes[found.first[t] : found.first[t + 1]])
+        asked = there.share(index.question[i])
         if asked >= OVERLAP:
-            best = scores[pair] if pair in scores else best_score(index, i, there)
-            out.append((t, i, best, asked, share(index.answer[i], there)))
+            best = scores[pair] if pair in scores else best_score(index, i, there.hashes)
+            out.append((t, i, best, asked, there.share(index.answer[i])))
     return out
 
 
+def item_words(items: DataFrame, shard: Column) -> DataFrame:
+    """(shard, item, term): the distinct words of each item; ``item`` numbers the rows of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            found = words(pa.array([f"{q}\n{a}" for q, a in map(parts_of_item, batch.to_pylist())], pa.string()), True, BREAK)
+            n = len(found.first) - 1
+            text = found.text_of()
+            pair = np.unique(np.column_stack([text.view(np.uint64), found.hashes]), axis=0)
+            text, size = pair[:, 0].astype(np.int64), np.diff(found.first)
+            yield pa.record_batch(
+                [batch.column("shard").take(pa.array(text)), pa.array(text + number), pa.array(size[text]), pa.array(np.ascontiguousarray(pair[:, 1]).view(np.int64))],
+                ["shard", "item", "length", "term"],
+            )
+            number += n
+
+    rows = items.select(shard.alias("shard"), *[c for c in ("text", "question", "answer") if c in items.columns])
+    return rows.mapInArrow(run, "shard long, item long, length long, term long")
+
+
+def parts_of_item(row: dict) -> tuple[str, str]:
+    """(question, answer) of an item's row."""
+    return split_item(row["text"]) if "text" in row else (row["question"] or "", row["answer"] or "")
+
+
 def indexes(items: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[Index]:
     """Indexes of (item_id, text) or (item_id, question, answer), a shard at a time."""
     whole = F.col("text") if "text" in items.columns else F.concat_ws(" ", "question", "answer")
     size = items.select(F.sum(F.length(whole)).alias("n")).first().n or 0
     shards = max(1, -(-size // (4 * shard_words)))  # four characters a word, or more shards than needed
+    of = F.pmod(F.xxhash64("item_id", whole), F.lit(shards))
+    if shards > 1:  # scores are the same however many shards there are
+        found = kept(item_words(items, of), "item-words")
+        each = found.groupBy("item").agg(F.first("length").alias("length"))
+        n, length = each.agg(F.count(F.lit(1)), F.avg("length")).first()
+        counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        shares = kept(found.select("shard", "term").distinct().join(counts, "term"), "item-terms")
     for shard in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", whole), F.lit(shards)) == shard).collect()
-        index = build([(r.item_id, *(split_item(r.text) if "text" in items.columns else (r.question, r.answer))) for r in rows])
+        rows = items.where(of == shard).collect()  # a shard's items; their words are bounded
+        known = None
+        if shards > 1:
+            terms = shares.where(F.col("shard") == shard).select("term", "df").toArrow()
+            names, df = terms["term"].to_numpy().view(np.uint64), terms["df"].to_numpy()
+            order = np.argsort(names)
+            known = Statistics(n, length, names[order], df[order])
+        index = build([(r.item_id, *parts_of_item(r.asDict())) for r in rows], statistics=known)
         if index:
             yield index
 
