@@ -129,6 +129,19 @@ def test_range_is_halved_to_find_the_failing_days():
     assert len(got) == 4
 
 
+@pytest.mark.parametrize("text,in_data", [
+    ("[FAILED_READ_FILE.NO_HINT] Encountered error while reading file x. Caused by: not a Parquet file", True),
+    ("[FAILED_READ_FILE.NO_HINT] while reading x. Caused by: org.apache.hadoop.security.AccessControlException: denied", False),
+    ("[FAILED_READ_FILE.NO_HINT] while reading x. Caused by: java.net.SocketTimeoutException: timeout", False),
+    ("[CAST_INVALID_INPUT] The value 'soon' cannot be cast", True),
+    ("[UNRESOLVED_COLUMN] a column", False),
+])
+def test_the_cause_of_a_failed_read_decides(text, in_data):
+    from pyspark.errors import PySparkException
+
+    assert status.lies_in_data(PySparkException(text)) == in_data
+
+
 def test_mart_of_an_unflattened_day_is_an_error(spark, app):
     with pytest.raises(ValueError, match="flatten"):
         build.build_mart_day(app, DAYS[0], "run-1")

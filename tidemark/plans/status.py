@@ -52,15 +52,25 @@ DATA_CONDITIONS = (
 )
 DATA_MESSAGES = ("is not a Parquet file", "Could not read footer", "Encountered error while reading file")
 
+# Causes of a failed read that lie outside the file.
+OUTER_CAUSES = (
+    "AccessControlException", "AccessDeniedException", "Permission denied", "Access Denied",
+    "UnknownHostException", "ConnectException", "SocketException", "SocketTimeoutException",
+    "NoRouteToHostException", "Connection refused", "Connection reset", "No space left on device",
+)
+
 
 def lies_in_data(error: Exception) -> bool:
     """Whether a file or row of some day caused the error, so that other days may be sound.
 
-    Missing columns or permissions, a full disk or a lost session break every day alike.
+    Missing columns or permissions, a network that is down, a full disk or a lost session
+    break every day alike, also where they show as a file that could not be read.
     """
     if isinstance(error, (PySparkException, Py4JError)):
-        # A job's failure carries the failed task's condition in its text.
+        # A job's failure carries the failed task's condition and causes in its text.
         said = str(error)
+        if any(cause in said for cause in OUTER_CAUSES):
+            return False
         marks = [f"[{condition}" for condition in DATA_CONDITIONS] + list(DATA_MESSAGES)
         return any(mark in said for mark in marks)
     return isinstance(error, (ValueError, ArithmeticError, LookupError))
