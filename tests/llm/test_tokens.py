@@ -136,3 +136,11 @@ def test_query_matches_library(spark, library):
         ids, text = expected(library, texts[r.doc_id])
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_stores(make_docs):
+    assert token_files._store("/tmp/x")[1] == "/tmp/x"
+    store, path = token_files._store("s3a://bucket/folder?region=eu-west-1")
+    assert (store.type_name, path) == ("s3", "bucket/folder")
+    with pytest.raises(ValueError, match="viewfs"):
+        token_files.write(make_docs(["a"]), PATH, "viewfs://store/in")

@@ -116,10 +116,19 @@ def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
+#: Names that the store's own reader has for what Spark names otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _store(folder: str):
+    """(file system, path) of a folder; raises where its kind of store can't be written from a task."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder)
+    scheme, mark, rest = folder.partition("://")
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{mark}{rest}")
+    except (pa.ArrowInvalid, OSError) as error:
+        raise ValueError(f"token files can't be kept under {folder}: {error}") from error
 
 
 class Writer:
@@ -236,6 +245,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
             names = [x.split()[0] for x in MANIFEST.split(", ")]
             yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
+    _store(folder)  # fails now rather than in the last stage
     # coded where the texts lie; what is sorted and shuffled is ids, of two bytes each if they fit
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     coded = kept(rows.mapInArrow(code, "doc_id long, tie long, ids binary"), "coded")
