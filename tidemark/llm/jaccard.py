@@ -425,16 +425,17 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     found = kept(verified(kept(plausible(links, sets, similar), "plausible"), sets, similar), "links")
     labels = kept(components(found), "labels")
     fine = _fine_members(sets, labels, similar)
-    for more in (_fine_links, _cross_links):
-        candidates = kept(plausible(kept(more(fine, similar), "more-candidates"), sets, similar), "plausible")
+    for which in (*HUBS, "all"):
+        pairs = _cross_links(fine, similar) if which == "all" else _fine_links(fine, similar, which)
+        candidates = kept(plausible(kept(pairs, "more-candidates"), sets, similar), "plausible")
         new = kept(verified(candidates, sets, similar), "more-links")
+        if new.isEmpty():
+            continue
         found = found.unionByName(new)
-        if more is _fine_links:
-            ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = kept(components(ends.unionByName(new)), "labels")
+        ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = kept(components(ends.unionByName(new)), "labels")
+        if which != "all":
             fine = _still_open(fine, labels)
-    ends = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    labels = kept(components(ends.unionByName(new)), "labels")
     ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node")))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     placed = classes.join(labels, F.col("a") == F.col("node"), "left").join(degrees, "node", "left")
@@ -492,10 +493,15 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.greatest(*ends).alias("a"), F.least(*ends).alias("b")]
 
 
-def _fine_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Each document with that of the least component under its fine sketch."""
-    least = F.min(F.struct("label", "node", "n", *WORDS)).alias("hub")
-    hubs = kept(members.groupBy("key").agg(least).select("key", "hub.*"), "hubs")
+#: Which document of a fine sketch the others are compared with, round by round.
+HUBS = ("of the least component", "of the greatest", "drawn by hash")
+
+
+def _fine_links(members: DataFrame, similar: tuple[int, int], which: str) -> DataFrame:
+    """Each document with one of those under its fine sketch."""
+    facts = F.struct("label", "node", "n", *WORDS)
+    hub = {HUBS[0]: F.min(facts), HUBS[1]: F.max(facts), HUBS[2]: F.min_by(facts, F.xxhash64("key", "node"))}[which]
+    hubs = kept(members.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*"), "hubs")
     pairs = members.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link("x", "y", similar))
     return pairs.select(*_pair("x", "y")).distinct()
 

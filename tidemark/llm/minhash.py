@@ -15,8 +15,7 @@ and small stars.
 No group is expanded into pairs: under each key the others are compared with the least of them.
 Similarity is not transitive, so keys under which several components then stand are open. Their
 documents get finer bands (``FINE`` minima each, again as many as ``MISS`` asks for), under which
-only documents near the limit still meet; there they are compared with one of the least component,
-then with one of the greatest, and only what then still lies in different components under one fine
+only documents near the limit still meet; there they are compared with three of them in turn, and only what then still lies in different components under one fine
 key is compared pairwise, within the join, by sizes, signatures and parities. Those comparisons grow with the square of a group only where
 very many documents are just below the limit to each other and not linked.
 
@@ -161,16 +160,21 @@ def may_link(similar: Limit, x: str, y: str) -> Column:
     return (den * F.least(n, m) >= num * F.greatest(n, m)) & near & (alike >= least_agreement(similar))
 
 
-def starred(entries: DataFrame, facts: DataFrame, similar: Limit, least: bool = True) -> DataFrame:
-    """Pairs (a, b) of the documents under each key with one of the least (or greatest) component.
+#: Which document of a key the others are compared with, round by round.
+HUBS = ("of the least component", "of the greatest", "drawn by hash")
+
+
+def starred(entries: DataFrame, facts: DataFrame, similar: Limit, which: str = HUBS[0]) -> DataFrame:
+    """Pairs (a, b) of the documents under each key with one of them.
 
     Documents that are known to be in one component with it are left out. ``entries``: (key, node,
     n, label), stored; ``facts``: (node, n, signature, parities), stored.
     """
     num, den = similar
-    low, high = F.min(F.struct("label", "node", "n")).alias("low"), F.max(F.struct("label", "node", "n")).alias("high")
-    hubs = entries.groupBy("key").agg(low, high).where("low.label < high.label")
-    hubs = hubs.select("key", "low.*" if least else "high.*").toDF("key", "hub_label", "b", "m")
+    one = F.struct("label", "node", "n")
+    hub = {HUBS[0]: F.min(one), HUBS[1]: F.max(one), HUBS[2]: F.min_by(one, F.xxhash64("key", "node"))}[which]
+    hubs = entries.groupBy("key").agg(hub.alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
+    hubs = hubs.where("low < high").select("key", "hub.*").toDF("key", "hub_label", "b", "m")
     near = (F.col("label") != F.col("hub_label")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))
     hubs = kept(hubs, "hubs")
     pairs = kept(entries.join(hubs, "key").where(near).select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
@@ -271,8 +275,10 @@ def links_between(facts: DataFrame, entries: DataFrame, sets: DataFrame, similar
         return links, labels
     fine = fine_entries(sets, nodes, similar).join(facts.select("node", "n"), "node")
     fine = _open(kept(fine.select("key", "node", "n"), "fine-entries"), labels)
-    for least in (True, False):
-        more = kept(verified(kept(starred(fine, facts, similar, least), "fine-candidates"), sets, similar), "fine-links")
+    for which in HUBS:
+        more = kept(verified(kept(starred(fine, facts, similar, which), "fine-candidates"), sets, similar), "fine-links")
+        if more.isEmpty():
+            continue
         links, labels = links.unionByName(more), _relabelled(labels, more)
         fine = _open(fine.drop("label"), labels)
     left = kept(fine.join(facts.drop("n"), "node"), "left-entries")
