@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import kept
 
 UNSPLIT = 8192
-LONG = 32_768
+LONG = 65_536
 PART = 8192
 AGREE = 4
 MARK = "\x01"
