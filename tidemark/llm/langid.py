@@ -291,6 +291,7 @@ def calibrate(model: Model, kept_out: DataFrame, every: DataFrame) -> None:
     got = kept_out.mapInArrow(measure, schema).toPandas()
     if not len(got):  # too few texts to keep any out
         got = every.mapInArrow(measure, schema).toPandas()
+    shared.destroy()  # workers that live on give its memory back
     model.mean, model.between, model.within = (np.zeros(len(model.langs)) for _ in range(3))
     for k in range(len(model.langs)):
         mine = got[got.lang == k] if (got.lang == k).any() else got
