@@ -159,6 +159,33 @@ def test_merged_transforms(monkeypatch):
         assert suffix_dedup.repeated(data, first).tolist() == want
 
 
+def repeating(seed):
+    """Texts put together of a few units of 40 bytes and passages, so that chains end like others go on."""
+    rng = random.Random(seed)
+    some = lambda n: "".join(rng.choices("abc", k=n))
+    units, shared = [some(40) for _ in range(2)], [some(rng.randint(40, 500)) for _ in range(3)]
+    pick = lambda: rng.choice([rng.choice(shared), rng.choice(units) * rng.randint(1, 7), some(rng.randint(1, 100))])
+    return ["".join(pick() for _ in range(rng.randint(2, 6))) for _ in range(8)]
+
+
+def test_chains_that_end_flush_with_their_segment():
+    for seed in range(40):
+        parts = [np.frombuffer(t.encode(), np.uint8) for t in repeating(seed) if len(t) >= 200]
+        data, first = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        seen = {}
+        for a, b in zip(first, first[1:]):
+            for p in range(a, b - 199):
+                seen.setdefault(data[p : p + 200].tobytes(), []).append(p)
+        want = sorted(p for places in seen.values() if len(places) > 1 for p in places)
+        assert suffix_dedup.repeated(data, first).tolist() == want
+
+
+@pytest.mark.parametrize("hot", [recurring.HOT_BYTES, 1000])
+def test_suffix_dedup_of_repeating_units(make_docs, hot):
+    rows = list(enumerate(t for seed in range(100, 140) for t in repeating(seed)))
+    compare(suffix_dedup.removal(make_docs(rows), hot), plain_bytes(rows), ["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(9)
     passage = "".join(rng.choices("abcd", k=260))

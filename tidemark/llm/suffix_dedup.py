@@ -5,7 +5,8 @@ Every byte covered by a ``WIDTH``-byte string that also starts anywhere else is
 ``recurring`` deals the segments that can hold such a string over tasks. A task parts its
 segments into shards and sorts each shard's suffixes once, to a depth of ``WIDTH`` bytes, giving
 the shard's transform over ``SYMBOL``-byte symbols: the symbol before each suffix, in suffix order
-(a segment's suffixes ``SYMBOL`` bytes apart are one cyclic chain, closed by a symbol of its own).
+(a segment's suffixes ``SYMBOL`` bytes apart are one cyclic chain, along which both sorting and
+merging go).
 The shards' transforms are then merged by iterative interleave refinement: the interleave says
 which shard each merged row comes from, and one step deals its rows stably by the symbols before
 them. After h steps rows stand in order of their first h symbols, no suffix having been sorted
@@ -62,7 +63,8 @@ def symbols(running: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(codes, before, after) of every place: its symbol's rank, the places a symbol away.
 
     The last places of a segment have no whole symbol and get one of their own; the place before a
-    chain's first is its last.
+    chain's first is its last. Whether the last has a whole symbol (where a chain ends flush with
+    its segment) or not, sorting follows the same chains.
     """
     n = len(running) - 1
     at = np.arange(n)
@@ -78,13 +80,21 @@ def symbols(running: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return code, back, end
 
 
-def transform(code: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+def along(code: np.ndarray, back: np.ndarray) -> list[np.ndarray]:
+    """The first to the ``STEPS``-th symbol from every place on, along its chain."""
+    after = np.empty_like(back)
+    after[back] = np.arange(len(back))
+    out = [code]
+    for _ in range(STEPS - 1):
+        out.append(out[-1][after])
+    return out
+
+
+def transform(ahead: list[np.ndarray], places: np.ndarray) -> np.ndarray:
     """A shard's places in order of the ``STEPS`` symbols from each on."""
     order = places
-    for step in range(STEPS - 1, -1, -1):
-        at = order + step * SYMBOL
-        inside = at < n
-        order = order[stable_order(np.where(inside, code[np.minimum(at, n - 1)], 0).astype(np.uint32))]
+    for code in reversed(ahead):
+        order = order[stable_order(code[order])]
     return order
 
 
@@ -114,7 +124,9 @@ def repeated(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     code, back, end = symbols(running, first)
     bounds = np.searchsorted(first, np.arange(SHARD_BYTES, len(data) + SHARD_BYTES, SHARD_BYTES))
     bounds = np.unique(np.append(0, np.minimum(bounds, len(first) - 1)))
-    orders = [transform(code, np.arange(first[a], first[b]), len(data)) for a, b in zip(bounds, bounds[1:])]
+    ahead = along(code, back)
+    orders = [transform(ahead, np.arange(first[a], first[b])) for a, b in zip(bounds, bounds[1:])]
+    del ahead
     shard, interval = merge([code[back[order]] for order in orders])
     merged = np.empty(len(data), np.int64)
     for z, order in enumerate(orders):
