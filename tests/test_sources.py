@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import sample
+from tidemark.shaped import events as shaped_events
 from tidemark.sources import broken, files, folders, footers, partitions, raw
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -170,3 +171,28 @@ def test_broken_files_by_name(spark, tmp_path):
     assert {r.path.removeprefix("file:") for r in judged if r.broken} == set(full[:3])
     assert {r.path.removeprefix("file:"): r.rows for r in judged if not r.broken} == {**{p: 2 for p in full[3:]}, empty: 0}
     assert broken.check_files(spark, files.parquet_files(spark, str(tmp_path / "none")), raw.RAW).count() == 0
+
+
+def test_rows_dealt_by_day(spark):
+    """A large day is parted, small ones and missing ones stay whole, and no row is lost."""
+    sizes = {"2024-01-01": 3000, "2024-01-02": 40, "2024-01-03": 30, None: 20}
+    rows = [(i, d) for d, n in sizes.items() for i in range(n)]
+    table = spark.createDataFrame(rows, "event_id long, day string").selectExpr("event_id", "CAST(day AS DATE) AS _dt")
+    tasks = shaped_events.dealt(table, most=500).rdd.glom().collect()
+    got = [[(r.event_id, None if r._dt is None else str(r._dt)) for r in task] for task in tasks]
+    assert sorted((r for task in got for r in task), key=str) == sorted(rows, key=str)
+    assert max(map(len, got)) < 700
+    where = {d: {k for k, task in enumerate(got) if any(r[1] == d for r in task)} for d in sizes}
+    assert len(where["2024-01-01"]) == 6
+    assert all(len(where[d]) == 1 for d in ("2024-01-02", "2024-01-03", None))
+    assert shaped_events.dealt(table.limit(0)).count() == 0
+
+
+def test_listing_keeps_the_files_of_a_job_together(spark, tmp_path):
+    for day in ("2024-01-01", "2024-01-02"):
+        (tmp_path / f"dt={day}").mkdir()
+        for job in ("aaaa", "bbbb"):
+            for task in range(2):
+                (tmp_path / f"dt={day}" / f"part-0000{task}-{job}.c000.snappy.parquet").write_bytes(b"x")
+    jobs = [path.split("-")[-1][:4] for path in footers._listed(spark, [str(tmp_path)])]
+    assert jobs == ["aaaa"] * 4 + ["bbbb"] * 4
