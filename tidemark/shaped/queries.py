@@ -137,7 +137,7 @@ def raw_scan(spark, sf_dir):
 def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
     """Day folders whose files disagree: numbers as text, text as numbers, also in a bag."""
     root = session.scratch_path(spark, "mixed")
-    rows = events.exported(spark, sf_dir)
+    rows = events.exported(spark, sf_dir, events.dealt)
     bag = F.transform("event_params", lambda p: F.when(p.isNotNull(), F.struct(
         p["key"].alias("key"),
         F.struct(
@@ -152,7 +152,7 @@ def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
         (2, rows.withColumn("stream_id", F.col("stream_id").cast("int")).withColumn("event_params", bag)),
         (3, rows.withColumn("batch_page_id", F.col("batch_page_id").cast("int")).drop("geo")),
     ):
-        kept = changed.where(of == part).withColumnRenamed("_dt", "dt").coalesce(1)
+        kept = changed.where(of == part).withColumnRenamed("_dt", "dt")
         kept.write.mode("append").partitionBy("dt").parquet(root)
     return root
 

@@ -7,6 +7,7 @@ What is held by the driver is one path per file and one schema per group.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,6 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 AT_ONCE = 8
+_TASK = re.compile(r"^part-\d+-")
 Group = tuple[T.StructType, list[str]]
 
 
@@ -111,9 +113,9 @@ def schema_groups(spark: SparkSession, paths: Sequence[str], readable_only: bool
 def _listed(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Every file under paths that exist, patterns among them.
 
-    Files are in the order of their names: those of one writer, which most likely agree, are
-    neighbours and stay together when the list is halved.
+    Files are in the order of their names without the task's number: those of one job, which most
+    likely agree, are neighbours and stay together when the list is halved.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
     rows = reader.option("recursiveFileLookup", "true").load(list(paths)).select("path")
-    return sorted((r["path"] for r in rows.collect()), key=lambda path: (path.rsplit("/", 1)[-1], path))
+    return sorted((r["path"] for r in rows.collect()), key=lambda path: (_TASK.sub("", path.rsplit("/", 1)[-1]), path))
