@@ -99,7 +99,8 @@ def try_flatten(app: App, first, last, run_id: str, only=None) -> Flattened:
         raw = app.raw(a, b).filter(F.col("_dt").isin(sorted(found)))
         new_columns.extend(sync_registry(app, raw, found, run_id))
         partitions.replace_days(
-            flatten.flatten(raw, app.columns(), run_id), app.path("events_flat"), found, SORT_KEY
+            flatten.flatten(raw, app.columns(), run_id), app.path("events_flat"), found, SORT_KEY,
+            rebalance=False,  # stored raw rows lie by day
         )
         checked = quality.reconcile_flat(
             app.day_counts("events_raw", "raw_rows", a, b),

@@ -104,7 +104,7 @@ def _log(app: App, run_id: str, started: datetime, outcomes: dict[date, Outcome]
 
 
 def try_days(
-    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str
+    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str, by_day: bool = False
 ) -> Run:
     """As ``run_days``, with failed days in the result instead of an error."""
     first, last = days.check_range(first, last)
@@ -130,7 +130,7 @@ def try_days(
     outcomes = {d: Outcome("success") for d in span}
     try:
         warned: dict[date, str] = {}
-        loaded = load.try_tables(app, final, intraday, first, last, run_id, warned)
+        loaded = load.try_tables(app, final, intraday, first, last, run_id, warned, by_day)
         good = settle("load", loaded, span)
         for d, text in warned.items():
             if d in outcomes:

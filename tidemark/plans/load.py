@@ -123,7 +123,8 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
                 scanned, run_id, F.concat(F.lit("files:"), "_folder"), is_intraday=True
             )
             partitions.replace_days(
-                stored, app.path("events_raw"), {r["_dt"] for r in rows}, SORT_KEY
+                stored, app.path("events_raw"), {r["_dt"] for r in rows}, SORT_KEY,
+                rebalance=False,  # files lie by day
             )
 
         unread: dict[date, str] = {}
@@ -156,20 +157,21 @@ def load_files(app: App, export_root: str, first, last, run_id: str) -> dict[dat
 
 
 def load_tables(
-    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str
+    app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str, by_day: bool = False
 ) -> dict[date, str]:
     """Load the days first..last from source tables (raw columns and ``_dt``).
 
     Per day the final table wins over the intraday one.  The load is counted against
     the source: a final day must match exactly; an intraday day may drift a little, which
-    the log tells.  Days in neither table are skipped.
+    the log tells.  Days in neither table are skipped.  ``by_day`` says that tasks read the
+    source tables day by day, so that their rows need no shuffle before they are written.
     """
-    return status.raise_if_failed(try_tables(app, final, intraday, first, last, run_id))
+    return status.raise_if_failed(try_tables(app, final, intraday, first, last, run_id, by_day=by_day))
 
 
 def try_tables(
     app: App, final: DataFrame, intraday: DataFrame, first, last, run_id: str,
-    warned: dict[date, str] | None = None,
+    warned: dict[date, str] | None = None, by_day: bool = False,
 ) -> dict[date, str]:
     """As ``load_tables``, with failed days in the result instead of an error.
 
@@ -198,7 +200,8 @@ def try_tables(
             chosen, run_id, source_name("_is_intraday"), F.col("_is_intraday")
         )
         partitions.replace_days(
-            stored, app.path("events_raw"), {r["_dt"] for r in counted}, SORT_KEY
+            stored, app.path("events_raw"), {r["_dt"] for r in counted}, SORT_KEY,
+            rebalance=not by_day,
         )
         expected = app.spark.createDataFrame(
             counted, "_dt date, source_rows bigint, is_intraday int"

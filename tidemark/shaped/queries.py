@@ -75,8 +75,8 @@ def _app(spark: SparkSession, name: str) -> App:
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Final rows up to one day, intraday rows from an earlier one."""
-    rows = events.exported(spark, sf_dir)
+    """Final rows up to one day, intraday rows from an earlier one; both lie by day."""
+    rows = events.exported(spark, sf_dir, events.dealt)
     return (
         rows.filter(F.col("_dt") <= F.lit(FINAL_UNTIL)),
         rows.filter(F.col("_dt") >= F.lit(INTRADAY_FROM)),
@@ -96,7 +96,7 @@ def wider(first: date, last: date) -> tuple[date, date]:
 
 def _loaded_app(spark: SparkSession, sf_dir: str, name: str) -> App:
     app = _app(spark, name)
-    load.load_tables(app, *_sources(spark, sf_dir), *span(spark, sf_dir), "run-1")
+    load.load_tables(app, *_sources(spark, sf_dir), *span(spark, sf_dir), "run-1", by_day=True)
     return app
 
 
@@ -118,12 +118,12 @@ def _exported_files(spark: SparkSession, sf_dir: str) -> str:
     """Day folders as an export leaves them: some columns missing, one not declared."""
     root = session.scratch_path(spark, "export")
     rows = (
-        events.exported(spark, sf_dir)
+        events.exported(spark, sf_dir, events.dealt)
         .drop("publisher", "event_original_occurrence_timestamp")
         .withColumnRenamed("stream_id", "Stream_ID")
         .withColumn("note", F.lit("not declared"))
     )
-    partitions.export_days(rows, root)
+    partitions.export_days(rows, root, rebalance=False)
     return root
 
 
@@ -177,8 +177,9 @@ def mixed_type_scan(spark, sf_dir):
 def broken_files(spark, sf_dir):
     """Files by day and part, some of them cut short or not Parquet at all."""
     root = session.scratch_path(spark, "broken")
-    rows = events.exported(spark, sf_dir).withColumn("part", F.col("event_bundle_sequence_id") % 5)
-    rows.repartition("_dt", "part").write.partitionBy("_dt", "part").parquet(root)
+    by_part = lambda rows: events.dealt(rows, F.col("_dt"), F.col("event_id") % 5, most=None)
+    rows = events.exported(spark, sf_dir, by_part).withColumn("part", F.col("event_bundle_sequence_id") % 5)
+    rows.write.partitionBy("_dt", "part").parquet(root)
     listed = files.parquet_files(spark, root)
     day = F.regexp_extract("path", "_dt=([^/]+)", 1).cast("date")
     part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint")
@@ -202,8 +203,8 @@ def day_layouts(spark, sf_dir):
     root = session.scratch_path(spark, "layouts")
     final, _ = _sources(spark, sf_dir)
     dashed = final.withColumn("_dt", F.date_format("_dt", "yyyy-MM-dd"))
-    digits = events.exported(spark, sf_dir).withColumn("_dt", F.date_format("_dt", "yyyyMMdd"))
-    partitions.export_days(dashed.unionByName(digits), root)
+    digits = events.exported(spark, sf_dir, events.dealt).withColumn("_dt", F.date_format("_dt", "yyyyMMdd"))
+    partitions.export_days(dashed.unionByName(digits), root, rebalance=False)
     found = files.day_folders(files.parquet_files(spark, root))
     # One folder per calendar day.
     folders = [r["folder"] for r in found.collect()]
@@ -243,8 +244,8 @@ def replace_days(spark, sf_dir):
     app = _app(spark, "replace")
     final, intraday = _sources(spark, sf_dir)
     first, last = span(spark, sf_dir)
-    load.load_tables(app, final, intraday, first, last, "run-1")
-    load.load_tables(app, final, intraday, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
+    load.load_tables(app, final, intraday, first, last, "run-1", by_day=True)
+    load.load_tables(app, final, intraday, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2", by_day=True)
     return app.raw().groupBy("_dt", "_run_id").agg(F.count("*").alias("rows"))
 
 
@@ -260,7 +261,7 @@ def snapshot_export(spark, sf_dir):
 @query
 def run_log(spark, sf_dir):
     app = _app(spark, "log")
-    load.load_tables(app, *_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1")
+    load.load_tables(app, *_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1", by_day=True)
     return app.log().select(
         "event_date", "source_table", "is_intraday", "strategy", "source_row_count",
         "files_read", "rows_inserted", "run_id", "status", "error_message",
@@ -529,8 +530,8 @@ def flat_reconcile(spark, sf_dir):
 def content_reconcile(spark, sf_dir):
     """Whole rows of two tables day by day: the same in another order, altered, or lost."""
     rows = events.loaded(spark, sf_dir)
-    day, number = F.dayofmonth("_dt"), F.col("event_bundle_sequence_id")
     moved = events.loaded(spark, sf_dir, lambda source: source.repartition("micros"))
+    day, number = F.dayofmonth("_dt"), F.col("event_bundle_sequence_id")
     entry = F.struct(F.lit("k").alias("key"), F.get("event_params", F.lit(0))["value"].alias("value"))
     other = moved.withColumns({
         "platform": F.when((day % 5 == 1) & (number % 7 == 0), F.lit("WEB")).otherwise(F.col("platform")),
@@ -589,7 +590,7 @@ def registry_replaced(spark, sf_dir):
     first, last = span(spark, sf_dir)
     build.flatten_days(app, first, last, "run-1")
     fewer = [rows.filter(f"NOT ({events.LOST})") for rows in _sources(spark, sf_dir)]
-    load.load_tables(app, *fewer, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
+    load.load_tables(app, *fewer, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2", by_day=True)
     build.flatten_days(app, INTRADAY_FROM, max(last, INTRADAY_FROM), "run-2")
     return app.registry().drop("updated_at")
 
@@ -651,12 +652,12 @@ def column_coverage(spark, sf_dir):
 def schema_drift(spark, sf_dir):
     """Days exported alike, without a column, and with a column of another type."""
     root = session.scratch_path(spark, "drift")
-    rows = events.exported(spark, sf_dir).withColumn("note", F.lit("not declared"))
+    rows = events.exported(spark, sf_dir, events.dealt).withColumn("note", F.lit("not declared"))
     text = F.col("event_bundle_sequence_id").cast("string")
     day = F.dayofmonth("_dt") % 3
-    partitions.export_days(rows.filter(day == 0), root)
-    partitions.export_days(rows.filter(day == 1).drop("publisher"), root)
-    partitions.export_days(rows.filter(day == 2).withColumn("event_bundle_sequence_id", text), root)
+    partitions.export_days(rows.filter(day == 0), root, rebalance=False)
+    partitions.export_days(rows.filter(day == 1).drop("publisher"), root, rebalance=False)
+    partitions.export_days(rows.filter(day == 2).withColumn("event_bundle_sequence_id", text), root, rebalance=False)
     return drift.schema_drift(spark, root, *span(spark, sf_dir))
 
 
@@ -676,7 +677,7 @@ def flatten_days(spark, sf_dir):
 def daily_run(spark, sf_dir):
     """Source tables, some days bad, to stored marts; the KPI mart as it was stored."""
     app = _app(spark, "daily")
-    daily.try_days(app, *_uneven_sources(spark, sf_dir), *span(spark, sf_dir), "run-1")
+    daily.try_days(app, *_uneven_sources(spark, sf_dir), *span(spark, sf_dir), "run-1", by_day=True)
     return _rounded(app.mart("mart_daily_kpi").drop("_built_at"))
 
 
@@ -684,7 +685,7 @@ def daily_run(spark, sf_dir):
 def daily_log(spark, sf_dir):
     """How each day of such a run ended, and what it warns of."""
     app = _app(spark, "daily")
-    daily.try_days(app, *_uneven_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1")
+    daily.try_days(app, *_uneven_sources(spark, sf_dir), *wider(*span(spark, sf_dir)), "run-1", by_day=True)
     return app.daily_log().drop("started_at", "finished_at")
 
 
@@ -706,7 +707,7 @@ def retention_incremental(spark, sf_dir):
     build.build_marts(app, first, last, "run-1")
     fewer = [rows.filter(f"NOT ({events.LOST})") for rows in _sources(spark, sf_dir)]
     again = (INTRADAY_FROM, max(last, INTRADAY_FROM))
-    load.load_tables(app, *fewer, *again, "run-2")
+    load.load_tables(app, *fewer, *again, "run-2", by_day=True)
     build.flatten_days(app, *again, "run-2")
     build.build_marts(app, *again, "run-2")
     return app.retention()

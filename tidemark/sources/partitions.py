@@ -89,10 +89,14 @@ def export_snapshot(df: DataFrame, root: str, day: str | date) -> str:
     return target
 
 
-def export_days(df: DataFrame, root: str) -> None:
-    """Every day of ``df`` (column ``_dt``) as its own snapshot folder, in one job."""
+def export_days(df: DataFrame, root: str, rebalance: bool = True) -> None:
+    """Every day of ``df`` (column ``_dt``) as its own snapshot folder, in one job.
+
+    Without ``rebalance`` the tasks that read the rows write them, as in ``replace_days``.
+    """
+    rows = df.withColumnRenamed("_dt", "dt")
     (
-        df.withColumnRenamed("_dt", "dt").hint("rebalance", "dt")
+        (rows.hint("rebalance", "dt") if rebalance else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
