@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests import sample
 from tidemark.shaped import events as shaped_events
+from tidemark.shaped import queries
 from tidemark.sources import broken, files, folders, footers, partitions, raw
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
@@ -196,3 +197,22 @@ def test_listing_keeps_the_files_of_a_job_together(spark, tmp_path):
                 (tmp_path / f"dt={day}" / f"part-0000{task}-{job}.c000.snappy.parquet").write_bytes(b"x")
     jobs = [path.split("-")[-1][:4] for path in footers._listed(spark, [str(tmp_path)])]
     assert jobs == ["aaaa"] * 4 + ["bbbb"] * 4
+
+
+def test_a_day_of_ordinary_size_is_one_file(spark, tmp_path):
+    """However many tasks read the rows, and however few bytes the session puts in a partition."""
+    path = str(tmp_path / "events.parquet")
+    spark.sql(
+        "SELECT id AS event_id, timestamp_seconds(1704067200 + id % 3 * 86400 + id) AS ts, id % 90 AS user_id, "
+        "'view' AS event_type, CAST(id AS DOUBLE) AS value, concat('{\"k\": ', id % 9, '}') AS props FROM range(3000)"
+    ).repartition(8).write.parquet(path)
+    names = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.files.openCostInBytes": "100m"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        got = [r["files"] for r in queries.QUERIES["file_statistics"](spark, str(tmp_path)).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == [1, 1, 1]
