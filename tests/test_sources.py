@@ -216,3 +216,12 @@ def test_a_day_of_ordinary_size_is_one_file(spark, tmp_path):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert got == [1, 1, 1]
+
+
+def test_rows_spread_over_all_cores(spark, tmp_path):
+    """A file of one row group is read by one task, but its rows are made whole by all."""
+    table = spark.range(4000).withColumnRenamed("id", "event_id").coalesce(1)
+    got = shaped_events.spread(table).rdd.glom().map(len).collect()
+    assert sum(got) == 4000 and len(got) == spark.sparkContext.defaultParallelism
+    assert max(got) <= 4000 // len(got) + 1
+    assert shaped_events.spread(table.limit(0)).count() == 0

@@ -198,6 +198,15 @@ def dealt(rows: DataFrame, *keys: Column, most: int | None = MOST_ROWS) -> DataF
     return placed.select(rows.columns)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Source rows dealt evenly: a task for each core at least, ``MOST_ROWS`` in a task at most.
+
+    Files of few row groups are read by as few tasks, however many cores there are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-rows.count() // MOST_ROWS)))
+
+
 def exported(
     spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFrame] = lambda rows: rows
 ) -> DataFrame:

@@ -194,7 +194,8 @@ def broken_files(spark, sf_dir):
 @query
 def raw_defaults(spark, sf_dir):
     """Whole rows as they are stored, nested parts as one text each."""
-    return events.loaded(spark, sf_dir).selectExpr(*canonical.whole_row(spark=True), "_dt")
+    rows = events.loaded(spark, sf_dir, events.spread)
+    return rows.selectExpr(*canonical.whole_row(spark=True), "_dt")
 
 
 @query
