@@ -253,7 +253,7 @@ def replace_days(spark, sf_dir):
 @query
 def snapshot_export(spark, sf_dir):
     root = session.scratch_path(spark, "snapshot")
-    rows = events.exported(spark, sf_dir)
+    rows = events.exported(spark, sf_dir, events.spread)
     for _ in range(2):
         target = partitions.export_snapshot(rows, root, FINAL_UNTIL)
     return raw.scan(spark, target).selectExpr(*canonical.whole_row(spark=True))
