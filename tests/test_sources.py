@@ -225,3 +225,26 @@ def test_rows_spread_over_all_cores(spark, tmp_path):
     assert sum(got) == 4000 and len(got) == spark.sparkContext.defaultParallelism
     assert max(got) <= 4000 // len(got) + 1
     assert shaped_events.spread(table.limit(0)).count() == 0
+
+
+def test_few_files_in_a_task_that_writes_days(spark, tmp_path, monkeypatch):
+    """Rows that are sorted and written by the tasks that read them come from few files each."""
+    table, copy = str(tmp_path / "days"), str(tmp_path / "copy")
+    rows = spark.range(4000).selectExpr("id", "date_add(DATE '2024-01-01', CAST(id % 4 AS INT)) AS _dt")
+    days = partitions.replace_days(rows, table, {date(2024, 1, d) for d in range(1, 5)})
+    sizes = [r["length"] for r in files.parquet_files(spark, table).collect()]
+    monkeypatch.setattr(partitions, "TASK_BYTES", max(sizes))
+    names = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0",
+             "spark.sql.files.maxPartitionBytes": "1MB"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        read = partitions.read_days(spark, table, rows.schema).withColumn("task", F.spark_partition_id())
+        assert partitions.replace_days(read, copy, days, ["id"], rebalance=False) == days
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1MB"
+        got = spark.read.parquet(copy)
+        assert got.count() == 4000 and got.select("task").distinct().count() == 4
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

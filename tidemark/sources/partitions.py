@@ -7,7 +7,9 @@ none are dropped afterwards, since the overwrite alone would leave their old row
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+import re
+from collections.abc import Collection, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +18,23 @@ from pyspark.sql import functions as F
 from tidemark.functions import days as day_functions
 from tidemark.sources import folders
 
+# Bytes of files that a task reads whose rows it sorts and writes as they are: some 350,000 raw
+# rows, which take 1.1 GB while they are sorted.
+TASK_BYTES = 32 * 1024**2
+_READ_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+@contextmanager
+def _small_reads(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside put ``TASK_BYTES`` of files into a task at most."""
+    before = spark.conf.get(_READ_BYTES)
+    number, unit = re.fullmatch(r"(\d+)([bkmgtp]?)b?", before.strip().lower()).groups()
+    spark.conf.set(_READ_BYTES, min(TASK_BYTES, int(number) * 1024 ** "bkmgtp".find(unit or "b")))
+    try:
+        yield
+    finally:
+        spark.conf.set(_READ_BYTES, before)
+
 
 def replace_days(
     df: DataFrame,
@@ -29,7 +48,7 @@ def replace_days(
     AQE cuts the output by day into files of about the session's advisory partition size:
     a small day is one file, a day too large for one task is split, whatever the layout
     of the input.  Without ``rebalance`` the tasks that read the rows write them, which
-    spares the shuffle of input that is already clustered by day.
+    spares the shuffle of input that is already clustered by day; a task then takes few files.
 
     Returns the days that got rows.
     """
@@ -40,15 +59,16 @@ def replace_days(
     if rebalance:
         rows = rows.hint("rebalance", "_dt")
     seen = Observation()
-    (
+    writer = (
         rows.observe(seen, F.collect_set("_dt").alias("days"))
         .sortWithinPartitions("_dt", *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy("_dt")
-        .parquet(table)
     )
+    with nullcontext() if rebalance else _small_reads(spark):
+        writer.parquet(table)
     # At most one entry per calendar day.
     written = set(seen.get["days"])
     drop_days(spark, table, set(days) - written)
