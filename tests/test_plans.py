@@ -316,6 +316,18 @@ def test_a_large_day_is_several_tasks(spark, app):
     assert list(files_per_day(app.path("events_raw")).values())[0] > 1
 
 
+def test_compacted_days_share_no_task_and_no_cut(spark, app):
+    rows = table(spark, dict(zip(DAYS, (10, 70, 30, 50, 40))))
+    load.load_tables(app, rows, rows.limit(0), DAYS[0], DAYS[4], "r")
+    before = app.raw().orderBy("_dt", "event_timestamp").collect()
+    largest = max(r.bytes for r in upkeep.storage_report(app).collect())
+    upkeep.compact_days(app, DAYS[0], DAYS[4], largest)
+    assert files_per_day(app.path("events_raw")) == {f"_dt={d}": 1 for d in DAYS}
+    upkeep.compact_days(app, DAYS[1], DAYS[1], largest // 2)
+    assert files_per_day(app.path("events_raw")) == {f"_dt={d}": 3 if d == DAYS[1] else 1 for d in DAYS}
+    assert app.raw().orderBy("_dt", "event_timestamp").collect() == before
+
+
 def test_a_broken_compaction_leaves_the_day(spark, app, monkeypatch):
     rows = table(spark, dict.fromkeys(DAYS[:3], 10))
     load.load_tables(app, rows, rows.limit(0), DAYS[0], DAYS[2], "r")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,16 +50,29 @@ def recover(app: App, name: str = "events_raw") -> list[date]:
     return back
 
 
+def _by_day(rows: DataFrame, pieces: dict[date, int]) -> DataFrame:
+    """Rows dealt so that each day fills tasks of its own: one, or ranges of the sort key."""
+    single = sorted(d for d, n in pieces.items() if n == 1)
+    parts = [
+        rows.filter(F.col("_dt") == F.lit(d)).repartitionByRange(n, *SORT_KEY)
+        for d, n in sorted(pieces.items()) if n > 1
+    ]
+    if single:
+        number = F.array_position(F.array(*map(F.lit, single)), F.col("_dt")) - 1
+        parts.append(rows.filter(F.col("_dt").isin(single)).repartitionById(len(single), number.cast("int")))
+    return reduce(DataFrame.union, parts)
+
+
 def compact_days(
     app: App, first, last, target_bytes: int = TARGET_FILE_BYTES, name: str = "events_raw"
 ) -> set[date]:
     """Rewrite the stored days first..last of raw (or flat) rows into few, sorted files.
 
-    Rows are cut into ranges of the sort key, so a large day -- or an event name that
-    makes up most of it -- is spread over as many tasks as its bytes ask for.  They are
-    written beside the table and held against the stored ones, by count and fingerprint;
-    only then does each new day take the place of the old one, which is deleted last.  Whatever breaks, one whole copy of a day stays:
-    in place, or where ``recover`` finds it (which the next compaction calls).
+    Each day has tasks and files of its own, as many as its bytes ask for.  Rows of a large
+    day are cut into ranges of the sort key, so an event name that makes up most of it is
+    spread as well.  They are written beside the table and held against the stored ones, by
+    count and fingerprint; only then does each new day take the place of the old one, which
+    is deleted last.  Whatever breaks, one whole copy of a day stays: in place, or where ``recover`` finds it (which the next compaction calls).
     """
     first, last = days.check_range(first, last)
     table = app.path(name)
@@ -67,13 +81,15 @@ def compact_days(
     if not stored:
         return set()
     listed = files.parquet_files(app.spark, [f"{table}/_dt={d}" for d in sorted(stored)])
-    size = listed.agg(F.sum("length")).first()[0] or 0
-    pieces = max(1, -(-size // target_bytes))
+    sizes = listed.groupBy(F.regexp_extract("path", "_dt=([^/]+)", 1).alias("day")).agg(F.sum("length").alias("bytes"))
+    pieces = dict.fromkeys(stored, 1)
+    # One row per calendar day.
+    pieces.update({days.check_day(r["day"]): max(1, -(-r["bytes"] // target_bytes)) for r in sizes.collect()})
     rows = app.raw(first, last) if name == "events_raw" else app.flat(first, last)
     fresh, away = _beside(table, "compacting"), _beside(table, "replaced")
     folders.delete(app.spark, fresh)
     written = partitions.replace_days(
-        rows.repartitionByRange(pieces, "_dt", *SORT_KEY), fresh, stored, SORT_KEY, rebalance=False
+        _by_day(rows, pieces), fresh, stored, SORT_KEY, rebalance=False
     )
     again = partitions.read_days(app.spark, fresh, rows.schema, first, last)
     compared = quality.reconcile_content(quality.fingerprints(rows), quality.fingerprints(again))
