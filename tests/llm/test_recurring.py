@@ -199,3 +199,25 @@ def test_equal_windows_have_equal_anchors():
     windows = sum(max(0, len(t) - 199) for t in texts)
     held = sum(b - a - 199 for _, a, b, _ in zip(*recurring.segments(own, 200, 16)))
     assert windows == held
+
+
+@pytest.mark.parametrize("module", [suffix_dedup, phrases])
+def test_anchors_are_looked_for_once_in_all_texts(make_docs, module, monkeypatch, tmp_path):
+    """All texts are gone through once; only those with a shared anchor are gone through again."""
+    rng = random.Random(7)
+    words = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
+    line = words(80)
+    texts = [words(120) for _ in range(20)] + [f"{words(9)} {line}", f"{line} {words(9)}"]
+    note, real = str(tmp_path / "bytes"), recurring.segments
+
+    def counted(units, width, grain):
+        with open(note, "a") as file:
+            file.write(f"{len(units.hashes)} ")
+        return real(units, width, grain)
+
+    monkeypatch.setattr(recurring, "segments", counted)
+    done = module.removal(make_docs(list(enumerate(texts)))).collect()
+    assert sum(r.n_removed > 0 for r in done) == (2 if module is suffix_dedup else 1)
+    size = len if module is suffix_dedup else lambda t: len(t.split())
+    seen = sum(map(int, open(note).read().split()))
+    assert seen == sum(map(size, texts)) + sum(map(size, texts[-2:]))

@@ -136,8 +136,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     marked, classes = recurring.with_classes(docs)
-    shared = recurring.shared_anchors(marked, units, WIDTH, GRAIN, within=False)
-    texts = recurring.candidate_texts(marked, classes, shared, units, WIDTH, GRAIN)
+    anchors = recurring.anchors_of(marked, units, WIDTH, GRAIN)
+    shared = recurring.shared_anchors(anchors, within=False)
+    texts = recurring.candidate_texts(marked, classes, anchors, shared)
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     earlier = F.coalesce(F.col("reps") < F.col("rep"), F.col("rep").isNull() & F.col("reps").isNotNull())
     found = recurring.judged(

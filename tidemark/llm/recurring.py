@@ -82,8 +82,8 @@ def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from slices(whole, "text", BATCH_BYTES)
 
 
-def shared_anchors(docs: DataFrame, units: Callable, width: int, grain: int, within: bool) -> DataFrame:
-    """(anchor): the anchors of more than one class of texts, or that one text has again."""
+def anchors_of(docs: DataFrame, units: Callable, width: int, grain: int) -> DataFrame:
+    """(anchor, owner, times): the anchors of each class of texts, and how often one text has them."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(rows):
@@ -100,25 +100,21 @@ def shared_anchors(docs: DataFrame, units: Callable, width: int, grain: int, wit
                 ["anchor", "owner", "times"],
             )
 
-    rows = docs.select("text", "class").mapInArrow(run, "anchor long, owner long, times long")
-    found = rows.groupBy("anchor").agg(
+    return kept(docs.select("text", "class").mapInArrow(run, "anchor long, owner long, times long"), "anchors")
+
+
+def shared_anchors(anchors: DataFrame, within: bool) -> DataFrame:
+    """(anchor): the anchors of more than one class of texts, or that one text has again."""
+    found = anchors.groupBy("anchor").agg(
         F.min("owner").alias("low"), F.max("owner").alias("high"), F.max("times").alias("times")
     )
     several = (F.col("low") < F.col("high")) | (F.lit(within) & (F.col("times") > 1))
     return kept(found.where(several).select("anchor"), "shared-anchors")
 
 
-def candidate_texts(docs: DataFrame, classes: DataFrame, shared: DataFrame, units: Callable, width: int, grain: int) -> DataFrame:
+def candidate_texts(docs: DataFrame, classes: DataFrame, anchors: DataFrame, shared: DataFrame) -> DataFrame:
     """(sha, rep, text, anchors): one row of each class that has a shared anchor."""
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(rows):
-            text, _, _, anchor = segments(units(batch), width, grain)
-            owner = batch.column("class").to_numpy()[text]
-            pairs = np.unique(np.column_stack([anchor.view(np.int64), owner]), axis=0)
-            yield pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], ["anchor", "class"])
-
-    has = docs.select("text", "class").mapInArrow(run, "anchor long, class long")
+    has = anchors.select("anchor", F.col("owner").alias("class"))
     of_class = has.join(shared, "anchor").groupBy("class").agg(F.collect_set("anchor").alias("anchors"))
     wanted = classes.select("sha", "rep", "class").join(of_class, "class").drop("class")
     whole = docs.select("sha", "doc_id", "text").join(kept(wanted, "wanted"), "sha")

@@ -172,8 +172,9 @@ def digest(text: bytes, starts: list[bytes], runs: list[bytes]) -> tuple[int, in
 
 def _found(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     marked, classes = recurring.with_classes(docs)
-    shared = recurring.shared_anchors(marked, units, WIDTH, GRAIN, within=True)
-    texts = recurring.candidate_texts(marked, classes, shared, units, WIDTH, GRAIN)
+    anchors = recurring.anchors_of(marked, units, WIDTH, GRAIN)
+    shared = recurring.shared_anchors(anchors, within=True)
+    texts = recurring.candidate_texts(marked, classes, anchors, shared)
     cut = recurring.cut_segments(texts, units, WIDTH, GRAIN)
     found = recurring.judged(
         cut, kernel, lambda data: units_of(pa.array(data, pa.binary())), WIDTH, F.col("all") > 1, hot, CHUNK_BYTES
