@@ -110,3 +110,23 @@ def test_few_distinct_texts_are_learned(spark):
         assert model.langs == ["de", "en", "fr"]
     got = {r.doc_id: r.lang_pred for r in langid.identify(docs.where("doc_id > 2999"), model).collect()}
     assert got[3000] == "fr" and got[3001] == "de"
+
+
+def test_training_goes_through_texts_in_slices(make_docs, monkeypatch, tmp_path):
+    """However many texts a task gets, it holds a slice of them at a time, and the counts are the same."""
+    texts = [f"{a} {b} {c}" for a in ("alpha", "beta", "gamma") for b in ("delta", "eps") for c in range(40)]
+    docs = make_docs(texts).coalesce(1)
+    whole = langid.train(docs)
+    note, real = str(tmp_path / "sizes"), langid.codes
+
+    def measured(some):
+        with open(note, "a") as file:
+            file.write(f"{sum(map(len, some))} ")
+        return real(some)
+
+    monkeypatch.setattr(langid, "BATCH_BYTES", 200)
+    monkeypatch.setattr(langid, "codes", measured)
+    sliced = langid.train(docs)
+    assert max(int(x) for x in open(note).read().split()) <= 200
+    for a, b in zip(whole.grams + whole.logp, sliced.grams + sliced.logp):
+        assert np.array_equal(a, b)

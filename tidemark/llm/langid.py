@@ -36,7 +36,7 @@ SAMPLE_CHARS = 1_500_000
 CALIBRATION = 0.25
 REJECTED = 0.001
 SLACK = 2.0
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18  # a task holds some 100 to 300 bytes for each of them
 NONE = "und"
 
 
@@ -243,18 +243,19 @@ def train(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> Model:
     drawn = sample(labelled, chars)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held: dict[str, list[str]] = {}
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                held.setdefault(lang, []).append(text)
-            for lang, texts in held.items():
-                letters, ends, _ = codes(texts)
-                rows = letters[ends[:, None] - np.arange(ORDER - 1, -1, -1)].astype("<u4")
-                _, first, n = np.unique(_level(rows)[0], return_index=True, return_counts=True)
-                grams = [row.tobytes() for row in rows[first]]
-                yield pa.record_batch(
-                    [pa.array([lang] * len(n)), pa.array(grams, pa.binary()), pa.array(n, pa.int64())], ["lang", "gram", "n"]
-                )
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_BYTES):
+                held: dict[str, list[str]] = {}
+                for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+                    held.setdefault(lang, []).append(text)
+                for lang, texts in held.items():
+                    letters, ends, _ = codes(texts)
+                    rows = letters[ends[:, None] - np.arange(ORDER - 1, -1, -1)].astype("<u4")
+                    _, first, n = np.unique(_level(rows)[0], return_index=True, return_counts=True)
+                    grams = [row.tobytes() for row in rows[first]]
+                    yield pa.record_batch(
+                        [pa.array([lang] * len(n)), pa.array(grams, pa.binary()), pa.array(n, pa.int64())], ["lang", "gram", "n"]
+                    )
 
     fitted = drawn.where("not kept_out").select("text", "lang").mapInArrow(count, "lang string, gram binary, n long")
     table = fitted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
