@@ -100,6 +100,40 @@ def test_shared_parts_without_links(spark, make_docs, monkeypatch):
     assert sum(pairs[2:]) < 2000, pairs
 
 
+def test_few_pairs_of_long_documents_leave_the_last_join(make_docs, monkeypatch):
+    """60 documents of 997 tokens that share two thirds of them, all of which meet under some key."""
+    rng = random.Random(13)
+    passage = [f"p{k}" for k in range(800)]
+    rows = [(m, " ".join(passage + [f"w{rng.randrange(10**9)}" for _ in range(200)])) for m in range(60)]
+    left, cross = [], jaccard._cross_links
+
+    def counted(*args):
+        out = cross(*args)
+        left.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_cross_links", counted)
+    got = jaccard.similar_documents(make_docs(rows))
+    assert got.where("doc_id != component_id").count() == 0
+    assert left[0] < 100, left
+
+
+def test_parted_bounds_the_difference(spark):
+    """As ``apart``, within Spark, for sets of one band and of neighbouring ones."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in [1, 3, 40, 63, 64, 130, 500] * 6:
+        tokens = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for other in (tokens, tokens[n // 20 :], np.concatenate([tokens, rng.integers(0, 2**63, n // 10, dtype=np.uint64)])):
+            x, y = jaccard.parity_bits(tokens), jaccard.parity_bits(other)
+            both = [np.frombuffer(b, "<i8").tolist() for b in (x, y)]
+            rows.append((*both, jaccard.apart(x, y)))
+    table = spark.createDataFrame(rows, "x array<long>, y array<long>, want int")
+    assert len({len(r[0]) == len(r[1]) for r in rows}) == 2
+    got = table.select(jaccard._parted(F.col("x"), F.col("y")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)
+
+
 def test_bits_bound_the_difference():
     """The bits of two sets, of one band or of two, never differ in more places than the sets."""
     rng = np.random.default_rng(3)

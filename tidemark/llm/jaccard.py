@@ -21,7 +21,7 @@ documents that met in some part get fine sketches. Each is the XOR of the tokens
 function of its own puts into a range, so wide that a linked pair differs in none of them with the
 probability ``SURVIVES``, and there are as many as make such a pair miss all of them with ``MISS``
 at most. Documents far below the limit hardly ever have one in common. Under a fine sketch documents of different components are compared in stars, and only those
-still apart after that pairwise, within the join, by sizes and bits. Documents with equal sets are
+still apart after that pairwise, within the join, by sizes and by one to two parity bits a token. Documents with equal sets are
 one class throughout.
 
 Nulls, empty texts and texts without words have no shingles and are linked with nothing. A null id
@@ -280,9 +280,9 @@ def fine_keys(h: np.ndarray, n: np.ndarray, similar: tuple[int, int] = SIMILAR)
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
-    """(node, n, set, bits, w0..w3): the sorted hashes of the chosen classes and their parity bits.
+    """(node, n, set, bits, parity, w0..w3): the sorted hashes of the chosen classes and their parity bits.
 
-    ``bits`` are as many as the size band asks for, w0..w3 are 256.
+    ``bits`` are as many as the size band asks for, ``parity`` holds the same as numbers, w0..w3 are 256.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,14 +296,15 @@ def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
                 sets = [h[ends[k] : ends[k + 1]] for k in mine]
                 odd = [np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1 for s in sets]
                 bits = np.packbits(np.array(odd, np.uint8).reshape(-1, 256), axis=1).view("<i8")
-                whole_bits = pa.array([parity_bits(s) for s in sets], pa.binary())
+                whole_bits = [parity_bits(s) for s in sets]
+                numbers = pa.array([np.frombuffer(b, "<i8") for b in whole_bits], pa.list_(pa.int64()))
                 yield pa.record_batch(
-                    [pa.array(nodes[mine]), pa.array(n[mine].astype(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary()), whole_bits, *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]],
-                    ["node", "n", "set", "bits", *WORDS],
+                    [pa.array(nodes[mine]), pa.array(n[mine].astype(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(whole_bits, pa.binary()), numbers, *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]],
+                    ["node", "n", "set", "bits", "parity", *WORDS],
                 )
 
     texts = docs.hint("merge").join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node", "text").distinct()
-    return texts.select("node", "text").mapInArrow(run, "node long, n long, set binary, bits binary, " + ", ".join(f"{w} long" for w in WORDS))
+    return texts.select("node", "text").mapInArrow(run, "node long, n long, set binary, bits binary, parity array<long>, " + ", ".join(f"{w} long" for w in WORDS))
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
@@ -426,7 +427,7 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
     labels = kept(components(found), "labels")
     fine = _fine_members(sets, labels, similar)
     for which in (*HUBS, "all"):
-        pairs = _cross_links(fine, similar) if which == "all" else _fine_links(fine, similar, which)
+        pairs = _cross_links(fine, sets, similar) if which == "all" else _fine_links(fine, similar, which)
         candidates = kept(plausible(kept(pairs, "more-candidates"), sets, similar), "plausible")
         new = kept(verified(candidates, sets, similar), "more-links")
         if new.isEmpty():
@@ -506,7 +507,36 @@ def _fine_links(members: DataFrame, similar: tuple[int, int], which: str) -> Dat
     return pairs.select(*_pair("x", "y")).distinct()
 
 
-def _cross_links(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """All pairs of different components left under a fine sketch that sizes and bits can't rule out."""
-    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & _may_link("x", "y", similar)
+def _folded(bits: Column) -> Column:
+    """Parity bits dealt to half as many places."""
+    half = F.floor(F.size(bits) / 2).cast("int")
+    return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+
+def _parted(x: Column, y: Column) -> Column:
+    """In how many parity bits two sketches of the same band or of neighbouring ones differ."""
+
+    def differ(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, m: n + m)
+
+    n, m = F.size(x), F.size(y)
+    one = F.when(n == m, differ(x, y)).when(n == 2 * m, differ(_folded(x), y)).when(m == 2 * n, differ(x, _folded(y)))
+    return one.otherwise(F.lit(0))
+
+
+def _cross_links(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """All pairs of different components left under a fine sketch that sizes and bits can't rule out.
+
+    256 bits say little of sets of many hundred tokens, and documents that share half of their
+    tokens meet under some key. So the join has one to two bits a token besides, and what leaves
+    it are the pairs near the limit.
+    """
+    num, den = similar
+    own = sets.select("node", F.when(F.size("parity") > 1, _folded(F.col("parity"))).otherwise(F.col("parity")).alias("parity"))
+    members = kept(members.join(own.dropDuplicates(["node"]), "node"), "cross-members")
+    n = F.col("x.n") + F.col("y.n")
+    near = (
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & _may_link("x", "y", similar)
+        & (_parted(F.col("x.parity"), F.col("y.parity")) <= F.floor((den - num) * n / (den + num)))
+    )
     return members.alias("x").join(members.alias("y"), near).select(*_pair("x", "y")).distinct()
