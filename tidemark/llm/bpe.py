@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import worker
 from tidemark.llm.tables import kept
 
 UNSPLIT = 8192
@@ -157,6 +158,9 @@ def coder_of(path: str) -> Coder:
     return Coder(path)
 
 
+worker.cache("coder", coder_of.cache_clear)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose ``column`` holds about ``most`` bytes, or one longer row."""
     ends = np.cumsum(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
@@ -184,7 +188,7 @@ def _encoder(path: str) -> Callable:
                     ["doc_id", "n_tokens", "ids"],
                 )
 
-    return run
+    return worker.lean(run, "coder")
 
 
 def parts_of(text: str, part: int) -> list[tuple[int, str]]:

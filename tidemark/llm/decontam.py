@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import worker
 from tidemark.llm.bpe import slices
 from tidemark.llm.tables import kept
 from tidemark.llm.words import Words, mixed, words
@@ -319,7 +320,7 @@ def item_words(items: DataFrame, shard: Column) -> DataFrame:
             number += n
 
     rows = items.select(shard.alias("shard"), *[c for c in ("text", "question", "answer") if c in items.columns])
-    return rows.mapInArrow(run, "shard long, item long, length long, term long")
+    return rows.mapInArrow(worker.lean(run, "powers"), "shard long, item long, length long, term long")
 
 
 def parts_of_item(row: dict) -> tuple[str, str]:
@@ -368,7 +369,7 @@ def contaminated(docs: DataFrame, items: DataFrame, shard_words: int = SHARD_WOR
                     if rows:
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        return texts.mapInArrow(run, HITS)
+        return texts.mapInArrow(worker.lean(run, "powers"), HITS)
 
     parts = [search(spark.sparkContext.broadcast(index)) for index in indexes(items, shard_words)]
     found = reduce(DataFrame.unionByName, parts, spark.createDataFrame([], HITS))
@@ -386,7 +387,7 @@ def clean(docs: DataFrame, items: DataFrame, shard_words: int = SHARD_WORDS) ->
                     stays[[t for t, *_ in hits(shared.value, batch.column("text").fill_null(""))]] = False
                     yield batch.filter(pa.array(stays))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(worker.lean(run, "powers"), docs.schema)
 
     for index in indexes(items, shard_words):
         docs = keep(docs, docs.sparkSession.sparkContext.broadcast(index))

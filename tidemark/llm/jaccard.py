@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import worker
 from tidemark.llm.bpe import slices
 from tidemark.llm.components import components
 from tidemark.llm.tables import free_names, kept
@@ -186,7 +187,7 @@ def _dealt(rows: DataFrame, column: str, per_batch, reduced, buckets: int) -> Da
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["bucket", "keys", "nodes"])
 
-    sent = rows.mapInArrow(deal, BLOBS)
+    sent = rows.mapInArrow(worker.lean(deal, "powers"), BLOBS)
     return sent.repartitionById(buckets, F.when(F.col("bucket") < 0, -1 - F.col("bucket")).otherwise(F.col("bucket")))
 
 
@@ -227,7 +228,7 @@ def sizes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                     ["doc_id", "n_shingles", "a", "b"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, a long, b long")
+    return docs.mapInArrow(worker.lean(run, "powers"), "doc_id long, n_shingles long, a long, b long")
 
 
 def _of_texts(size: int, similar: tuple[int, int]):
@@ -304,7 +305,7 @@ def _sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
                 )
 
     texts = docs.hint("merge").join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "node", "text").distinct()
-    return texts.select("node", "text").mapInArrow(run, "node long, n long, set binary, bits binary, parity array<long>, " + ", ".join(f"{w} long" for w in WORDS))
+    return texts.select("node", "text").mapInArrow(worker.lean(run, "powers"), "node long, n long, set binary, bits binary, parity array<long>, " + ", ".join(f"{w} long" for w in WORDS))
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
@@ -405,7 +406,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, similar: tuple[int, int] = SI
                 yield pa.record_batch([*batch.columns, pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], [*batch.schema.names, n_name, a_name, b_name])
 
     more = [T.StructField(c, T.LongType()) for c in (n_name, a_name, b_name)]
-    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, *more])).withColumns(keyed("doc_id"))
+    marked = docs.mapInArrow(worker.lean(mark, "powers"), T.StructType([*docs.schema.fields, *more])).withColumns(keyed("doc_id"))
     # joined and told apart by the same columns: rows are shuffled once
     one = marked.where(F.col(n_name) > 0).join(stay, keys, "left_semi").dropDuplicates(keys)
     return one.select(*docs.columns).unionByName(marked.where(F.col(n_name) == 0).select(*docs.columns))
@@ -419,7 +420,7 @@ def _placed(docs: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
         known.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep")), "set-classes"
     )
     dealt = _dealt(texts, "text", _of_texts(size, similar), starred, buckets)
-    links = kept(dealt.mapInArrow(_linked, "a long, b long").distinct(), "candidate-links")
+    links = kept(dealt.mapInArrow(worker.lean(_linked), "a long, b long").distinct(), "candidate-links")
     nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     chosen = classes.join(nodes, F.col("a") == F.col("node")).select("node", "rep").distinct()
     sets = kept(_sets(texts, kept(chosen, "chosen"), size), "sets")
@@ -469,7 +470,7 @@ def _fine_members(sets: DataFrame, labels: DataFrame, similar: tuple[int, int])
             keys, owner = fine_keys(*_set_arrays(batch.column("set")), similar)
             yield pa.record_batch([pa.array(keys.view(np.int64)), batch.column("node").take(pa.array(owner))], ["key", "node"])
 
-    entries = kept(sets.select("node", "set").mapInArrow(run, "key long, node long"), "fine-entries")
+    entries = kept(sets.select("node", "set").mapInArrow(worker.lean(run), "key long, node long"), "fine-entries")
     shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     met = kept(entries.join(kept(shared.select("key"), "shared-keys"), "key", "left_semi"), "met-entries")
     facts = sets.select("node", "n", *WORDS)

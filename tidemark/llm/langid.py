@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import worker
 from tidemark.llm.bpe import slices
 
 ORDER = 5
@@ -257,7 +258,7 @@ def train(labelled: DataFrame, chars: int = SAMPLE_CHARS) -> Model:
                         [pa.array([lang] * len(n)), pa.array(grams, pa.binary()), pa.array(n, pa.int64())], ["lang", "gram", "n"]
                     )
 
-    fitted = drawn.where("not kept_out").select("text", "lang").mapInArrow(count, "lang string, gram binary, n long")
+    fitted = drawn.where("not kept_out").select("text", "lang").mapInArrow(worker.lean(count), "lang string, gram binary, n long")
     table = fitted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     counts = {}
     langs = np.array(table["lang"].to_pylist(), object)
@@ -289,9 +290,9 @@ def calibrate(model: Model, kept_out: DataFrame, every: DataFrame) -> None:
                 )
 
     schema = "lang long, n long, entropy double, variance double"
-    got = kept_out.mapInArrow(measure, schema).toPandas()
+    got = kept_out.mapInArrow(worker.lean(measure), schema).toPandas()
     if not len(got):  # too few texts to keep any out
-        got = every.mapInArrow(measure, schema).toPandas()
+        got = every.mapInArrow(worker.lean(measure), schema).toPandas()
     shared.destroy()  # workers that live on give its memory back
     model.mean, model.between, model.within = (np.zeros(len(model.langs)) for _ in range(3))
     for k in range(len(model.langs)):
@@ -318,7 +319,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.record_batch([batch.column("doc_id"), pa.array(lang, pa.string()), *map(pa.array, (score, entropy, accepted))], names)
 
     schema = "doc_id long, lang_pred string, score double, cross_entropy double, accepted boolean"
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(worker.lean(run), schema)
 
 
 def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
@@ -331,7 +332,7 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
                 accepted = shared.value.judge([t or "" for t in batch.column("text").to_pylist()])[3]
                 yield batch.filter(pa.array(accepted))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(worker.lean(run), docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):

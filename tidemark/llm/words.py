@@ -7,11 +7,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from tidemark.llm import worker
+
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS: dict[str, np.ndarray] = {}
+worker.cache("powers", _POWERS.clear)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
